@@ -1,0 +1,7 @@
+"""No streaming operators.
+
+The reference is a batch ELT pipeline with no live or streaming component, so
+nothing is built here. Every operator in this package is a plain DataFrame
+transform, so it can be applied inside ``foreachBatch`` of a Structured
+Streaming query by a caller who needs that.
+"""
