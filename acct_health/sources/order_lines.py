@@ -62,33 +62,21 @@ def _div(a: Column, b) -> Column:
     return F.floor(a / b).cast("bigint")
 
 
-def _cents_text(c: Column, thousands: bool = False) -> Column:
-    ip = _div(c, 100)
-    fp = F.lpad((c % 100).cast("string"), 2, "0")
-    if thousands:
-        grouped = (
-            F.when(ip >= 1000000, F.concat(_div(ip, 1000000).cast("string"), F.lit(","),
-                                           F.lpad((_div(ip, 1000) % 1000).cast("string"), 3, "0"), F.lit(","),
-                                           F.lpad((ip % 1000).cast("string"), 3, "0")))
-            .when(ip >= 1000, F.concat(_div(ip, 1000).cast("string"), F.lit(","),
-                                       F.lpad((ip % 1000).cast("string"), 3, "0")))
-            .otherwise(ip.cast("string"))
-        )
-        return F.concat(F.lit("$"), grouped, F.lit("."), fp)
-    return F.concat(ip.cast("string"), F.lit("."), fp)
+def _cents_text(c: Column) -> Column:
+    return F.concat(_div(c, 100).cast("string"), F.lit("."), F.lpad((c % 100).cast("string"), 2, "0"))
 
 
 def _dirty_money(cents: Column, k: Column, j: int) -> Column:
     style = (k + j) % 7
-    plain = _cents_text(cents)
+    ip, fp = _div(cents, 100), F.lpad((cents % 100).cast("string"), 2, "0")
+    plain = F.concat(ip.cast("string"), F.lit("."), fp)
     return (
         F.when(cents.isNull(), F.lit(None).cast("string"))
         .when(style == 0, plain)
         .when(style == 1, F.concat(F.lit(" "), plain))
         .when(style == 2, F.concat(plain, F.lit(" ")))
-        .when(style == 3, _cents_text(cents, thousands=True))
-        .when(style == 4, F.concat(_div(cents, 100).cast("string"), F.lit(","),
-                                   F.lpad((cents % 100).cast("string"), 2, "0")))
+        .when(style == 3, F.concat(F.lit("$"), F.format_number(ip, 0), F.lit("."), fp))
+        .when(style == 4, F.concat(ip.cast("string"), F.lit(","), fp))
         .when(style == 5, _pick(MONEY_NULLS, _div(k, 7) % 6))
         .otherwise(F.when(k % 2 == 0, F.lit("")).otherwise(F.lit("   ")))
     )
@@ -118,8 +106,10 @@ def _dirty_date(d: Column, i: Column, k: Column) -> Column:
 def order_lines(spark: SparkSession, sf_dir: str, dirty: bool = True) -> DataFrame:
     """Order lines as all-STRING columns named as the cleaning plan reads them."""
     rd = lambda t: spark.read.parquet(f"{sf_dir}/{t}.parquet")
+    # Hash-partition lines by order key: this is the exchange the join with orders needs
+    # at scale anyway, and it spreads the text rendering over tasks when orders is broadcast.
     li = rd("lineitem").select("l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity",
-                               "l_extendedprice", "l_discount", "l_shipdate")
+                               "l_extendedprice", "l_discount", "l_shipdate").repartition("l_orderkey")
     o = rd("orders").select("o_orderkey", "o_custkey", "o_orderdate")
     c = rd("customer").select("c_custkey", "c_name", "c_nationkey", "c_mktsegment")
     p = rd("part").select("p_partkey", "p_name", "p_brand", "p_type", "p_size", "p_retailprice")

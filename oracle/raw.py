@@ -67,6 +67,18 @@ def _date(d: str, i: str, kk: str) -> str:
     return f"CASE WHEN ({kk}) % 5 = 0 THEN ' ' || ({body}) || ' ' ELSE ({body}) END"
 
 
+RAW_COLUMNS = (
+    "order_item_id", "order_id", "customer_id", "order_customer_id", "product_card_id", "order_item_cardprod_id",
+    "order_date", "shipping_date", "order_status", "delivery_status", "shipping_mode", "customer_segment",
+    "order_region", "market", "late_delivery_risk", "real_shipping_days", "scheduled_days_for_shipment",
+    "sales", "order_item_total", "order_item_product_price", "order_item_discount", "order_profit_per_order",
+    "benefit_per_order", "sales_per_customer", "order_item_discount_rate", "order_item_profit_ratio",
+    "order_item_quantity", "order_country", "order_state", "customer_fname", "customer_lname", "customer_city",
+    "customer_state", "customer_country", "category_id", "category_name", "department_id", "department_name",
+    "product_name", "product_price", "product_status",
+)
+
+
 def raw_order_lines_sql() -> str:
     """SELECT producing the dirty raw order lines (all VARCHAR)."""
     base = f"""
@@ -154,9 +166,10 @@ def raw_order_lines_sql() -> str:
         "product_price": _cents("CAST(round(p_retailprice * 100) AS BIGINT)"),
         "product_status": "'0'",
     }
+    assert tuple(cols) == RAW_COLUMNS
     sel = ",\n      ".join(f"{v} AS {name}" for name, v in cols.items())
     return (f"SELECT {sel}\n    FROM ({base}) b\n    CROSS JOIN generate_series(1, "
             f"CASE WHEN b.k % 67 = 0 THEN 2 ELSE 1 END) AS copies(c)")
 
 
-RAW_COLUMNS = None  # filled lazily by callers that need the order
+
