@@ -39,20 +39,47 @@ REFERENCE_CEILING = dt.date(2026, 7, 30)
 # ---------------------------------------------------------------------------
 
 
+def format_shape(fmt: str) -> str:
+    """A regex accepting every text the Spark pattern ``fmt`` can parse (numeric fields ->
+    digits, text fields -> letters, literals as is). Parsing is attempted only on matching
+    text, so non-matching rows skip the formatter's failure path (an exception per try)."""
+    out, i = ["^"], 0
+    while i < len(fmt):
+        ch = fmt[i]
+        j = i
+        while j < len(fmt) and fmt[j] == ch:
+            j += 1
+        run = j - i
+        if ch in "yMdHhms":
+            out.append("[A-Za-z]+" if ch == "M" and run >= 3 else "[0-9]+")
+        elif ch == "E":
+            out.append("[A-Za-z]+")
+        elif ch == "'":
+            raise ValueError("quoted literals are not supported in date formats")
+        else:
+            out.append("\\" + ch if not ch.isalnum() and ch != " " else ch)
+            if run > 1:
+                out.extend([out[-1]] * (run - 1))
+        i = j
+    out.append("$")
+    return "".join(out)
+
+
+def _parse_one(t: Column, fmt: str) -> Column:
+    ts = F.when(t.rlike(format_shape(fmt)), F.try_to_timestamp(t, F.lit(fmt)))
+    if "yy" in fmt and "yyyy" not in fmt:
+        # Spark reads 'yy' as 2000..2099; move 2069..2099 back a century.
+        ts = F.when(F.year(ts) >= TWO_DIGIT_YEAR_PIVOT, F.add_months(ts, -1200).cast("timestamp")).otherwise(ts)
+    return ts
+
+
 def parse_date(c: Column | str, formats: Sequence[str]) -> Column:
     """First format that parses the trimmed text wins -> DATE; nothing parses -> NULL.
 
     Invalid calendar dates and trailing text do not parse (``try_to_timestamp``).
     """
     t = utrim(c)
-    parsed = []
-    for fmt in formats:
-        ts = F.try_to_timestamp(t, F.lit(fmt))
-        if "yy" in fmt and "yyyy" not in fmt:
-            # Spark reads 'yy' as 2000..2099; move 2069..2099 back a century.
-            ts = F.when(F.year(ts) >= TWO_DIGIT_YEAR_PIVOT, F.add_months(ts, -1200).cast("timestamp")).otherwise(ts)
-        parsed.append(ts)
-    return F.coalesce(*parsed).cast("date")
+    return F.coalesce(*[_parse_one(t, f) for f in formats]).cast("date")
 
 
 def parse_date_candidates(
@@ -60,8 +87,15 @@ def parse_date_candidates(
     month_first: Sequence[str] = MONTH_FIRST_FORMATS,
     day_first: Sequence[str] = DAY_FIRST_FORMATS,
 ) -> tuple[Column, Column]:
-    """(month-first reading, day-first reading) of one text date column."""
-    return parse_date(c, month_first), parse_date(c, day_first)
+    """(month-first reading, day-first reading) of one text date column.
+
+    Formats shared by both lists are parsed once (same expression object, so the
+    projection evaluates it once)."""
+    t = utrim(c)
+    parsed = {f: _parse_one(t, f) for f in dict.fromkeys([*month_first, *day_first])}
+    mf = F.coalesce(*[parsed[f] for f in month_first]).cast("date")
+    df = F.coalesce(*[parsed[f] for f in day_first]).cast("date")
+    return mf, df
 
 
 def forced_date(mf: Column, df: Column) -> Column:

@@ -1,5 +1,76 @@
-"""Data-quality queries over the driver data (filled in below)."""
+"""The reference's diagnostics and validations as queries over the driver data.
+
+``raw(spark, sf_dir)`` gives the raw order lines, ``star(spark, sf_dir)`` the written
+staging and star tables; each entry maps a query name to ``(spark, sf_dir) -> DataFrame``.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from acct_health.functions.money import safe_int
+from acct_health.operators import integrity as I
+from acct_health.operators import profile as P
+from acct_health.plans.cleaning import MONEY_COLUMNS
+from acct_health.plans.star import build_dim_date
+
+DAY_COLUMNS = ("real_shipping_days", "scheduled_days_for_shipment")
+NULL_CHECK_COLUMNS = ("order_item_total", "order_item_product_price", "order_item_discount",
+                      "order_profit_per_order", "benefit_per_order", "sales_per_customer")
 
 
 def queries(raw, star):
-    return {}
+    stg = lambda s, d: star(s, d)["stg_orders_final"]
+    fact = lambda s, d: star(s, d)["fact_order_item"]
+
+    def orphan_dates(s, d):
+        f = fact(s, d)
+        lo, hi = f.agg(F.min("order_date_clean"), F.max("order_date_clean")).first()
+        import datetime as dt
+        cal = build_dim_date(s, dt.date(lo.year, 1, 1), dt.date(hi.year, 12, 31))
+        return I.orphan_count(f, cal, "order_date_key", "date_key", skip_null_keys=True, name="orphaned_date_rows")
+
+    q = {
+        "key_uniqueness_raw": lambda s, d: P.key_uniqueness(raw(s, d), "order_item_id"),
+        "key_uniqueness_staging": lambda s, d: P.key_uniqueness(stg(s, d), "order_item_id"),
+        "duplicate_keys": lambda s, d: P.duplicate_keys(raw(s, d), "order_item_id"),
+        "column_mismatch_count": lambda s, d: P.column_mismatch_count(raw(s, d), "customer_id", "order_customer_id"),
+        "duplicate_row_count": lambda s, d: P.duplicate_row_count(raw(s, d)),
+        "schema_profile": lambda s, d: P.schema_profile(raw(s, d), DAY_COLUMNS),
+        "date_quality_summary": lambda s, d: P.date_quality_summary(stg(s, d)),
+        "value_counts_order_status_raw": lambda s, d: P.value_counts(raw(s, d), "order_status"),
+        "value_counts_shipping_mode_raw": lambda s, d: P.value_counts(raw(s, d), "shipping_mode"),
+        "value_counts_order_country_raw": lambda s, d: P.value_counts(raw(s, d), "order_country", top=60),
+        "value_counts_shipping_mode": lambda s, d: P.value_counts(stg(s, d), "shipping_mode_clean"),
+        "value_counts_order_status": lambda s, d: P.value_counts(stg(s, d), "order_status_clean"),
+        "value_counts_delivery_status": lambda s, d: P.value_counts(stg(s, d), "delivery_status_clean"),
+        "value_counts_late_risk": lambda s, d: P.value_counts(stg(s, d), "late_delivery_risk_clean"),
+        "value_counts_segment": lambda s, d: P.value_counts(stg(s, d), "customer_segment_clean"),
+        "value_counts_region": lambda s, d: P.value_counts(stg(s, d), "order_region_clean"),
+        "value_counts_market": lambda s, d: P.value_counts(stg(s, d), "market_clean"),
+        "value_counts_country": lambda s, d: P.value_counts(stg(s, d), "order_country_clean"),
+        "quantity_histogram": lambda s, d: P.value_counts(stg(s, d), safe_int("order_item_quantity"), "qty"),
+        "day_count_profile": lambda s, d: P.int_range_profile(stg(s, d), DAY_COLUMNS),
+        "flag_consistency": lambda s, d: P.flag_consistency(stg(s, d), "real_shipping_days_clean",
+                                                            "scheduled_days_for_shipment_clean",
+                                                            "late_delivery_risk_clean"),
+        "uncastable_sales": lambda s, d: P.uncastable_values(stg(s, d), "sales", "double", 30),
+        "range_check_discount_rate": lambda s, d: P.range_check(stg(s, d), "order_item_discount_rate", 0.0, 1.0,
+                                                                "rate"),
+        "range_check_profit_ratio": lambda s, d: P.range_check(stg(s, d), "order_item_profit_ratio", prefix="ratio"),
+        "null_counts_money": lambda s, d: P.null_counts(stg(s, d), NULL_CHECK_COLUMNS),
+        "cardinality_order_state": lambda s, d: P.cardinality_profile(stg(s, d), "order_state"),
+        "parse_failure_counts": lambda s, d: P.parse_failure_counts(stg(s, d), {c: f"{c}_clean" for c in MONEY_COLUMNS}),
+        "sales_profile": lambda s, d: P.magnitude_profile(stg(s, d), "sales_clean"),
+        "quantity_flag_counts": lambda s, d: P.flag_counts(stg(s, d), "is_quantity_missing", "is_quantity_invalid"),
+        "row_count_match": lambda s, d: I.row_count_match(stg(s, d), fact(s, d), "staging_rows", "fact_rows"),
+        "orphan_customers": lambda s, d: I.orphan_count(fact(s, d), star(s, d)["dim_customer"], "customer_id",
+                                                        name="orphaned_customer_rows"),
+        "orphan_products": lambda s, d: I.orphan_count(fact(s, d), star(s, d)["dim_product"], "product_card_id",
+                                                       name="orphaned_product_rows"),
+        "orphan_dates": orphan_dates,
+        "dim_coverage": lambda s, d: I.dim_coverage(fact(s, d), {
+            "dim_customer": (star(s, d)["dim_customer"], "customer_id"),
+            "dim_product": (star(s, d)["dim_product"], "product_card_id")}),
+    }
+    return q

@@ -102,4 +102,7 @@ def oracle_queries(ceiling: dt.date, first_cohort: dt.date, call_list: int) -> d
     idx = range(0, 79)
     cols = ", ".join(f"max(CASE WHEN month_index = {i} THEN retention_pct END) AS m{i}" for i in idx)
     q["cohort_matrix"] = M(f"SELECT cohort_month, {cols} FROM mart_cohort GROUP BY cohort_month")
+    from oracle.quality import quality_queries
+
+    q.update(quality_queries(ceiling))
     return q
