@@ -71,21 +71,24 @@ def ntile_global(
     rows_per_bucket: int = 2_000_000,
     sample_per_bucket: int = 64,
     seed: int = 17,
+    n: int | None = None,
 ) -> DataFrame:
     """Add ``out`` = NTILE(k) over ``order`` (list of (column, descending)) + ``tie_break``.
 
     ASC puts NULLs first and DESC puts them last (Spark's and the reference's defaults).
     ``df`` should be deterministic across passes (persist/checkpoint it when it is
-    expensive); it is read three times: count, sample, and the ranking itself.
+    expensive); it is read three times: count, sample, and the ranking itself. Pass its
+    row count as ``n`` when already known.
     """
     if k < 1:
         raise ValueError("k must be >= 1")
     parts = _key_parts(df, order, tie_break)
     keyed = df.withColumn("__key", F.struct(*[p.alias(f"f{i}") for i, p in enumerate(parts)]))
-    n = keyed.count()
+    if n is None:
+        n = keyed.count()
     if buckets is None:
-        default = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions") or 8)
-        buckets = max(default, math.ceil(n / rows_per_bucket))
+        # one task ranks at most ``rows_per_bucket`` rows; small inputs need no sampling
+        buckets = math.ceil(n / rows_per_bucket)
     buckets = max(1, min(buckets, MAX_BUCKETS, max(n, 1)))
 
     splits: list[Column] = []

@@ -35,9 +35,10 @@ def rfm_base(fact: DataFrame, snapshot: dt.date = REFERENCE_CEILING) -> DataFram
 
 def rfm_scores(base: DataFrame, k: int = 5, buckets: int | None = None) -> DataFrame:
     """r_score (recency DESC), f_score, m_score (ASC) as global NTILE(k), customer_id tie-break."""
-    s = ntile_global(base, k, [("recency_days", True)], ["customer_id"], "r_score", buckets=buckets)
-    s = ntile_global(s, k, [("frequency", False)], ["customer_id"], "f_score", buckets=buckets)
-    return ntile_global(s, k, [("monetary", False)], ["customer_id"], "m_score", buckets=buckets)
+    n = base.count()
+    s = ntile_global(base, k, [("recency_days", True)], ["customer_id"], "r_score", buckets=buckets, n=n)
+    s = ntile_global(s, k, [("frequency", False)], ["customer_id"], "f_score", buckets=buckets, n=n)
+    return ntile_global(s, k, [("monetary", False)], ["customer_id"], "m_score", buckets=buckets, n=n)
 
 
 def churn_flag(recency: Column | str = "recency_days", days: int = CHURN_DAYS) -> Column:
@@ -54,8 +55,18 @@ def rfm_segment(score: Column | str = "rfm_score") -> Column:
 
 
 def mart_churn_rfm(fact: DataFrame, snapshot: dt.date = REFERENCE_CEILING, buckets: int | None = None,
-                   base: DataFrame | None = None) -> DataFrame:
+                   base: DataFrame | None = None, materialize: bool = True) -> DataFrame:
+    """Per-customer RFM scores, churn flag and tier.
+
+    The per-customer base is read by each of the three global NTILE passes (count,
+    sample, rank); with ``materialize`` it is checkpointed once (it is one row per
+    customer, far smaller than the fact) instead of re-aggregating the fact each time.
+    """
+    from acct_health.plans.warehouse import lineage_cut
+
     base = base if base is not None else rfm_base(fact, snapshot)
+    if materialize:
+        base = lineage_cut(base)
     s = rfm_scores(base, buckets=buckets).withColumn("rfm_score", F.col("r_score") + F.col("f_score") + F.col("m_score"))
     return s.select("customer_id", "recency_days", "frequency", "monetary", "avg_delivery_delay",
                     "r_score", "f_score", "m_score", "rfm_score",

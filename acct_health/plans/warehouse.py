@@ -20,7 +20,21 @@ from acct_health.plans.star import build_dim_customer, build_dim_product, build_
 from acct_health.sources.io import write_table
 
 _BUILT: dict[tuple, str] = {}
-TABLES = ("stg_orders_final", "fact_order_item", "dim_customer", "dim_product")
+TABLES = ("raw_order_lines", "stg_orders_final", "fact_order_item", "dim_customer", "dim_product")
+
+
+def lineage_cut(df: DataFrame) -> DataFrame:
+    """Checkpoint ``df`` into the session's ``spark.checkpoint.dir`` when one is configured
+    (a shared folder on a cluster); otherwise return it unchanged (still correct: every
+    input it is recomputed from is deterministic)."""
+    sc = df.sparkSession.sparkContext
+    if sc.getCheckpointDir():
+        # persist first: an eager checkpoint otherwise computes the plan twice
+        df.persist()
+        out = df.checkpoint(eager=True)
+        df.unpersist()
+        return out
+    return df
 
 
 def table_root(spark: SparkSession) -> str:
@@ -31,8 +45,10 @@ def table_root(spark: SparkSession) -> str:
 
 
 def build_star(spark: SparkSession, raw: DataFrame, ceiling: dt.date, root: str) -> dict[str, str]:
-    """Write staging, fact and dimensions under ``root``; return their paths."""
+    """Write the raw lines, staging, fact and dimensions under ``root``; return their paths."""
     paths = {t: f"{root}/{t}" for t in TABLES}
+    write_table(raw, paths["raw_order_lines"])
+    raw = spark.read.parquet(paths["raw_order_lines"])
     write_table(clean_orders(raw), paths["stg_orders_final"])
     stg = spark.read.parquet(paths["stg_orders_final"])
     write_table(build_fact(stg, ceiling), paths["fact_order_item"])
