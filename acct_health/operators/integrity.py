@@ -17,15 +17,19 @@ def orphan_count(fact: DataFrame, dim: DataFrame, key: str, dim_key: str | None
                  skip_null_keys: bool = False, name: str = "orphaned_rows") -> DataFrame:
     """Fact rows whose key has no dimension row (a NULL key counts unless ``skip_null_keys``).
 
-    Written as a left anti join: Catalyst keeps LEFT JOIN ... WHERE dim.key IS NULL as an
-    outer join plus filter, while the anti join emits nothing for matched rows. The
-    dimension side is left to the planner's size-based broadcast choice."""
+    The fact is first reduced to (key, rows) with a map-side partial aggregate, so the
+    join sees one row per distinct key however skewed the fact is; then a left anti join
+    (Catalyst keeps LEFT JOIN ... WHERE dim.key IS NULL as outer join + filter) and a sum.
+    The dimension side is left to the planner's size-based broadcast choice.
+    """
     dim_key = dim_key or key
     f = fact.select(F.col(key).alias("__k"))
     if skip_null_keys:
         f = f.filter(F.col("__k").isNotNull())
+    per_key = f.groupBy("__k").agg(F.count(F.lit(1)).alias("__n"))
     d = dim.select(F.col(dim_key).alias("__k"))
-    return f.join(d, "__k", "left_anti").agg(F.count(F.lit(1)).alias(name))
+    missing = per_key.join(d, "__k", "left_anti")
+    return missing.agg(F.coalesce(F.sum("__n"), F.lit(0)).cast("long").alias(name))
 
 
 def dim_coverage(fact: DataFrame, dims: Mapping[str, tuple[DataFrame, str]]) -> DataFrame:

@@ -26,14 +26,18 @@ def mart_cohort(fact: DataFrame, ceiling: dt.date = REFERENCE_CEILING, entity: s
                 date: str = "order_date_clean") -> DataFrame:
     """cohort_month, month_index, active_customers, cohort_size, retention_pct.
 
-    Plan: reduce the fact to distinct (customer, month) pairs first (map-side partial
-    aggregate, so a customer's many lines shrink to at most one per month before any
-    shuffle); the cohort window then sees a bounded number of rows per customer. Cohort
-    size comes from a window over the small (cohort, index) table instead of a self join.
+    Plan (three exchanges, none carrying raw lines): ``collect_set`` of active months per
+    customer combines map-side, so each task ships at most one entry per (customer,
+    month) and a customer's set is bounded by the number of calendar months however
+    many lines the customer has; the cohort is the set's minimum, and exploding the set
+    gives the distinct (cohort, month index) cells. Cohort size comes from a window over
+    the small (cohort, index) table instead of a self join.
     """
-    pairs = (fact.filter(F.col(date).isNotNull())
-             .select(entity, F.trunc(date, "MM").alias("order_month")).distinct())
-    activity = (cohort_index(pairs, entity)
+    months = (fact.filter(F.col(date).isNotNull())
+              .groupBy(entity).agg(F.collect_set(F.trunc(date, "MM")).alias("__months")))
+    cells = months.select(F.array_min("__months").alias("cohort_month"),
+                          F.explode("__months").alias("__month"))
+    activity = (cells.withColumn("month_index", month_diff("__month", "cohort_month"))
                 .groupBy("cohort_month", "month_index")
                 .agg(F.count(F.lit(1)).alias("active_customers")))
     size = F.max(F.when(F.col("month_index") == 0, F.col("active_customers"))).over(
