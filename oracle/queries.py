@@ -23,6 +23,20 @@ def oracle_queries(ceiling: dt.date, first_cohort: dt.date, call_list: int) -> d
                 - INTERVAL 1 DAY, INTERVAL 1 DAY)) AS DATE) AS d)"""
     q = {
         "clean_orders": f"WITH {staging_ctes()}\nSELECT * FROM stg",
+        "drop_exact_duplicates": f"WITH {staging_ctes()}\nSELECT * FROM dedup",
+        "date_resolution": (f"WITH {staging_ctes().replace('FROM dedup', 'FROM raw')}\n"
+                            "SELECT order_item_id, order_date, shipping_date, o_mf AS order_date_monthfirst, "
+                            "o_df AS order_date_dayfirst, s_mf AS shipping_date_monthfirst, "
+                            "s_df AS shipping_date_dayfirst, o_f AS order_date_forced, s_f AS shipping_date_forced, "
+                            "order_date_clean, shipping_date_clean FROM resolved"),
+        "ceiling_corrections": F_("""SELECT
+            count_if(s.order_date_clean IS NOT NULL AND f.order_date_clean IS DISTINCT FROM s.order_date_clean)
+              AS order_dates_moved,
+            count_if(s.shipping_date_clean IS NOT NULL
+                     AND f.shipping_date_clean IS DISTINCT FROM s.shipping_date_clean) AS shipping_dates_moved,
+            count_if(s.order_date_clean IS NOT NULL AND f.order_date_clean IS NULL) AS order_dates_nulled,
+            count_if(s.shipping_date_clean IS NOT NULL AND f.shipping_date_clean IS NULL) AS shipping_dates_nulled
+          FROM stg s JOIN fact f ON s.order_item_id = f.order_item_id"""),
         "fact_order_item": F_("SELECT * FROM fact"),
         "dim_customer": F_("SELECT * FROM dim_customer"),
         "dim_product": F_("SELECT * FROM dim_product"),
