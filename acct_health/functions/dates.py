@@ -39,10 +39,22 @@ REFERENCE_CEILING = dt.date(2026, 7, 30)
 # ---------------------------------------------------------------------------
 
 
+# Numeric fields by range (leading zeros allowed), so text that cannot be a valid month,
+# day, hour, minute or second is rejected before the formatter is tried.
+_FIELD_RANGES = {
+    "M": "0*(?:[1-9]|1[0-2])",
+    "d": "0*(?:[1-9]|[12][0-9]|3[01])",
+    "H": "0*(?:[0-9]|1[0-9]|2[0-3])",
+    "m": "0*[0-5]?[0-9]",
+    "s": "0*[0-5]?[0-9]",
+}
+
+
 def format_shape(fmt: str) -> str:
     """A regex accepting every text the Spark pattern ``fmt`` can parse (numeric fields ->
-    digits, text fields -> letters, literals as is). Parsing is attempted only on matching
-    text, so non-matching rows skip the formatter's failure path (an exception per try)."""
+    digits within the field's range, text fields -> letters, literals as is). Parsing is
+    attempted only on matching text, so non-matching rows (e.g. a day-first date read
+    month-first) skip the formatter's failure path, which costs an exception per try."""
     out, i = ["^"], 0
     while i < len(fmt):
         ch = fmt[i]
@@ -50,8 +62,12 @@ def format_shape(fmt: str) -> str:
         while j < len(fmt) and fmt[j] == ch:
             j += 1
         run = j - i
-        if ch in "yMdHhms":
-            out.append("[A-Za-z]+" if ch == "M" and run >= 3 else "[0-9]+")
+        if ch == "M" and run >= 3:
+            out.append("[A-Za-z]+")
+        elif ch in _FIELD_RANGES:
+            out.append(_FIELD_RANGES[ch])
+        elif ch in "yh":
+            out.append("[0-9]+")
         elif ch == "E":
             out.append("[A-Za-z]+")
         elif ch == "'":
