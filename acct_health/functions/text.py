@@ -83,12 +83,18 @@ COUNTRY_SYNONYMS: Mapping[str, tuple[str, ...]] = {
 }
 # ---------------------------------------------------------------------------
 
-_TRIM_RE = r"(?U)^\s+|\s+$"
+# The Unicode White_Space characters (what a SQL TRIM of "whitespace" removes).
+UNICODE_WHITESPACE = (
+    "\t\n\x0b\x0c\r \x85\xa0\u1680"
+    "\u2000\u2001\u2002\u2003\u2004\u2005\u2006\u2007\u2008\u2009\u200a"
+    "\u2028\u2029\u202f\u205f\u3000"
+)
 
 
 def utrim(c: Column | str) -> Column:
-    """Trim all Unicode whitespace at both ends (Spark's ``trim`` strips only U+0020)."""
-    return F.regexp_replace(_col(c), _TRIM_RE, "")
+    """Trim all Unicode whitespace at both ends (Spark's one-argument ``trim`` strips only
+    U+0020). A character-set trim: no regular expression per value."""
+    return F.btrim(_col(c), F.lit(UNICODE_WHITESPACE))
 
 
 def strip_junk(c: Column | str, snippets: Sequence[str] = JUNK_SNIPPETS) -> Column:
