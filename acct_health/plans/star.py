@@ -84,29 +84,42 @@ def build_dim_date(spark: SparkSession, start: dt.date = REFERENCE_CALENDAR[0],
     return spine.select(*[v.alias(k) for k, v in calendar_attributes("full_date").items()])
 
 
+def _min_per_key(df: DataFrame, key: str, cols: dict) -> DataFrame:
+    """``min`` of each column per key. Distinct rows first: that step is a hash aggregate
+    on keys only (map-side dedupe), so the string ``min`` (a sort-based aggregate) only
+    sees the few distinct combinations per key, never every line."""
+    narrow = df.select(key, *[v.alias(k) for k, v in cols.items()]).distinct()
+    return narrow.groupBy(key).agg(*[F.min(k).alias(k) for k in cols])
+
+
 def build_dim_customer(stg: DataFrame) -> DataFrame:
     """One row per customer; descriptive fields take the smallest value (ANY_VALUE made
-    reproducible); segment = latest non-null cleaned segment by the staging order date."""
-    return stg.groupBy("customer_id").agg(
-        F.min("customer_fname").alias("customer_fname"),
-        F.min("customer_lname").alias("customer_lname"),
-        latest_non_null("customer_segment_clean", "order_date_clean").alias("customer_segment"),
-        F.min("customer_city").alias("customer_city"),
-        F.min("customer_state").alias("customer_state"),
-        F.min("customer_country").alias("customer_country"),
-    )
+    reproducible); segment = latest non-null cleaned segment by the staging order date.
+
+    The segment is reduced to (customer, segment, latest date) by a hash aggregate before
+    the per-customer pick, which then sees at most one row per segment value."""
+    attrs = _min_per_key(stg, "customer_id", {c: F.col(c) for c in (
+        "customer_fname", "customer_lname", "customer_city", "customer_state", "customer_country")})
+    seg = (stg.filter(F.col("customer_segment_clean").isNotNull())
+           .groupBy("customer_id", "customer_segment_clean")
+           .agg(F.max("order_date_clean").alias("__d"))
+           .groupBy(F.col("customer_id").alias("__cid"))
+           .agg(latest_non_null("customer_segment_clean", "__d").alias("customer_segment")))
+    j = attrs.join(seg, attrs.customer_id.eqNullSafe(seg.__cid), "left")
+    return j.select("customer_id", "customer_fname", "customer_lname", "customer_segment",
+                    "customer_city", "customer_state", "customer_country")
 
 
 def build_dim_product(stg: DataFrame) -> DataFrame:
     """One row per product (ANY_VALUE made reproducible with ``min``); ids typed BIGINT,
     price kept as uncleaned text like the reference."""
     from acct_health.functions.money import safe_int
-    return stg.groupBy("product_card_id").agg(
-        F.min(safe_int("category_id")).alias("category_id"),
-        F.min("category_name").alias("category_name"),
-        F.min(safe_int("department_id")).alias("department_id"),
-        F.min("department_name").alias("department_name"),
-        F.min("product_name").alias("product_name"),
-        F.min("product_price").alias("product_price"),
-        F.min("product_status").alias("product_status"),
-    )
+    return _min_per_key(stg, "product_card_id", {
+        "category_id": safe_int("category_id"),
+        "category_name": F.col("category_name"),
+        "department_id": safe_int("department_id"),
+        "department_name": F.col("department_name"),
+        "product_name": F.col("product_name"),
+        "product_price": F.col("product_price"),
+        "product_status": F.col("product_status"),
+    })
