@@ -58,6 +58,9 @@ def oracle_queries(ceiling: dt.date, first_cohort: dt.date, call_list: int) -> d
             {sround('sum(late_delivery_risk) / count(*) * 100', 2)} AS late_rate_pct
           FROM mart_funnel WHERE order_region IS NOT NULL AND late_delivery_risk IS NOT NULL
           GROUP BY order_region"""),
+        "kpi_late_rate": M(f"""SELECT count(*) AS total_rows, CAST(sum(late_delivery_risk) AS BIGINT) AS late_count,
+            {sround('avg(CAST(late_delivery_risk AS DOUBLE)) * 100', 2)} AS late_rate_pct
+          FROM mart_funnel WHERE late_delivery_risk IS NOT NULL"""),
         "mart_cohort": M("SELECT * FROM mart_cohort"),
         "cohort_curve": M(f"SELECT * FROM mart_cohort WHERE cohort_month = DATE '{fc}'"),
         "kpi_retention": M(f"""SELECT {sround('avg(CASE WHEN month_index >= 1 THEN retention_pct END)', 2)}
