@@ -28,9 +28,11 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8) -> SparkS
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """Return the session's checkpoint dir; set a scratch one only when none is configured.
+    """Return the session's checkpoint dir; set a scratch one only when none is configured
+    and the master is local.
 
-    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used as is.
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used as is; without it
+    this raises, for a folder of one machine is not seen by the others.
     """
     sc = spark.sparkContext
     current = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
@@ -38,6 +40,8 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         if not sc.getCheckpointDir():
             sc.setCheckpointDir(current)
         return current
+    if not (sc.master == "local" or sc.master.startswith("local[")):
+        raise RuntimeError("spark.checkpoint.dir is not set: it must name a folder that all executors share")
     path = tempfile.mkdtemp(prefix="acct-health-ckpt-", dir=os.environ.get("TMPDIR", "/tmp"))
     sc.setCheckpointDir(path)
     return path
