@@ -2,10 +2,16 @@
 
 from __future__ import annotations
 
+from acct_health.llm.bpe import op4_bpe
 from acct_health.llm.sharding import op9_sharding
 from acct_health.llm.simhash import op6_simhash
+from acct_health.llm.token_binary import op3_token_binary
+from acct_health.llm.token_counts import op5_token_counts
 
 QUERIES = {
+    "op3_token_binary": op3_token_binary,
+    "op4_bpe": op4_bpe,
+    "op5_token_counts": op5_token_counts,
     "op6_simhash": op6_simhash,
     "op9_sharding": op9_sharding,
 }
