@@ -5,6 +5,7 @@ from __future__ import annotations
 from acct_health.llm.bpe import op4_bpe
 from acct_health.llm.decontamination import op10_decontamination
 from acct_health.llm.language import op7_language
+from acct_health.llm.pii import op8_pii
 from acct_health.llm.sharding import op9_sharding
 from acct_health.llm.simhash import op6_simhash
 from acct_health.llm.token_binary import op3_token_binary
@@ -16,6 +17,7 @@ QUERIES = {
     "op5_token_counts": op5_token_counts,
     "op6_simhash": op6_simhash,
     "op7_language": op7_language,
+    "op8_pii": op8_pii,
     "op9_sharding": op9_sharding,
     "op10_decontamination": op10_decontamination,
 }
