@@ -62,29 +62,63 @@ FIRST_NAMES = ("alice anna bob carlos carol charles daniel david elena emma eva
                "thomas william").split()
 DUMMIES = ("123-45-6789", "078-05-1120", "555-555-5555", "d41d8cd98f00b204e9800998ecf8427e")
 
+LOCATED = "array<struct<start:int,end:int,match:string,before:string,after:string>>"
+BLOCK = 128  # matches in one fold
 CONTEXT = 40  # characters before a candidate that the context labeler reads
 THRESHOLD = 0.5
 ROUNDS = 25  # of expectation-maximisation
+BLOT = "\u0001"
 VALUES = 64  # of each feature of the classifier
 LABELERS = 4
 FEATURES = 4 + LABELERS
 AGAINST_VOTE, ABSTAIN, FOR_VOTE = 0, 1, 2
 
 
+def let(value: Column, body) -> Column:
+    """``body(value)``, with ``value`` computed once however often ``body`` names it."""
+    return F.element_at(F.transform(F.array(value), body), 1)
+
+
+def _blocks(items: Column) -> Column:
+    """An array cut into arrays of up to ``BLOCK`` items, so that folds that append stay short."""
+    return F.transform(F.sequence(F.lit(0), F.floor((F.size(items) - 1) / BLOCK).cast("int")),
+                       lambda b: F.slice(items, b * BLOCK + 1, F.lit(BLOCK)))
+
+
 def located(text: Column, pattern: str) -> Column:
-    """array<struct<start, end, match>> of the leftmost non-overlapping matches, in code points."""
-    matches, gaps = F.regexp_extract_all(text, F.lit(pattern), F.lit(0)), F.split(text, pattern, -1)
-    none = F.array().cast("array<struct<start:int,end:int,match:string>>")
+    """array<struct<start, end, match, before, after>> of the leftmost non-overlapping matches, in code points; before
+    and after: up to ``CONTEXT`` characters since the last match, and the one that follows."""
+    none = F.array().cast(LOCATED)
 
     def step(acc, x):
         start = acc["at"] + F.length(x["gap"])
         end = start + F.length(x["match"])
-        return F.struct(end.alias("at"), F.concat(acc["spans"], F.array(F.struct(
-            start.alias("start"), end.alias("end"), x["match"].alias("match")))).alias("spans"))
+        before = F.when(F.length(x["gap"]) > CONTEXT, F.substring(x["gap"], -CONTEXT, CONTEXT)).otherwise(x["gap"])
+        span = F.struct(start.alias("start"), end.alias("end"), x["match"].alias("match"), before.alias("before"),
+                        F.substring(x["next"], 1, 1).alias("after"))
+        return F.struct(end.alias("at"), F.concat(acc["spans"], F.array(span)).alias("spans"))
+
+    def fold(block):
+        return F.aggregate(block, F.struct(F.lit(0).alias("at"), none.alias("spans")), step)
+
+    def ahead(inner):
+        count = F.struct(F.lit(0).alias("at"), F.array().cast("array<int>").alias("list"))
+        return F.aggregate(inner, count, lambda a, x: F.struct((a["at"] + x["at"]).alias("at"),
+                                                               F.concat(a["list"], F.array(a["at"])).alias("list")))["list"]
 
-    pairs = F.filter(F.arrays_zip(matches.alias("match"), gaps.alias("gap")), lambda x: x["match"].isNotNull())
-    found = F.aggregate(pairs, F.struct(F.lit(0).alias("at"), none.alias("spans")), step)["spans"]
-    return F.when(F.regexp_like(text, F.lit(pattern)), found).otherwise(none)
+    def shifted(spans, by):
+        return F.transform(spans, lambda s: F.struct((s["start"] + by).alias("start"), (s["end"] + by).alias("end"),
+                                                     s["match"], s["before"], s["after"]))
+
+    def placed(x):
+        pairs = F.arrays_zip(x["m"].alias("match"), F.slice(x["g"], F.lit(1), F.size(x["m"])).alias("gap"),
+                             F.slice(x["g"], F.lit(2), F.size(x["m"])).alias("next"))
+        folded = let(pairs, lambda p: F.transform(_blocks(p), fold))
+        return let(folded, lambda inner: let(ahead(inner), lambda offs: F.flatten(
+            F.transform(inner, lambda b, i: shifted(b["spans"], offs[i])))))
+
+    found = F.struct(F.regexp_extract_all(text, F.lit(pattern), F.lit(0)).alias("m"), F.split(text, pattern, -1).alias("g"))
+    return F.when(F.regexp_like(text, F.lit(pattern)), let(found, placed).cast(LOCATED)).otherwise(none)
 
 
 def _digits(match: Column) -> Column:
@@ -121,8 +155,7 @@ def _valid(kind: str, span: Column) -> Column:
 def with_base(docs: DataFrame, text: str, out: str) -> DataFrame:
     """``docs`` with ``out``: array<struct<kind, start, end>> of the base spans, kinds as listed, then by start."""
     body = F.coalesce(F.col(text), F.lit(""))
-    rows = docs.withColumns({f"{out}_{k}": F.when(body.contains(NEEDS[k]), located(body, p)).otherwise(F.array().cast(
-        "array<struct<start:int,end:int,match:string>>")) if k in NEEDS else located(body, p) for k, p in BASE.items()})
+    rows = docs.withColumns({f"{out}_{k}": F.when(body.contains(NEEDS[k]), located(body, p)).otherwise(F.array().cast(LOCATED)) if k in NEEDS else located(body, p) for k, p in BASE.items()})
 
     def valid(k):
         good = F.filter(F.col(f"{out}_{k}"), lambda s: _valid(k, s))
@@ -151,23 +184,22 @@ def _bucket(value: Column) -> Column:
 
 def with_candidates(docs: DataFrame, text: str, base: str, out: str) -> DataFrame:
     """``docs`` with ``out``: array<struct<kind, start, end, votes, features>> of the candidates that touch no base span."""
-    body = F.coalesce(F.col(text), F.lit(""))
-    rows = docs.withColumns({f"{out}_{k}": located(body, p) for k, p in ADDED.items()})
+    # base spans are blotted out, so nothing found touches one, and places stay
+    rows = docs.withColumn(f"{out}_text", _rewritten(F.coalesce(F.col(text), F.lit("")), F.col(base), blotted=True))
+    rows = rows.withColumns({f"{out}_{k}": located(F.col(f"{out}_text"), p) for k, p in ADDED.items()})
 
     def described(k):
         def one(s):
-            before = F.substring(body, F.greatest(s["start"] - CONTEXT, F.lit(0)) + 1, F.least(s["start"], F.lit(CONTEXT)))
             shape = F.regexp_replace(F.regexp_replace(F.regexp_replace(s["match"], "[0-9]+", "9"), "[A-Z]+", "A"), "[a-z]+", "a")
-            votes = _votes(k, s["match"], before)
-            features = [F.least(s["end"] - s["start"], F.lit(VALUES - 1)), _bucket(shape), _bucket(F.substring(before, -1, 1)),
-                        _bucket(F.substring(body, s["end"] + 1, 1)), *votes]
+            votes = _votes(k, s["match"], s["before"])
+            features = [F.least(s["end"] - s["start"], F.lit(VALUES - 1)), _bucket(shape), _bucket(F.substring(s["before"], -1, 1)),
+                        _bucket(s["after"]), *votes]
             return F.struct(F.lit(k).alias("kind"), s["start"].alias("start"), s["end"].alias("end"), F.array(*votes).alias("votes"),
                             F.array(*[f.cast("int") for f in features]).alias("features"))
 
-        free = F.filter(F.col(f"{out}_{k}"), lambda s: ~F.exists(F.col(base), lambda b: (b["start"] < s["end"]) & (b["end"] > s["start"])))
-        return F.transform(free, one)
+        return F.transform(F.col(f"{out}_{k}"), one)
 
-    return rows.withColumn(out, F.concat(*[described(k) for k in ADDED])).drop(*[f"{out}_{k}" for k in ADDED])
+    return rows.withColumn(out, F.concat(*[described(k) for k in ADDED])).drop(f"{out}_text", *[f"{out}_{k}" for k in ADDED])
 
 
 def reliabilities(patterns: DataFrame, rounds: int = ROUNDS) -> DataFrame:
@@ -261,19 +293,46 @@ def told(spans: Column) -> Column:
     return F.concat_ws(",", F.transform(spans, lambda s: F.concat_ws(":", s["kind"], s["start"].cast("string"), s["end"].cast("string"))))
 
 
-def masked(text: Column, spans: Column) -> Column:
-    """``text`` with ``[KIND]`` for each span; of overlapping spans the one that begins first names the place."""
+def _rewritten(text: Column, spans: Column, blotted: bool = False) -> Column:
+    """``text`` with each span replaced: by ``[KIND]`` (of overlapping spans the one that begins first names the place),
+    or blotted out, character by character."""
+    def piece(acc, s):
+        if blotted:
+            return F.repeat(F.lit(BLOT), F.greatest(s["end"] - F.greatest(s["start"], acc["at"]), F.lit(0)))
+        return F.when(s["start"] >= acc["at"], F.concat(F.lit("["), F.upper(s["kind"]), F.lit("]"))).otherwise("")
+
+    def block(items, begin, end):
+        def told_from(part):
+            def step(acc, s):
+                gap = F.substring(part, acc["at"] - begin + 1, F.greatest(s["start"] - acc["at"], F.lit(0)))
+                return F.struct(F.greatest(s["end"], acc["at"]).alias("at"), F.concat(acc["parts"], F.array(gap, piece(acc, s))).alias("parts"))
+
+            first = F.struct(begin.alias("at"), F.array().cast("array<string>").alias("parts"))
+            return F.array_join(F.aggregate(items, first, step)["parts"], "")
+
+        return let(F.substring(text, begin + 1, end - begin), told_from)
+
+    def reach(blocks):
+        first = F.struct(F.lit(0).alias("at"), F.array(F.lit(0)).alias("list"))
+
+        def step(acc, x):
+            return let(F.greatest(acc["at"], F.array_max(F.transform(x, lambda s: s["end"]))), lambda m: F.struct(
+                m.alias("at"), F.concat(acc["list"], F.array(m)).alias("list")))
+
+        return F.aggregate(blocks, first, step)["list"]
+
+    def whole(blocks):
+        return let(reach(blocks), lambda r: F.concat(
+            F.array_join(F.transform(blocks, lambda x, i: block(x, r[i], r[i + 1])), ""),
+            F.substring(text, F.element_at(r, -1) + 1, F.length(text))))
+
     ordered = F.array_sort(F.transform(spans, lambda s: F.struct(s["start"].alias("start"), s["end"].alias("end"), s["kind"].alias("kind"))))
-    begin = F.struct(F.lit(0).alias("at"), F.lit("").alias("text"))
+    return F.when(F.size(spans) > 0, let(ordered, lambda o: let(_blocks(o), whole))).otherwise(text)
 
-    def step(acc, s):
-        fresh = s["start"] >= acc["at"]
-        kept = F.concat(acc["text"], F.substring(text, acc["at"] + 1, F.greatest(s["start"] - acc["at"], F.lit(0))),
-                        F.when(fresh, F.concat(F.lit("["), F.upper(s["kind"]), F.lit("]"))).otherwise(""))
-        return F.struct(F.greatest(s["end"], acc["at"]).alias("at"), kept.alias("text"))
 
-    done = F.aggregate(ordered, begin, step)
-    return F.when(F.size(spans) > 0, F.concat(done["text"], F.substring(text, done["at"] + 1, F.length(text)))).otherwise(text)
+def masked(text: Column, spans: Column) -> Column:
+    """``text`` with ``[KIND]`` for each span; of overlapping spans the one that begins first names the place."""
+    return _rewritten(text, spans)
 
 
 def mask_documents(docs: DataFrame, text: str = "text", chars: str = "n_chars") -> DataFrame:
