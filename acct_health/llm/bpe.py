@@ -19,8 +19,6 @@ from __future__ import annotations
 
 import base64
 import hashlib
-from array import array
-from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -33,6 +31,7 @@ from acct_health.llm.units import Memory, grouped
 PIECE_BYTES = 1 << 19  # bytes of pieces in one query
 DECODE_TOKENS = 1 << 20  # tokens in one query
 GROUP = 1 << 22  # characters whose new units are contracted together
+REMEMBERED = 300_000  # units that a worker keeps
 ROWS = 2048  # documents encoded or decoded together
 
 # k orders by rank, then position: rank * 2**32 + position.
@@ -79,7 +78,9 @@ class Coder:
                            if k[:i] in ranks and k[i:] in ranks], np.int32).reshape(-1, 3)
         self._table("merges", pa.table({"l": splits[:, 0], "r": splits[:, 1], "merged": splits[:, 2]}))
         self._table("vocabulary", pa.table({"id": pa.array(ranks.values(), pa.int32()), "hex": [k.hex() for k in ranks]}))
-        self.memory = Memory(self._units)
+        self.known = np.zeros(max(ranks.values()) + 1, bool)
+        self.known[list(ranks.values())] = True
+        self.memory = Memory(self._units, REMEMBERED)
 
     def _table(self, name: str, rows: pa.Table) -> None:
         self.db.register("given", rows)
@@ -93,9 +94,9 @@ class Coder:
         finally:
             self.db.unregister(name)
 
-    def contract(self, pieces: list[bytes]) -> list[list[int]]:
-        """The ids of each piece."""
-        out: list[list[int]] = []
+    def contract(self, pieces: list[bytes]) -> list[bytes]:
+        """The ids of each piece, as little-endian 32-bit integers."""
+        out: list[bytes] = []
         at = 0
         while at < len(pieces):
             end, size = at, 0
@@ -106,17 +107,25 @@ class Coder:
             tokens = self.bytes[np.frombuffer(b"".join(part), np.uint8)]
             rows = pa.table({"piece": np.arange(len(part)),
                              "tokens": pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(tokens, pa.int32()))})
-            out += self._ask("pieces", rows, CONTRACT).column("tokens").to_pylist()
+            lists = self._ask("pieces", rows, CONTRACT).column("tokens").combine_chunks()
+            raw = lists.flatten().to_numpy(zero_copy_only=False).astype("<i4").tobytes()
+            bounds = (4 * (lists.offsets.to_numpy() - lists.offsets[0].as_py())).tolist()
+            out += [raw[a:b] for a, b in zip(bounds, bounds[1:])]
             at = end
         return out
 
     def _units(self, texts: list[str]) -> list[bytes]:
-        split = [[p.encode() for p in self.find(t)] for t in texts]
-        # a piece that is an entry itself is that entry, as the library has it
-        new = list({p for ps in split for p in ps if p not in self.ranks})
-        ids = dict(zip(new, self.contract(new)))
-        ids.update((p, [self.ranks[p]]) for ps in split for p in ps if p in self.ranks)
-        return [array("i", chain.from_iterable(map(ids.__getitem__, ps))).tobytes() for ps in split]
+        split = [self.find(t) for t in texts]
+        ids, new = {}, []
+        for p in set().union(*split):
+            # a piece that is an entry itself is that entry, as the library has it
+            rank = self.ranks.get(p.encode())
+            if rank is None:
+                new.append(p)
+            else:
+                ids[p] = rank.to_bytes(4, "little")
+        ids.update(zip(new, self.contract([p.encode() for p in new])))
+        return [b"".join(map(ids.__getitem__, ps)) for ps in split]
 
     def encode(self, texts: list[str]) -> list[np.ndarray]:
         """The ids of each text, as the library's ``encode_ordinary``."""
@@ -130,34 +139,27 @@ class Coder:
         """The bytes of each list of ids; an id that the vocabulary lacks is an error."""
         out: list[list[bytes]] = [[] for _ in ids]
         held: list[tuple[int, np.ndarray]] = []
-
-        def flush():
-            rows = pa.table({"doc": np.repeat(np.arange(len(held), dtype=np.int32), [len(x) for _, x in held]),
-                             "pos": np.concatenate([np.arange(len(x), dtype=np.int32) for _, x in held]),
-                             "id": np.concatenate([x for _, x in held])})
-            got = self._ask("tokens", rows, JOIN_BYTES).column("hex").to_pylist()
-            for (i, _), h in zip(held, got, strict=True):
-                out[i].append(bytes.fromhex(h))
-            held.clear()
-
         size = 0
         for i, x in enumerate(ids):
-            if len(x) and not ((x >= 0) & np.isin(x, self._known())).all():
+            if len(x) and not (x.min() >= 0 and x.max() < len(self.known) and self.known[x].all()):
                 raise ValueError("an id is not in the vocabulary")
             for at in range(0, len(x), DECODE_TOKENS):
                 held.append((i, x[at:at + DECODE_TOKENS]))
                 size += len(held[-1][1])
                 if size >= DECODE_TOKENS:
-                    flush()
-                    size = 0
+                    self._join(held, out)
+                    held, size = [], 0
         if held:
-            flush()
+            self._join(held, out)
         return [b"".join(x) for x in out]
 
-    def _known(self) -> np.ndarray:
-        if not hasattr(self, "known"):
-            self.known = np.array(sorted(self.ranks.values()), np.int32)
-        return self.known
+    def _join(self, held: list[tuple[int, np.ndarray]], out: list[list[bytes]]) -> None:
+        rows = pa.table({"doc": np.repeat(np.arange(len(held), dtype=np.int32), [len(x) for _, x in held]),
+                         "pos": np.concatenate([np.arange(len(x), dtype=np.int32) for _, x in held]),
+                         "id": np.concatenate([x for _, x in held])})
+        got = self._ask("tokens", rows, JOIN_BYTES).column("hex").to_pylist()
+        for (i, _), h in zip(held, got, strict=True):
+            out[i].append(bytes.fromhex(h))
 
 
 _CODERS: dict[tuple[str, str], Coder] = {}
