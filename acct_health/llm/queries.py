@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from acct_health.llm.bpe import op4_bpe
+from acct_health.llm.chat import OP2_SQL, op2_chat
 from acct_health.llm.decontamination import op10_decontamination
 from acct_health.llm.language import op7_language
 from acct_health.llm.pii import op8_pii
@@ -12,6 +13,7 @@ from acct_health.llm.token_binary import op3_token_binary
 from acct_health.llm.token_counts import op5_token_counts
 
 QUERIES = {
+    "op2_chat": op2_chat,
     "op3_token_binary": op3_token_binary,
     "op4_bpe": op4_bpe,
     "op5_token_counts": op5_token_counts,
@@ -22,4 +24,4 @@ QUERIES = {
     "op10_decontamination": op10_decontamination,
 }
 
-ORACLE_SQL: dict[str, str] = {}
+ORACLE_SQL: dict[str, str] = {"op2_chat": OP2_SQL}
