@@ -31,7 +31,7 @@ from acct_health.llm.units import Memory, grouped
 PIECE_BYTES = 1 << 19  # bytes of pieces in one query
 DECODE_TOKENS = 1 << 20  # tokens in one query
 GROUP = 1 << 22  # characters whose new units are contracted together
-REMEMBERED = 300_000  # units that a worker keeps
+REMEMBERED = 500_000  # units that a worker keeps
 ROWS = 2048  # documents encoded or decoded together
 
 # k orders by rank, then position: rank * 2**32 + position.

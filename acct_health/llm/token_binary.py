@@ -15,8 +15,11 @@ any run of ids is read without the blocks before it.
 
 from __future__ import annotations
 
+import os
 import struct
+import sys
 import zlib
+from array import array
 
 import numpy as np
 import pyarrow as pa
@@ -31,6 +34,7 @@ BLOCK = 256
 PERCENTILE = 0.9
 HEAD = struct.Struct("<IHBH")
 SEGMENT_IDS = 1 << 16
+REMEMBERED = 1_200_000  # units and their parts that a worker keeps
 
 FILE_SCHEMA = ("part int, segment long, ids long, payload binary, block_starts array<long>, "
                "doc_ids array<long>, doc_tokens array<long>")
@@ -108,11 +112,20 @@ _MEMORY: dict[str, Memory] = {}  # of this Python worker
 def tokenizers_memory(path: str) -> Memory:
     """Unit -> its ids as little-endian unsigned 32-bit integers, by the tokenizers library."""
     if path not in _MEMORY:
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"  # Spark has a worker for each core already
         from tokenizers import Tokenizer
 
         library = Tokenizer.from_file(path)
-        _MEMORY[path] = Memory(lambda texts: [np.array(e.ids, "<u4").tobytes() for e in
-                                              library.encode_batch_fast(texts, add_special_tokens=False)])
+
+        def encode(texts: list[str]) -> list[bytes]:
+            ids = [array("I", e.ids) for at in range(0, len(texts), 8192)
+                   for e in library.encode_batch_fast(texts[at:at + 8192], add_special_tokens=False)]
+            if sys.byteorder == "big":
+                for x in ids:
+                    x.byteswap()
+            return [x.tobytes() for x in ids]
+
+        _MEMORY[path] = Memory(encode, REMEMBERED)
     return _MEMORY[path]
 
 

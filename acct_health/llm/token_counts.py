@@ -15,6 +15,8 @@ encoded by the library once per worker as far as a bounded memory goes.
 
 from __future__ import annotations
 
+import os
+
 import numpy as np
 import pyarrow as pa
 from pyspark import TaskContext
@@ -33,6 +35,7 @@ class Counter:
     """The library's tokeniser in one Python worker."""
 
     def __init__(self, path: str):
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"  # Spark has a worker for each core already
         from tokenizers import Tokenizer
 
         self.library = Tokenizer.from_file(path)

@@ -13,6 +13,8 @@ from collections.abc import Callable, Iterable, Iterator
 
 BOUNDARY = re.compile(r"(?<=\S) ")
 AFTER_SPACE = re.compile(r"\s ")
+LINE_FEED = re.compile(r"(?<=\S)(\n)(?=\S)")
+STOPS = (".", ",")
 SEGMENT = 1 << 20  # characters of a text whose units are held at once
 
 
@@ -31,29 +33,46 @@ def units(segment: str) -> list[str]:
     return BOUNDARY.split(segment) if AFTER_SPACE.search(segment) else segment.split(" ")
 
 
+def parts(unit: str) -> list[str]:
+    """A unit cut further, at a lone line feed and before a last full stop or comma after a Latin letter: the patterns
+    always cut there too."""
+    out = []
+    for part in LINE_FEED.split(unit) if "\n" in unit else (unit,):
+        if part[-1:] in STOPS and part[-2:-1].isalpha() and part[-2] < "\u0250":
+            out += [part[:-1], part[-1]]
+        else:
+            out.append(part)
+    return out
+
+
 class Memory:
-    """What ``encode`` gave for units, kept up to ``most`` entries: a matter of speed alone."""
+    """What ``encode`` gave for units, as bytes, kept up to ``most`` entries: a matter of speed alone."""
 
-    def __init__(self, encode: Callable[[list[str]], list], most: int = 300_000):
+    def __init__(self, encode: Callable[[list[str]], list[bytes]], most: int = 500_000):
         self.encode, self.most = encode, most
-        self.first: dict[str, object] = {}
-        self.later: dict[str, object] = {}
+        self.first: dict[str, bytes] = {}
+        self.later: dict[str, bytes] = {}
+        self.parts: dict[str, bytes] = {}
+
+    def _learn(self, known: dict[str, bytes], names: list[str], texts: list[str]) -> None:
+        cut = [parts(t) for t in texts]
+        new = list({p for ps in cut for p in ps}.difference(self.parts))
+        self.parts.update(zip(new, self.encode(new)))
+        known.update((n, b"".join([self.parts[p] for p in ps]) if len(ps) > 1 else self.parts[ps[0]]) for n, ps in zip(names, cut))
 
-    def values(self, texts: Iterable[str]) -> list[list]:
+    def values(self, texts: Iterable[str]) -> list[list[bytes]]:
         """For each of some segments, what its units gave, in order."""
-        if len(self.first) + len(self.later) > self.most:
-            self.first.clear()
-            self.later.clear()
+        if len(self.first) + len(self.later) + len(self.parts) > self.most:
+            for known in (self.first, self.later, self.parts):
+                known.clear()
         cut = [units(t) for t in texts]
         heads = list({u[0] for u in cut}.difference(self.first))
         tails: set[str] = set()
         for u in cut:
             tails.update(u[1:])
         rest = list(tails.difference(self.later))
-        if heads or rest:
-            got = self.encode(heads + [" " + u for u in rest])
-            self.first.update(zip(heads, got))
-            self.later.update(zip(rest, got[len(heads):]))
+        self._learn(self.first, heads, heads)
+        self._learn(self.later, rest, [" " + u for u in rest])
         later = self.later.__getitem__
         return [[self.first[u[0]], *map(later, u[1:])] for u in cut]
 
