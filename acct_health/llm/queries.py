@@ -5,6 +5,7 @@ from __future__ import annotations
 from acct_health.llm.bpe import op4_bpe
 from acct_health.llm.chat import OP2_SQL, op2_chat
 from acct_health.llm.decontamination import op10_decontamination
+from acct_health.llm.embeddings import OP1_SQL, op1_embeddings
 from acct_health.llm.language import op7_language
 from acct_health.llm.pii import op8_pii
 from acct_health.llm.sharding import op9_sharding
@@ -13,6 +14,7 @@ from acct_health.llm.token_binary import op3_token_binary
 from acct_health.llm.token_counts import op5_token_counts
 
 QUERIES = {
+    "op1_embeddings": op1_embeddings,
     "op2_chat": op2_chat,
     "op3_token_binary": op3_token_binary,
     "op4_bpe": op4_bpe,
@@ -24,4 +26,4 @@ QUERIES = {
     "op10_decontamination": op10_decontamination,
 }
 
-ORACLE_SQL: dict[str, str] = {"op2_chat": OP2_SQL}
+ORACLE_SQL: dict[str, str] = {"op1_embeddings": OP1_SQL, "op2_chat": OP2_SQL}
