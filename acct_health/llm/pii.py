@@ -23,7 +23,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from acct_health.llm.common import read_table
+from acct_health.llm.common import read_table, written
 
 # The kinds in the order they are listed, and their patterns.
 LOCAL = "[A-Za-z0-9._%+-]"
@@ -212,16 +212,19 @@ def reliabilities(patterns: DataFrame, rounds: int = ROUNDS) -> DataFrame:
         share = lambda x: x["n"] * (x["q"] if y else 1 - x["q"])
         return F.aggregate(q, F.lit(0.0), lambda a, x: a + F.when(x["votes"][j] == v, share(x)).otherwise(0.0))
 
-    def step(theta, _):
-        q = F.transform("p", lambda x: F.struct(x["votes"].alias("votes"), x["n"].alias("n"), truth(theta, x["votes"]).alias("q")))
+    def update(q):
         total = F.aggregate(q, F.lit(0.0), lambda a, x: a + x["n"])
         true = F.aggregate(q, F.lit(0.0), lambda a, x: a + x["n"] * x["q"])
-        new = [(true + 1) / (total + 2)]
-        for j in range(LABELERS):
-            for v in range(3):
-                for y in range(2):
-                    new.append((voted(q, j, v, y) + 1) / ((true if y else total - true) + 3))
-        return F.array(*new)
+
+        def shares(sums):
+            every = [(voted(q, j, v, y) + 1) / (sums[y] + 3) for j in range(LABELERS) for v in range(3) for y in range(2)]
+            return F.array((sums[1] + 1) / (sums[0] + sums[1] + 2), *every)
+
+        return let(F.array(total - true, true), shares)
+
+    def step(theta, _):
+        return let(F.transform("p", lambda x: F.struct(x["votes"].alias("votes"), x["n"].alias("n"),
+                                                       truth(theta, x["votes"]).alias("q"))), update)
 
     theta = F.array(*[F.lit(x) for x in start])
     out = rows.withColumn("theta", theta)
@@ -244,7 +247,7 @@ def train(docs: DataFrame, text: str = "text") -> list[float]:
     found = with_candidates(with_base(docs.select(F.col(text).alias("text")), "text", "__base"), "text", "__base", "__found")
     each = found.select(F.explode("__found").alias("c")).select("c.kind", "c.votes", "c.features")
     # vote patterns and features are counted together: candidates enter one small shuffle, combined before it
-    counted = each.groupBy("kind", "votes", "features").agg(F.count(F.lit(1)).alias("n"))
+    counted = written(each.groupBy("kind", "votes", "features").agg(F.count(F.lit(1)).alias("n")), "candidates")
     theta = reliabilities(counted.groupBy("kind", "votes").agg(F.sum("n").alias("n")))
     soft = counted.join(theta, "kind").withColumn("q", truth(F.col("theta"), F.col("votes")))
     cells = soft.select("kind", "n", "q", F.posexplode("features").alias("feature", "value")).groupBy("kind", "feature", "value").agg(
@@ -274,13 +277,14 @@ def with_spans(docs: DataFrame, model: list[float], text: str = "text", base: st
     none of them. Equal texts get equal spans. An empty table stays empty.
     """
     width = 1 + FEATURES * VALUES
-    table = F.lit(model)
+    # one text literal, folded into one array: an array of literals would be thousands of expressions
+    table = F.split(F.lit(",".join(map(repr, model))), ",").cast("array<double>")
     rows = with_candidates(with_base(docs.drop(base, out), text, base), text, base, "__found")
 
     def chosen(k, i):
         def score(c):
             terms = [table[F.lit(i * width + 1 + f * VALUES) + c["features"][f]] for f in range(FEATURES)]
-            return reduce(lambda a, b: a + b, terms, F.lit(model[i * width]))
+            return reduce(lambda a, b: a + b, terms, F.lit(float(model[i * width])))
 
         mine = F.filter(F.col("__found"), lambda c: (c["kind"] == k) & (1 / (1 + F.exp(-score(c))) > THRESHOLD))
         return F.transform(mine, lambda c: F.struct(c["kind"].alias("kind"), c["start"].alias("start"), c["end"].alias("end")))
