@@ -245,7 +245,8 @@ def train(docs: DataFrame, text: str = "text") -> list[float]:
     """The classifier's weights from all candidates of ``docs``: per kind a prior and, per feature and value, a log odds
     ratio. Counts are made by Spark; what comes to the driver is bounded by kinds x features x values."""
     found = with_candidates(with_base(docs.select(F.col(text).alias("text")), "text", "__base"), "text", "__base", "__found")
-    each = found.select(F.explode("__found").alias("c")).select("c.kind", "c.votes", "c.features")
+    # explode_outer: explode would have a filter on all these expressions pushed below them, so they'd run more than once
+    each = found.select(F.explode_outer("__found").alias("c")).where("c IS NOT NULL").select("c.kind", "c.votes", "c.features")
     # vote patterns and features are counted together: candidates enter one small shuffle, combined before it
     counted = written(each.groupBy("kind", "votes", "features").agg(F.count(F.lit(1)).alias("n")), "candidates")
     theta = reliabilities(counted.groupBy("kind", "votes").agg(F.sum("n").alias("n")))
