@@ -69,12 +69,12 @@ class Lexicon:
     def clear(self):
         self.index: dict[str, int] = {}
         self.words: list[str] = []
-        self.kinds: list[int] = []
-        self.hashes: list[tuple[int, int]] = []
-        self.ends: list[bool] = []
-        self.arrays = None
+        self.kinds = np.zeros(1024, np.int8)
+        self.plain = np.zeros(1024, np.uint64)
+        self.unit = np.zeros(1024, np.uint64)
+        self.ends = np.zeros(1024, bool)
 
-    def _add(self, raw: str) -> int:
+    def _add(self, raw: str) -> None:
         core = EDGE.sub("", raw)
         low = core.lower()
         if not core:
@@ -89,24 +89,25 @@ class Lexicon:
             kind = CAPITAL
         else:
             kind = LITERAL
-        self.index[raw] = at = len(self.words)
+        at = len(self.words)
+        if at == len(self.kinds):
+            self.kinds, self.plain, self.unit, self.ends = (np.concatenate([a, np.zeros_like(a)]) for a in (
+                self.kinds, self.plain, self.unit, self.ends))
+        self.index[raw] = at
         self.words.append(low)
-        self.kinds.append(kind)
-        self.hashes.append((_hash(low), _hash(f"<unit:{KIND_OF_UNIT[low]}>") if kind == UNIT else 0))
-        self.ends.append(raw[-1] in ".!?:;\"”»" or (not core and any(c in ".!?:;" for c in raw)))
-        return at
+        self.kinds[at] = kind
+        self.plain[at] = _hash(low)
+        if kind == UNIT:
+            self.unit[at] = _hash(f"<unit:{KIND_OF_UNIT[low]}>")
+        self.ends[at] = raw[-1] in ".!?:;\"”»" or (not core and any(c in ".!?:;" for c in raw))
 
     def look(self, raws: list[str]) -> tuple[np.ndarray, ...]:
         if len(self.words) > REMEMBERED:
             self.clear()
         for raw in set(raws).difference(self.index):
             self._add(raw)
-            self.arrays = None
-        if self.arrays is None or len(self.arrays[0]) != len(self.words):
-            both = np.array(self.hashes, np.uint64).reshape(-1, 2)
-            self.arrays = (np.array(self.kinds, np.int8), both[:, 0].copy(), both[:, 1].copy(), np.array(self.ends, bool))
         at = np.fromiter(map(self.index.__getitem__, raws), np.int64, len(raws))
-        return at, *(a[at] for a in self.arrays)
+        return at, self.kinds[at], self.plain[at], self.unit[at], self.ends[at]
 
 
 _LEXICON = Lexicon()
