@@ -127,29 +127,21 @@ def forced_date(mf: Column, df: Column) -> Column:
 def resolve_date_pair(o_mf: Column, o_df: Column, s_mf: Column, s_df: Column) -> tuple[Column, Column]:
     """Jointly resolve an (order, ship) pair of ambiguous readings.
 
-    A certain side disambiguates the other (ship must not precede order); when both
-    are ambiguous the same-convention pair that is ordered wins, month-first first;
-    otherwise month-first.
+    One rule for both sides, an ordered list of candidates of which the first that is there wins: the
+    certain reading; a reading, month-first before day-first, that stands in order with the other side's certain
+    reading (ship not before order); a reading that stands in order with the other side's reading of the
+    same convention; the month-first reading.
     """
-    o_f = forced_date(o_mf, o_df)
-    s_f = forced_date(s_mf, s_df)
-    order = (
-        F.when(o_f.isNotNull(), o_f)
-        .when(s_f.isNotNull() & (o_mf <= s_f), o_mf)
-        .when(s_f.isNotNull() & (o_df <= s_f), o_df)
-        .when(o_mf <= s_mf, o_mf)
-        .when(o_df <= s_df, o_df)
-        .otherwise(o_mf)
-    )
-    ship = (
-        F.when(s_f.isNotNull(), s_f)
-        .when(o_f.isNotNull() & (s_mf >= o_f), s_mf)
-        .when(o_f.isNotNull() & (s_df >= o_f), s_df)
-        .when(o_mf <= s_mf, s_mf)
-        .when(o_df <= s_df, s_df)
-        .otherwise(s_mf)
-    )
-    return order, ship
+    order, ship = (o_mf, o_df), (s_mf, s_df)
+    sure_order, sure_ship = forced_date(*order), forced_date(*ship)
+
+    def pick(own, sure, other_sure, other, in_order):
+        certain = [F.when(in_order(r, other_sure), r) for r in own]
+        alike = [F.when(in_order(r, o), r) for r, o in zip(own, other)]
+        return F.coalesce(sure, *certain, *alike, own[0])
+
+    return (pick(order, sure_order, sure_ship, ship, lambda own, other: own <= other),
+            pick(ship, sure_ship, sure_order, order, lambda own, other: own >= other))
 
 
 def swap_impossible_date(
@@ -179,7 +171,3 @@ def month_diff(later: Column | str, earlier: Column | str) -> Column:
     """Month boundaries crossed from ``earlier`` to ``later`` (31 Jan -> 1 Feb = 1)."""
     a, b = _col(later), _col(earlier)
     return ((F.year(a) - F.year(b)) * 12 + (F.month(a) - F.month(b))).cast("int")
-
-
-def month_start(c: Column | str) -> Column:
-    return F.trunc(_col(c), "MM")

@@ -10,10 +10,6 @@ from pyspark.sql import functions as F
 from acct_health.functions.text import _col
 
 
-def is_missing(c: Column | str) -> Column:
-    return _col(c).isNull()
-
-
 def flag_nonpositive(c: Column | str) -> Column:
     """Business-invalid quantity: value <= 0; NULL counts as not invalid."""
     return F.coalesce(_col(c) <= 0, F.lit(False))

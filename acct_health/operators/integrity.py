@@ -33,10 +33,14 @@ def orphan_count(fact: DataFrame, dim: DataFrame, key: str, dim_key: str | None
 
 
 def dim_coverage(fact: DataFrame, dims: Mapping[str, tuple[DataFrame, str]]) -> DataFrame:
-    """For each {name: (dim, key)}: dim rows and distinct keys of the fact, in one row."""
-    out = None
-    for name, (dim, key) in dims.items():
-        part = dim.agg(F.count(F.lit(1)).alias(f"{name}_rows")).crossJoin(
-            fact.agg(F.count_distinct(key).alias(f"distinct_{key}s_in_fact")))
-        out = part if out is None else out.crossJoin(part)
-    return out
+    """For each {name: (dim, key)}: dim rows and distinct keys of the fact, in one row.
+
+    The fact is read once: its distinct (name, key) pairs are counted next to the dimensions' rows as one
+    union of small partial counts, which a single aggregate lays out as columns."""
+    keys = F.explode(F.array(*[F.struct(F.lit(n).alias("name"), F.col(k).cast("string").alias("key")) for n, (_, k) in dims.items()]))
+    used = fact.select(keys.alias("x")).select("x.name", "x.key").where("key IS NOT NULL").distinct()
+    counts = used.groupBy("name").agg(F.count(F.lit(1)).alias("n")).withColumn("what", F.lit("keys"))
+    for n, (dim, _) in dims.items():
+        counts = counts.unionByName(dim.agg(F.count(F.lit(1)).alias("n")).withColumns({"name": F.lit(n), "what": F.lit("rows")}))
+    pick = lambda n, what: F.coalesce(F.max(F.when((F.col("name") == n) & (F.col("what") == what), F.col("n"))), F.lit(0))
+    return counts.agg(*[c for n, (_, k) in dims.items() for c in (pick(n, "rows").alias(f"{n}_rows"), pick(n, "keys").alias(f"distinct_{k}s_in_fact"))])

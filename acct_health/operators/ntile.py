@@ -1,130 +1,54 @@
 """Distributed global NTILE.
 
-``ntile(k) OVER (ORDER BY ...)`` without PARTITION BY plans as one
-``Exchange SinglePartition``: a single task sorts every row. This operator gives the
-same tiles with work spread over ``buckets`` tasks:
-
-1. count the rows (n) and sample the sort key; B-1 split points from the sorted sample
-   are embedded in the plan as literals (B is bounded, so the sample is too);
-2. each row's bucket = position of its key among the split points (a balanced
-   binary search of ``CASE`` comparisons, log2 B per row);
-3. rows per bucket (B rows) -> exclusive running offset -> broadcast back (B bounded);
-4. global 0-based rank i = row_number within the bucket - 1 + offset;
-5. with q = n div k, r = n mod k: the first r tiles hold q+1 rows, the rest q.
-
-The sort key always ends with a unique tie-break, so ties are reproducible and bucket
-sizes stay balanced even when the value has few distinct levels (a hot value cannot
-pile into one bucket). Split points are fixed literals, so a recomputed partition
-lands in the same bucket: the plan survives lost executors.
+``ntile(k) OVER (ORDER BY ...)`` without PARTITION BY plans as one task that sorts every
+row. Here the rows are sorted by Spark's own range partitioning, and each row's position in
+its partition is written next to it (``monotonically_increasing_id`` of a sorted table). The
+rows per partition then give each partition's offset, the sum of the two is the global
+rank, and the tile follows by arithmetic. The work per task depends on the number of shuffle
+partitions only; there is no driver pass over the data and no size at which the plan changes.
+
+The order ends with a unique tie-break, so heavily tied values spread over partitions and the
+result is reproducible. The positions are fixed by the written table, so a recomputed task
+cannot see others.
 """
 
 from __future__ import annotations
 
-import math
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
-
-MAX_BUCKETS = 1024
-
 
-def _key_parts(df: DataFrame, order: Sequence[tuple[str, bool]], tie_break: Sequence[str]) -> list[Column]:
-    parts: list[Column] = []
-    for name, desc in order:
-        c = F.col(name)
-        if desc:
-            dtype = df.schema[name].dataType
-            if isinstance(dtype, T.DateType):
-                neg = F.datediff(F.lit("1970-01-01").cast("date"), c)
-            elif isinstance(dtype, T.NumericType):
-                neg = -c
-            else:
-                raise TypeError(f"descending ntile key must be numeric or date, got {dtype}")
-            # DESC NULLS LAST == ASC on (is_null, -value)
-            parts += [c.isNull(), neg]
-        else:
-            # ASC NULLS FIRST: struct ordering already puts NULL fields first
-            parts.append(c)
-    parts += [F.col(t) for t in tie_break]
-    return parts
+from acct_health.plans.scratch import written
 
+_PART_BITS = 33  # monotonically_increasing_id: partition << 33 | position in it
 
-def _bucket_expr(key: Column, splits: list[Column], lo: int, hi: int) -> Column:
-    """Number of split points <= key, for splits[lo:hi] (binary search as nested CASE)."""
-    if lo >= hi:
-        return F.lit(lo)
-    mid = (lo + hi) // 2
-    return F.when(key < splits[mid], _bucket_expr(key, splits, lo, mid)).otherwise(
-        _bucket_expr(key, splits, mid + 1, hi)
-    )
 
+def global_rank(df: DataFrame, order: Sequence[tuple[str, bool]], tie_break: Sequence[str], rank: str, total: str) -> DataFrame:
+    """Add ``rank`` (0-based) over ``order`` (list of (column, descending)) + ``tie_break``, and ``total`` rows.
 
-def ntile_global(
-    df: DataFrame,
-    k: int,
-    order: Sequence[tuple[str, bool]],
-    tie_break: Sequence[str],
-    out: str,
-    buckets: int | None = None,
-    rows_per_bucket: int = 2_000_000,
-    sample_per_bucket: int = 64,
-    seed: int = 17,
-    n: int | None = None,
-) -> DataFrame:
-    """Add ``out`` = NTILE(k) over ``order`` (list of (column, descending)) + ``tie_break``.
-
-    ASC puts NULLs first and DESC puts them last (Spark's and the reference's defaults).
-    ``df`` should be deterministic across passes (persist/checkpoint it when it is
-    expensive); it is read three times: count, sample, and the ranking itself. Pass its
-    row count as ``n`` when already known.
+    ASC puts NULLs first and DESC puts them last (Spark's and the reference's defaults). ``df`` is computed once.
     """
+    keys = [F.col(c).desc_nulls_last() if desc else F.col(c).asc_nulls_first() for c, desc in order]
+    placed = written(df.orderBy(*keys, *tie_break).withColumn("__at", F.monotonically_increasing_id()), "ranked")
+    part = F.shiftright("__at", _PART_BITS)
+    sizes = placed.groupBy(part.alias("__part")).agg(F.count(F.lit(1)).alias("__n"))
+    # one row per sorted partition
+    before = Window.orderBy("__part").rowsBetween(Window.unboundedPreceding, -1)
+    everything = Window.orderBy("__part").rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    offsets = sizes.select("__part", F.coalesce(F.sum("__n").over(before), F.lit(0)).alias("__before"), F.sum("__n").over(everything).alias(total))
+    inside = F.col("__at").bitwiseAND((1 << _PART_BITS) - 1)
+    return (placed.withColumn("__part", part).join(offsets, "__part")
+            .withColumn(rank, inside + F.col("__before")).drop("__at", "__part", "__before"))
+
+
+def ntile_global(df: DataFrame, k: int, order: Sequence[tuple[str, bool]], tie_break: Sequence[str], out: str) -> DataFrame:
+    """Add ``out`` = NTILE(k) over ``order`` + ``tie_break``: with n rows, the first n mod k tiles hold
+    n div k + 1 rows, the others n div k."""
     if k < 1:
         raise ValueError("k must be >= 1")
-    parts = _key_parts(df, order, tie_break)
-    keyed = df.withColumn("__key", F.struct(*[p.alias(f"f{i}") for i, p in enumerate(parts)]))
-    if n is None:
-        n = keyed.count()
-    if buckets is None:
-        # one task ranks at most ``rows_per_bucket`` rows; small inputs need no sampling
-        buckets = math.ceil(n / rows_per_bucket)
-    buckets = max(1, min(buckets, MAX_BUCKETS, max(n, 1)))
-
-    splits: list[Column] = []
-    if buckets > 1 and n > 0:
-        fraction = min(1.0, sample_per_bucket * buckets / n)
-        sample = [r[0] for r in keyed.select("__key").sample(False, fraction, seed).orderBy("__key").collect()]
-        key_type = keyed.schema["__key"].dataType
-        picked = []
-        for b in range(1, buckets):
-            if not sample:
-                break
-            row = sample[min(len(sample) - 1, (b * len(sample)) // buckets)]
-            if not picked or row != picked[-1]:
-                picked.append(row)
-        for row in picked:
-            splits.append(F.struct(*[
-                F.lit(v).cast(f.dataType).alias(f.name) for v, f in zip(row, key_type.fields)
-            ]))
-
-    bucketed = keyed.withColumn("__b", _bucket_expr(F.col("__key"), splits, 0, len(splits)))
-    offsets = (
-        bucketed.groupBy("__b").agg(F.count(F.lit(1)).alias("__cnt"))
-        .withColumn("__off", F.coalesce(
-            F.sum("__cnt").over(Window.orderBy("__b").rowsBetween(Window.unboundedPreceding, -1)),
-            F.lit(0)))
-        .select("__b", "__off")
-    )
-    ranked = bucketed.withColumn(
-        "__i", F.row_number().over(Window.partitionBy("__b").orderBy("__key")) - 1
-    ).join(F.broadcast(offsets), "__b")
-    i = F.col("__i") + F.col("__off")
-    q, r = divmod(n, k)
-    big = r * (q + 1)
-    first = F.floor(i / (q + 1)).cast("int") + 1
-    if q > 0:
-        tile = F.when(i < big, first).otherwise((F.floor((i - big) / q) + r + 1).cast("int"))
-    else:
-        tile = first
-    return ranked.withColumn(out, tile.cast("int")).drop("__key", "__b", "__i", "__off")
+    ranked = global_rank(df, order, tie_break, "__i", "__total")
+    large = f"(__total % {k}) * (__total div {k} + 1)"
+    tile = F.expr(f"CASE WHEN __i < {large} THEN __i div (__total div {k} + 1) "
+                  f"ELSE __total % {k} + (__i - {large}) div greatest(__total div {k}, 1) END")
+    return ranked.withColumn(out, (tile + 1).cast("int")).drop("__i", "__total")

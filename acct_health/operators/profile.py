@@ -8,6 +8,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from acct_health.operators.average import exact_avg
 from acct_health.functions.money import MONEY_NULLS, safe_double, safe_int
 from acct_health.functions.text import utrim
 
@@ -55,15 +56,17 @@ def date_quality_summary(df: DataFrame, order: str = "order_date_clean", ship: s
     )
 
 
-def value_counts(df: DataFrame, col: Column | str, name: str | None = None, top: int | None = None) -> DataFrame:
-    """Frequency of each value (NULL included) of a column or expression. With ``top``, the
-    n most frequent (value breaks ties) — a top-k report, planned as TakeOrderedAndProject."""
+def value_counts(df: DataFrame, col: Column | str, name: str | None = None, top: int | None = None,
+                 by_value: bool = False) -> DataFrame:
+    """Frequency of each value (NULL included) of a column or expression, the most frequent first (the value
+    breaks ties), or ``by_value`` in the values' order. With ``top``, the n first — a top-k report,
+    planned as TakeOrderedAndProject."""
     c = _c(col)
     name = name or (col if isinstance(col, str) else "value")
     out = df.groupBy(c.alias(name)).agg(F.count(F.lit(1)).alias("cnt"))
-    if top is not None:
-        out = out.orderBy(F.col("cnt").desc(), F.col(name).asc_nulls_first()).limit(top)
-    return out
+    value = F.col(name).asc_nulls_first()
+    out = out.orderBy(value) if by_value else out.orderBy(F.col("cnt").desc(), value)
+    return out if top is None else out.limit(top)
 
 
 def int_range_profile(df: DataFrame, cols: Sequence[str]) -> DataFrame:
@@ -78,10 +81,10 @@ def int_range_profile(df: DataFrame, cols: Sequence[str]) -> DataFrame:
 
 
 def magnitude_profile(df: DataFrame, col: str) -> DataFrame:
-    """min / max / avg of a numeric column over its non-null values."""
+    """min / max / avg of a money column over its non-null values (summed as cents)."""
     f = df.filter(F.col(col).isNotNull())
     return f.agg(F.min(col).alias(f"min_{col}"), F.max(col).alias(f"max_{col}"),
-                 F.avg(col).alias(f"avg_{col}"))
+                 exact_avg(col).alias(f"avg_{col}"))
 
 
 def flag_consistency(df: DataFrame, real: str, scheduled: str, flag: str) -> DataFrame:

@@ -58,9 +58,13 @@ def clean_keys_dates(df: DataFrame, key: str = "order_item_id", fuse_dedupe: boo
     raw_cols = df.columns
     if not fuse_dedupe:
         df = drop_exact_duplicates(df)
+    # an id that is there but cannot be read is a key of its own, and flagged: such rows are not dropped
+    number, bad = M.safe_int(key), f"is_{key}_invalid"
+    df = df.withColumns({bad: F.col(key).isNotNull() & number.isNull(),
+                         "__key": F.coalesce(number.cast("string"), F.concat(F.lit("?"), F.col(key)))})
     df = resolve_dates(add_date_candidates(cast_ids(df), month_first=month_first, day_first=day_first))
-    df = keep_earliest_per_key(df, key, [F.col("order_date_clean").asc_nulls_last()],
-                               tie_break=[c for c in raw_cols if c != key])
+    df = keep_earliest_per_key(df, "__key", [F.col("order_date_clean").asc_nulls_last()],
+                               tie_break=[c for c in raw_cols if c != key]).drop("__key")
     df = add_missing_flags(df, {"is_order_date_missing": "order_date_clean",
                                 "is_shipping_date_missing": "shipping_date_clean"})
     return df.withColumn("is_ship_before_order_flag", flag_out_of_order("order_date_clean", "shipping_date_clean"))

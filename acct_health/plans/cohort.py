@@ -8,12 +8,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from acct_health.functions.dates import REFERENCE_CEILING, month_diff
-
-
-def cohort_index(pairs: DataFrame, entity: str = "customer_id", month: str = "order_month") -> DataFrame:
-    """(entity, active month) pairs -> + cohort_month (first month), month_index."""
-    first = F.min(month).over(Window.partitionBy(entity))
-    return pairs.withColumn("cohort_month", first).withColumn("month_index", month_diff(month, "cohort_month"))
+from acct_health.operators.average import exact_avg
 
 
 def drop_censored(df: DataFrame, ceiling: dt.date = REFERENCE_CEILING) -> DataFrame:
@@ -35,23 +30,30 @@ def mart_cohort(fact: DataFrame, ceiling: dt.date = REFERENCE_CEILING, entity: s
     """
     months = (fact.filter(F.col(date).isNotNull())
               .groupBy(entity).agg(F.collect_set(F.trunc(date, "MM")).alias("__months")))
-    cells = months.select(F.array_min("__months").alias("cohort_month"),
+    cells = months.select(entity, F.array_min("__months").alias("cohort_month"),
                           F.explode("__months").alias("__month"))
     activity = (cells.withColumn("month_index", month_diff("__month", "cohort_month"))
                 .groupBy("cohort_month", "month_index")
-                .agg(F.count(F.lit(1)).alias("active_customers")))
+                .agg(F.count(entity).alias("active_customers")))  # a null entity is nobody
     size = F.max(F.when(F.col("month_index") == 0, F.col("active_customers"))).over(
         Window.partitionBy("cohort_month"))
     out = activity.withColumn("cohort_size", size).filter(F.col("cohort_size").isNotNull())
     out = drop_censored(out, ceiling)
     return out.select(
         "cohort_month", "month_index", "active_customers", "cohort_size",
-        F.round(F.col("active_customers") / F.col("cohort_size") * 100, 2).alias("retention_pct"),
+        F.round(F.try_divide(F.col("active_customers"), F.col("cohort_size")) * 100, 2).alias("retention_pct"),
     )
 
 
 def cohort_curve(mart: DataFrame, cohort_month: dt.date) -> DataFrame:
-    return mart.filter(F.col("cohort_month") == F.lit(cohort_month))
+    return mart.filter(F.col("cohort_month") == F.lit(cohort_month)).orderBy("month_index")
+
+
+def retention_rate(mart: DataFrame) -> DataFrame:
+    """The retention measure per cohort month and month index: SUM(retention_pct) / 100, a fraction."""
+    total = F.sum(F.col("retention_pct").cast("decimal(28,2)")).cast("double")
+    return (mart.groupBy("cohort_month", "month_index").agg((total / 100).alias("retention_rate"))
+            .orderBy("cohort_month", "month_index"))
 
 
 def cohort_matrix(mart: DataFrame, max_index: int | None = None) -> DataFrame:
@@ -71,7 +73,7 @@ def kpi_retention(mart: DataFrame, min_index: int = 1) -> DataFrame:
     """Retention KPI (own definition; the reference's dashboard formula is not published):
     mean retention_pct over cells with month_index >= ``min_index``, plus the month-1 mean."""
     return mart.agg(
-        F.round(F.avg(F.when(F.col("month_index") >= min_index, F.col("retention_pct"))), 2).alias("retention_kpi_pct"),
-        F.round(F.avg(F.when(F.col("month_index") == 1, F.col("retention_pct"))), 2).alias("month1_retention_pct"),
+        F.round(exact_avg(F.when(F.col("month_index") >= min_index, F.col("retention_pct"))), 2).alias("retention_kpi_pct"),
+        F.round(exact_avg(F.when(F.col("month_index") == 1, F.col("retention_pct"))), 2).alias("month1_retention_pct"),
         F.count(F.when(F.col("month_index") >= min_index, 1)).alias("cells"),
     )

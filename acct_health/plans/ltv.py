@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from acct_health.functions.dates import month_diff
+from acct_health.operators.average import exact_avg
 from acct_health.operators.dominant import dominant_value
 
 
@@ -58,10 +59,10 @@ def mart_ltv(fact: DataFrame, dim_customer: DataFrame) -> DataFrame:
 
 def ltv_by(mart: DataFrame, dimension: str, with_formula: bool = True) -> DataFrame:
     aggs = [F.count(F.lit(1)).alias("customer_count"),
-            F.round(F.avg("historical_ltv"), 2).alias("avg_historical_ltv")]
+            F.round(exact_avg("historical_ltv"), 2).alias("avg_historical_ltv")]
     if with_formula:
-        aggs.append(F.round(F.avg("formula_based_ltv"), 2).alias("avg_formula_ltv"))
-    return mart.groupBy(dimension).agg(*aggs)
+        aggs.append(F.round(exact_avg("formula_based_ltv"), 2).alias("avg_formula_ltv"))
+    return mart.groupBy(dimension).agg(*aggs).orderBy(F.col("avg_historical_ltv").desc_nulls_last(), dimension)
 
 
 def ltv_formula_check(mart: DataFrame, tolerance: float = 1.0) -> DataFrame:
@@ -75,7 +76,7 @@ def ltv_by_engagement(ltv: DataFrame, rfm: DataFrame) -> DataFrame:
     """Average LTV per RFM tier (join of two per-customer marts on customer_id)."""
     j = ltv.select("customer_id", "historical_ltv").join(rfm.select("customer_id", "segment"), "customer_id")
     return j.groupBy("segment").agg(F.count(F.lit(1)).alias("customer_count"),
-                                    F.round(F.avg("historical_ltv"), 2).alias("avg_historical_ltv"))
+                                    F.round(exact_avg("historical_ltv"), 2).alias("avg_historical_ltv"))
 
 
 def slice_mart(df: DataFrame, date_col: str = "order_date_clean", start=None, end=None,

@@ -12,8 +12,9 @@ from acct_health.functions.money import safe_int
 from acct_health.operators import integrity as I
 from acct_health.operators import profile as P
 from acct_health.plans.cleaning import MONEY_COLUMNS
-from acct_health.plans.star import build_dim_date
+from acct_health.plans.star import build_dim_date, calendar_span
 
+UNCLEANED = ("order_status", "shipping_mode", "delivery_status", "late_delivery_risk", "customer_segment", "order_region", "market")
 DAY_COLUMNS = ("real_shipping_days", "scheduled_days_for_shipment")
 NULL_CHECK_COLUMNS = ("order_item_total", "order_item_product_price", "order_item_discount",
                       "order_profit_per_order", "benefit_per_order", "sales_per_customer")
@@ -25,9 +26,7 @@ def queries(raw, star):
 
     def orphan_dates(s, d):
         f = fact(s, d)
-        lo, hi = f.agg(F.min("order_date_clean"), F.max("order_date_clean")).first()
-        import datetime as dt
-        cal = build_dim_date(s, dt.date(lo.year, 1, 1), dt.date(hi.year, 12, 31))
+        cal = build_dim_date(s, *calendar_span(f))
         return I.orphan_count(f, cal, "order_date_key", "date_key", skip_null_keys=True, name="orphaned_date_rows")
 
     q = {
@@ -35,12 +34,13 @@ def queries(raw, star):
         "key_uniqueness_staging": lambda s, d: P.key_uniqueness(stg(s, d), "order_item_id"),
         "duplicate_keys": lambda s, d: P.duplicate_keys(raw(s, d), "order_item_id"),
         "column_mismatch_count": lambda s, d: P.column_mismatch_count(raw(s, d), "customer_id", "order_customer_id"),
+        "column_mismatch_count_clean": lambda s, d: P.column_mismatch_count(stg(s, d), "customer_id", "order_customer_id"),
         "duplicate_row_count": lambda s, d: P.duplicate_row_count(raw(s, d)),
         "schema_profile": lambda s, d: P.schema_profile(raw(s, d), DAY_COLUMNS),
         "date_quality_summary": lambda s, d: P.date_quality_summary(stg(s, d)),
-        "value_counts_order_status_raw": lambda s, d: P.value_counts(raw(s, d), "order_status"),
-        "value_counts_shipping_mode_raw": lambda s, d: P.value_counts(raw(s, d), "shipping_mode"),
-        "value_counts_order_country_raw": lambda s, d: P.value_counts(raw(s, d), "order_country", top=60),
+        # the uncleaned text, after deduplication
+        **{f"value_counts_{c}_raw": lambda s, d, c=c: P.value_counts(stg(s, d), c) for c in UNCLEANED},
+        "value_counts_order_country_raw": lambda s, d: P.value_counts(stg(s, d), "order_country", top=60),
         "value_counts_shipping_mode": lambda s, d: P.value_counts(stg(s, d), "shipping_mode_clean"),
         "value_counts_order_status": lambda s, d: P.value_counts(stg(s, d), "order_status_clean"),
         "value_counts_delivery_status": lambda s, d: P.value_counts(stg(s, d), "delivery_status_clean"),
@@ -49,7 +49,7 @@ def queries(raw, star):
         "value_counts_region": lambda s, d: P.value_counts(stg(s, d), "order_region_clean"),
         "value_counts_market": lambda s, d: P.value_counts(stg(s, d), "market_clean"),
         "value_counts_country": lambda s, d: P.value_counts(stg(s, d), "order_country_clean"),
-        "quantity_histogram": lambda s, d: P.value_counts(stg(s, d), safe_int("order_item_quantity"), "qty"),
+        "quantity_histogram": lambda s, d: P.value_counts(stg(s, d), safe_int("order_item_quantity"), "qty", by_value=True),
         "day_count_profile": lambda s, d: P.int_range_profile(stg(s, d), DAY_COLUMNS),
         "flag_consistency": lambda s, d: P.flag_consistency(stg(s, d), "real_shipping_days_clean",
                                                             "scheduled_days_for_shipment_clean",

@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from acct_health.functions.dates import REFERENCE_CEILING
+from acct_health.operators.average import exact_avg
 from acct_health.operators.ntile import ntile_global
 
 # Churn threshold (days) and tier thresholds on the 3..15 score.
@@ -33,12 +34,12 @@ def rfm_base(fact: DataFrame, snapshot: dt.date = REFERENCE_CEILING) -> DataFram
     )
 
 
-def rfm_scores(base: DataFrame, k: int = 5, buckets: int | None = None) -> DataFrame:
-    """r_score (recency DESC), f_score, m_score (ASC) as global NTILE(k), customer_id tie-break."""
-    n = base.count()
-    s = ntile_global(base, k, [("recency_days", True)], ["customer_id"], "r_score", buckets=buckets, n=n)
-    s = ntile_global(s, k, [("frequency", False)], ["customer_id"], "f_score", buckets=buckets, n=n)
-    return ntile_global(s, k, [("monetary", False)], ["customer_id"], "m_score", buckets=buckets, n=n)
+def rfm_scores(base: DataFrame, k: int = 5) -> DataFrame:
+    """r_score (recency DESC), f_score, m_score (ASC) as global NTILE(k), customer_id tie-break.
+    The base is computed once; each ranking reads the table that the one before wrote."""
+    s = ntile_global(base, k, [("recency_days", True)], ["customer_id"], "r_score")
+    s = ntile_global(s, k, [("frequency", False)], ["customer_id"], "f_score")
+    return ntile_global(s, k, [("monetary", False)], ["customer_id"], "m_score")
 
 
 def churn_flag(recency: Column | str = "recency_days", days: int = CHURN_DAYS) -> Column:
@@ -54,32 +55,22 @@ def rfm_segment(score: Column | str = "rfm_score") -> Column:
     return out.otherwise(F.lit(LOWEST_TIER))
 
 
-def mart_churn_rfm(fact: DataFrame, snapshot: dt.date = REFERENCE_CEILING, buckets: int | None = None,
-                   base: DataFrame | None = None, materialize: bool = True) -> DataFrame:
-    """Per-customer RFM scores, churn flag and tier.
-
-    The per-customer base is read by each of the three global NTILE passes (count,
-    sample, rank); with ``materialize`` it is checkpointed once (it is one row per
-    customer, far smaller than the fact) instead of re-aggregating the fact each time.
-    """
-    from acct_health.plans.warehouse import lineage_cut
-
-    base = base if base is not None else rfm_base(fact, snapshot)
-    if materialize:
-        base = lineage_cut(base)
-    s = rfm_scores(base, buckets=buckets).withColumn("rfm_score", F.col("r_score") + F.col("f_score") + F.col("m_score"))
+def mart_churn_rfm(fact: DataFrame, snapshot: dt.date = REFERENCE_CEILING, base: DataFrame | None = None) -> DataFrame:
+    """Per-customer RFM scores, churn flag and tier."""
+    s = rfm_scores(base if base is not None else rfm_base(fact, snapshot)).withColumn("rfm_score", F.col("r_score") + F.col("f_score") + F.col("m_score"))
     return s.select("customer_id", "recency_days", "frequency", "monetary", "avg_delivery_delay",
                     "r_score", "f_score", "m_score", "rfm_score",
                     churn_flag().alias("is_churned"), rfm_segment().alias("segment"))
 
 
 def segment_summary(mart: DataFrame) -> DataFrame:
-    return mart.groupBy("segment").agg(F.count(F.lit(1)).alias("customer_count"),
-                                       F.round(F.avg("monetary"), 2).alias("avg_monetary"))
+    out = mart.groupBy("segment").agg(F.count(F.lit(1)).alias("customer_count"),
+                                      F.round(exact_avg("monetary"), 2).alias("avg_monetary"))
+    return out.orderBy(F.col("avg_monetary").desc_nulls_last(), "segment")
 
 
 def segment_churn_crosstab(mart: DataFrame) -> DataFrame:
-    return mart.groupBy("segment", "is_churned").agg(F.count(F.lit(1)).alias("cnt"))
+    return mart.groupBy("segment", "is_churned").agg(F.count(F.lit(1)).alias("cnt")).orderBy("segment", "is_churned")
 
 
 def kpi_at_risk_pct(mart: DataFrame, tiers=AT_RISK_TIERS) -> DataFrame:
@@ -101,7 +92,7 @@ def risk_call_list(mart: DataFrame, n: int = 50, tiers=AT_RISK_TIERS) -> DataFra
 def risk_table_with_total(mart: DataFrame) -> DataFrame:
     """Accounts and average value per tier plus a 'Total' row (ROLLUP)."""
     return (mart.rollup("segment")
-            .agg(F.count(F.lit(1)).alias("accounts"), F.round(F.avg("monetary"), 2).alias("avg_monetary"),
+            .agg(F.count(F.lit(1)).alias("accounts"), F.round(exact_avg("monetary"), 2).alias("avg_monetary"),
                  F.grouping("segment").alias("__g"))
             .select(F.when(F.col("__g") == 1, F.lit("Total")).otherwise(F.col("segment")).alias("segment"),
                     "accounts", "avg_monetary"))

@@ -84,6 +84,15 @@ def build_dim_date(spark: SparkSession, start: dt.date = REFERENCE_CALENDAR[0],
     return spine.select(*[v.alias(k) for k, v in calendar_attributes("full_date").items()])
 
 
+def calendar_span(fact: DataFrame, col: str = "order_date_clean") -> tuple[dt.date, dt.date]:
+    """First day of the first year to last day of the last year of the fact's dates (one aggregated row); without a
+    dated row a span that ends before it begins, hence an empty calendar."""
+    lo, hi = fact.agg(F.min(col), F.max(col)).first()
+    if lo is None:
+        return dt.date(1970, 1, 2), dt.date(1970, 1, 1)
+    return dt.date(lo.year, 1, 1), dt.date(hi.year, 12, 31)
+
+
 def _min_per_key(df: DataFrame, key: str, cols: dict) -> DataFrame:
     """``min`` of each column per key. Distinct rows first: that step is a hash aggregate
     on keys only (map-side dedupe), so the string ``min`` (a sort-based aggregate) only

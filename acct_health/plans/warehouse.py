@@ -1,70 +1,90 @@
-"""Build the staging table and the star schema once and keep them as written tables.
+"""Staging and star tables, each written when it is first asked for.
 
 The reference materialises its staging and star-schema tables and recomputes only the
-mart views. Here the same tables are written as parquet under the session's
-``spark.checkpoint.dir`` (a shared folder on a cluster), which also cuts the lineage:
-marts read the fact from storage, so a lost executor re-reads files instead of
-recomputing the cleaning.
+mart views. Here a table is written as Parquet under the session's ``spark.checkpoint.dir``
+(a shared folder on a cluster) by the first query that reads it, from the table it is built from;
+later queries read the files. That also cuts the lineage: a lost executor re-reads files
+instead of recomputing the cleaning. A query builds only what it reads: one on the fact
+writes staging and fact, no dimension and no copy of the raw text.
 """
 
 from __future__ import annotations
 
 import datetime as dt
-import os
-import uuid
+from collections.abc import Iterator, Mapping
 
 from pyspark.sql import DataFrame, SparkSession
 
 from acct_health.plans.cleaning import clean_orders
+from acct_health.plans.scratch import scratch_path
 from acct_health.plans.star import build_dim_customer, build_dim_product, build_fact
 from acct_health.sources.io import write_table
+from acct_health.sources.order_lines import SOURCE_TABLES, order_lines
 
-_BUILT: dict[tuple, str] = {}
 TABLES = ("raw_order_lines", "stg_orders_final", "fact_order_item", "dim_customer", "dim_product")
 
+_WRITTEN: dict[tuple, tuple[tuple, str]] = {}  # (application, input, ceiling, table) -> (stamp of the input, path)
 
-def lineage_cut(df: DataFrame) -> DataFrame:
-    """Checkpoint ``df`` into the session's ``spark.checkpoint.dir`` when one is configured
-    (a shared folder on a cluster); otherwise return it unchanged (still correct: every
-    input it is recomputed from is deterministic)."""
-    sc = df.sparkSession.sparkContext
-    if sc.getCheckpointDir():
-        # persist first: an eager checkpoint otherwise computes the plan twice
-        df.persist()
-        out = df.checkpoint(eager=True)
-        df.unpersist()
-        return out
-    return df
-
-
-def table_root(spark: SparkSession) -> str:
-    root = spark.sparkContext.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
-    if not root:
-        raise RuntimeError("spark.checkpoint.dir is not set: configure a shared folder for written tables")
-    return root
-
-
-def build_star(spark: SparkSession, raw: DataFrame, ceiling: dt.date, root: str) -> dict[str, str]:
-    """Write the raw lines, staging, fact and dimensions under ``root``; return their paths."""
-    paths = {t: f"{root}/{t}" for t in TABLES}
-    write_table(raw, paths["raw_order_lines"])
-    raw = spark.read.parquet(paths["raw_order_lines"])
-    write_table(clean_orders(raw), paths["stg_orders_final"])
-    stg = spark.read.parquet(paths["stg_orders_final"])
-    write_table(build_fact(stg, ceiling), paths["fact_order_item"])
-    write_table(build_dim_customer(stg), paths["dim_customer"])
-    write_table(build_dim_product(stg), paths["dim_product"])
-    return paths
-
-
-def star_tables(spark: SparkSession, sf_dir: str, ceiling: dt.date) -> dict[str, DataFrame]:
-    """Star tables for the driver data in ``sf_dir``, built on first use in this application."""
-    from acct_health.sources.order_lines import order_lines
-
-    key = (spark.sparkContext.applicationId, os.path.abspath(sf_dir), ceiling)
-    if key not in _BUILT:
-        root = f"{table_root(spark)}/acct_health_tables/{uuid.uuid4().hex}"
-        build_star(spark, order_lines(spark, sf_dir), ceiling, root)
-        _BUILT[key] = root
-    root = _BUILT[key]
-    return {t: spark.read.parquet(f"{root}/{t}") for t in TABLES}
+
+def _file_system(spark: SparkSession, path: str):
+    where = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return where, where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+
+
+def input_stamp(spark: SparkSession, sf_dir: str) -> tuple:
+    """Names, sizes and modification times of the source tables' files."""
+    out = []
+    for table in SOURCE_TABLES:
+        where, fs = _file_system(spark, f"{sf_dir}/{table}.parquet")
+        out += sorted((s.getPath().toString(), s.getLen(), s.getModificationTime()) for s in fs.listStatus(where))
+    return tuple(out)
+
+
+def remove_table(spark: SparkSession, path: str) -> None:
+    where, fs = _file_system(spark, path)
+    fs.delete(where, True)
+
+
+class StarTables(Mapping):
+    """The tables of one input by name; a table is written when it is first taken, and again, in place of the old
+    files, when the input's files have changed."""
+
+    def __init__(self, spark: SparkSession, sf_dir: str, ceiling: dt.date):
+        self.spark, self.sf_dir, self.ceiling = spark, sf_dir, ceiling
+        self.stamp = input_stamp(spark, sf_dir)
+
+    def __iter__(self) -> Iterator[str]:
+        return iter(TABLES)
+
+    def __len__(self) -> int:
+        return len(TABLES)
+
+    def _plan(self, name: str) -> DataFrame:
+        if name == "raw_order_lines":
+            return order_lines(self.spark, self.sf_dir)
+        if name == "stg_orders_final":
+            return clean_orders(order_lines(self.spark, self.sf_dir))
+        stg = self["stg_orders_final"]
+        return {"fact_order_item": lambda: build_fact(stg, self.ceiling), "dim_customer": lambda: build_dim_customer(stg),
+                "dim_product": lambda: build_dim_product(stg)}[name]()
+
+    def written(self, name: str) -> bool:
+        key = (self.spark.sparkContext.applicationId, self.sf_dir, self.ceiling, name)
+        return key in _WRITTEN and _WRITTEN[key][0] == self.stamp
+
+    def __getitem__(self, name: str) -> DataFrame:
+        if name not in TABLES:
+            raise KeyError(name)
+        key = (self.spark.sparkContext.applicationId, self.sf_dir, self.ceiling, name)
+        if not self.written(name):
+            path = scratch_path(self.spark, name)
+            write_table(self._plan(name), path)
+            old = _WRITTEN.get(key)
+            _WRITTEN[key] = (self.stamp, path)
+            if old:
+                remove_table(self.spark, old[1])
+        return self.spark.read.parquet(_WRITTEN[key][1])
+
+
+def star_tables(spark: SparkSession, sf_dir: str, ceiling: dt.date) -> StarTables:
+    return StarTables(spark, sf_dir, ceiling)

@@ -10,11 +10,9 @@ from pyspark.sql import functions as F
 
 def date_spine(spark: SparkSession, start: dt.date, end: dt.date, name: str = "full_date") -> DataFrame:
     """Every day from ``start`` to ``end`` inclusive; size is (end - start) + 1 rows,
-    known before running, so callers can decide to broadcast it."""
+    known before running; none if ``end`` is before ``start``."""
+    if end < start:
+        return spark.createDataFrame([], f"{name} date")
     return spark.range(1).select(
         F.explode(F.sequence(F.lit(start), F.lit(end), F.expr("interval 1 day"))).alias(name)
     )
-
-
-def spine_size(start: dt.date, end: dt.date) -> int:
-    return (end - start).days + 1

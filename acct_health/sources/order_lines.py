@@ -103,22 +103,24 @@ def _dirty_date(d: Column, i: Column, k: Column) -> Column:
     return F.when(k % 5 == 0, F.concat(F.lit(" "), out, F.lit(" "))).otherwise(out)
 
 
-def order_lines(spark: SparkSession, sf_dir: str, dirty: bool = True) -> DataFrame:
+SOURCE_TABLES = ("lineitem", "orders", "customer", "part", "supplier", "nation", "region")
+
+
+def order_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Order lines as all-STRING columns named as the cleaning plan reads them."""
     rd = lambda t: spark.read.parquet(f"{sf_dir}/{t}.parquet")
-    # Hash-partition lines by order key: this is the exchange the join with orders needs
-    # at scale anyway, and it spreads the text rendering over tasks when orders is broadcast.
     li = rd("lineitem").select("l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity",
-                               "l_extendedprice", "l_discount", "l_shipdate").repartition("l_orderkey")
+                               "l_extendedprice", "l_discount", "l_shipdate")
     o = rd("orders").select("o_orderkey", "o_custkey", "o_orderdate")
     c = rd("customer").select("c_custkey", "c_name", "c_nationkey", "c_mktsegment")
     p = rd("part").select("p_partkey", "p_name", "p_brand", "p_type", "p_size", "p_retailprice")
     s = rd("supplier").select("s_suppkey", "s_nationkey")
-    n = F.broadcast(rd("nation").select("n_nationkey", "n_regionkey"))
-    r = F.broadcast(rd("region").select("r_regionkey"))
+    n = rd("nation").select("n_nationkey", "n_regionkey")
+    r = rd("region").select("r_regionkey")
 
-    j = (li.join(o, li.l_orderkey == o.o_orderkey, "left")
-         .join(c, F.col("o_custkey") == c.c_custkey, "left")
+    # orders take their customer before they meet the lines, so the lines are shuffled for orders once
+    oc = o.join(c, F.col("o_custkey") == c.c_custkey, "left")
+    j = (li.join(oc, li.l_orderkey == oc.o_orderkey, "left")
          .join(p, li.l_partkey == p.p_partkey, "left")
          .join(s, li.l_suppkey == s.s_suppkey, "left")
          .join(n, F.col("s_nationkey") == n.n_nationkey, "left")
@@ -187,25 +189,6 @@ def order_lines(spark: SparkSession, sf_dir: str, dirty: bool = True) -> DataFra
         "product_price": _cents_text(F.round(F.col("p_retailprice") * 100).cast("bigint")),
         "product_status": F.lit("0"),
     }
-    if not dirty:
-        out = {
-            **ids,
-            "order_date": F.date_format("od", DATE_RENDER[0]),
-            "shipping_date": F.date_format("sd", DATE_RENDER[0]),
-            **cat,
-            "late_delivery_risk": F.when(late, F.lit("1")).otherwise(F.lit("0")),
-            "real_shipping_days": F.col("real").cast("string"),
-            "scheduled_days_for_shipment": F.col("sched").cast("string"),
-            **{name: _cents_text(v) for name, v in money.items()},
-            "order_item_discount_rate": _cents_text(F.col("d100")),
-            "order_item_profit_ratio": _cents_text(F.col("pr") * 5),
-            "order_item_quantity": F.col("qty").cast("string"),
-            "order_country": _pick([x[0] for x in COUNTRY_SPELLINGS], country_idx),
-            "order_state": F.concat(F.lit("ST"), F.lpad((F.col("l_suppkey") % 60).cast("string"), 2, "0")),
-            **attrs,
-        }
-        return j.select(*[v.alias(name) for name, v in out.items()])
-
     cat_dirty = {}
     for jj, (name, v) in enumerate(cat.items()):
         if name == "shipping_mode":

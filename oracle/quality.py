@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import datetime as dt
 
-from oracle.pipeline import fact_ctes, safe_double, safe_int, sround, staging_ctes, utrim
+from oracle.pipeline import exact_avg, fact_ctes, safe_double, safe_int, sround, staging_ctes, utrim
 from oracle.raw import RAW_COLUMNS, raw_order_lines_sql
 
 MONEY = ("sales", "order_item_total", "order_item_product_price", "order_item_discount",
@@ -34,6 +34,7 @@ def quality_queries(ceiling: dt.date) -> dict[str, str]:
         "key_uniqueness_staging": S("SELECT count(*) AS total_rows, count(DISTINCT order_item_id) AS distinct_keys FROM stg"),
         "duplicate_keys": R("SELECT order_item_id, count(*) AS cnt FROM raw GROUP BY order_item_id HAVING count(*) > 1"),
         "column_mismatch_count": R("SELECT count_if(customer_id != order_customer_id) AS mismatch_count FROM raw"),
+        "column_mismatch_count_clean": S("SELECT count_if(customer_id != order_customer_id) AS mismatch_count FROM stg"),
         "duplicate_row_count": R(f"SELECT CAST(coalesce(sum(n - 1), 0) AS BIGINT) AS duplicate_row_count FROM "
                                  f"(SELECT count(*) AS n FROM raw GROUP BY {allc})"),
         "date_quality_summary": S(f"""SELECT count(*) AS total_rows,
@@ -41,9 +42,9 @@ def quality_queries(ceiling: dt.date) -> dict[str, str]:
             count_if(shipping_date_clean IS NULL) AS missing_shipping_dates,
             count_if(is_ship_before_order_flag) AS ship_before_order_cases,
             {sround('count_if(is_ship_before_order_flag) / count(*) * 100', 2)} AS pct_ship_before_order FROM stg"""),
-        "value_counts_order_status_raw": vc("raw", "order_status", R),
-        "value_counts_shipping_mode_raw": vc("raw", "shipping_mode", R),
-        "value_counts_order_country_raw": R("SELECT order_country, count(*) AS cnt FROM raw GROUP BY order_country "
+        **{f"value_counts_{c}_raw": vc("stg", c, S) for c in (
+            "order_status", "shipping_mode", "delivery_status", "late_delivery_risk", "customer_segment", "order_region", "market")},
+        "value_counts_order_country_raw": S("SELECT order_country, count(*) AS cnt FROM stg GROUP BY order_country "
                                             "ORDER BY cnt DESC, order_country ASC NULLS FIRST LIMIT 60"),
         "value_counts_shipping_mode": vc("stg", "shipping_mode_clean", S),
         "value_counts_order_status": vc("stg", "order_status_clean", S),
@@ -76,7 +77,7 @@ def quality_queries(ceiling: dt.date) -> dict[str, str]:
                                      "count_if(order_state IS NULL) AS null_values FROM stg"),
         "parse_failure_counts": S(f"SELECT {', '.join(bad)} FROM stg"),
         "sales_profile": S("SELECT min(sales_clean) AS min_sales_clean, max(sales_clean) AS max_sales_clean, "
-                           "avg(sales_clean) AS avg_sales_clean FROM stg WHERE sales_clean IS NOT NULL"),
+                           f"{exact_avg('sales_clean')} AS avg_sales_clean FROM stg WHERE sales_clean IS NOT NULL"),
         "quantity_flag_counts": S("SELECT count_if(is_quantity_missing) AS missing_count, "
                                   "count_if(is_quantity_invalid AND NOT is_quantity_missing) AS invalid_count, "
                                   "count(*) AS total_rows FROM stg"),

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import datetime as dt
 
-from oracle.pipeline import fact_ctes, mart_ctes, sround, staging_ctes
+from oracle.pipeline import exact_avg, fact_ctes, mart_ctes, reading_ctes, safe_int, sround, staging_ctes
 
 
 def oracle_queries(ceiling: dt.date, first_cohort: dt.date, call_list: int) -> dict[str, str]:
@@ -23,12 +23,13 @@ def oracle_queries(ceiling: dt.date, first_cohort: dt.date, call_list: int) -> d
                 - INTERVAL 1 DAY, INTERVAL 1 DAY)) AS DATE) AS d)"""
     q = {
         "clean_orders": f"WITH {staging_ctes()}\nSELECT * FROM stg",
-        "drop_exact_duplicates": f"WITH {staging_ctes()}\nSELECT * FROM dedup",
-        "date_resolution": (f"WITH {staging_ctes().replace('FROM dedup', 'FROM raw')}\n"
-                            "SELECT order_item_id, order_date, shipping_date, o_mf AS order_date_monthfirst, "
-                            "o_df AS order_date_dayfirst, s_mf AS shipping_date_monthfirst, "
-                            "s_df AS shipping_date_dayfirst, o_f AS order_date_forced, s_f AS shipping_date_forced, "
-                            "order_date_clean, shipping_date_clean FROM resolved"),
+        "drop_exact_duplicates": f"WITH {staging_ctes()}\nSELECT DISTINCT * FROM raw",
+        "date_resolution": (f"WITH {reading_ctes()}\nSELECT {safe_int('n.order_item_id')} AS order_item_id, n.order_date, n.shipping_date, "
+                            "o.m AS order_date_monthfirst, o.d AS order_date_dayfirst, s.m AS shipping_date_monthfirst, "
+                            "s.d AS shipping_date_dayfirst, o.sure AS order_date_forced, s.sure AS shipping_date_forced, "
+                            "oc.d AS order_date_clean, sc.d AS shipping_date_clean FROM numbered n "
+                            + " ".join(f"LEFT JOIN {t} {a} ON {a}.line = n.line AND {a}.side = '{k}'" for t, a, k in (
+                                ("cand", "o", "o"), ("cand", "s", "s"), ("settled", "oc", "o"), ("settled", "sc", "s")))),
         "ceiling_corrections": F_("""SELECT
             count_if(s.order_date_clean IS NOT NULL AND f.order_date_clean IS DISTINCT FROM s.order_date_clean)
               AS order_dates_moved,
@@ -63,15 +64,15 @@ def oracle_queries(ceiling: dt.date, first_cohort: dt.date, call_list: int) -> d
           FROM mart_funnel WHERE late_delivery_risk IS NOT NULL"""),
         "mart_cohort": M("SELECT * FROM mart_cohort"),
         "cohort_curve": M(f"SELECT * FROM mart_cohort WHERE cohort_month = DATE '{fc}'"),
-        "kpi_retention": M(f"""SELECT {sround('avg(CASE WHEN month_index >= 1 THEN retention_pct END)', 2)}
+        "kpi_retention": M(f"""SELECT {sround(exact_avg('CASE WHEN month_index >= 1 THEN retention_pct END'), 2)}
               AS retention_kpi_pct,
-            {sround('avg(CASE WHEN month_index = 1 THEN retention_pct END)', 2)} AS month1_retention_pct,
+            {sround(exact_avg('CASE WHEN month_index = 1 THEN retention_pct END'), 2)} AS month1_retention_pct,
             count(CASE WHEN month_index >= 1 THEN 1 END) AS cells
           FROM mart_cohort"""),
-        "rfm_base": M("SELECT customer_id, recency_days, frequency, monetary, avg_delivery_delay FROM customer_rfm_raw"),
+        "rfm_base": M("SELECT customer_id, recency_days, frequency, monetary, avg_delivery_delay FROM rfm_base"),
         "mart_churn_rfm": M("SELECT * FROM mart_churn_rfm"),
         "segment_summary": M(f"""SELECT segment, count(*) AS customer_count,
-            {sround('avg(monetary)', 2)} AS avg_monetary FROM mart_churn_rfm GROUP BY segment"""),
+            {sround(exact_avg('monetary'), 2)} AS avg_monetary FROM mart_churn_rfm GROUP BY segment"""),
         "segment_churn_crosstab": M("SELECT segment, is_churned, count(*) AS cnt FROM mart_churn_rfm GROUP BY segment, is_churned"),
         "kpi_at_risk_pct": M(f"""SELECT count(CASE WHEN segment IN ('At Risk', 'Lapsed') THEN 1 END) AS at_risk_accounts,
             count(*) AS total_accounts,
@@ -80,24 +81,29 @@ def oracle_queries(ceiling: dt.date, first_cohort: dt.date, call_list: int) -> d
         "risk_call_list": M(f"""SELECT customer_id, segment, monetary, recency_days, frequency, rfm_score
           FROM mart_churn_rfm WHERE segment IN ('At Risk', 'Lapsed')
           ORDER BY monetary DESC NULLS LAST, customer_id ASC LIMIT {call_list}"""),
-        "risk_table_with_total": M(f"""SELECT segment, count(*) AS accounts, {sround('avg(monetary)', 2)} AS avg_monetary
+        "risk_table_with_total": M(f"""SELECT segment, count(*) AS accounts, {sround(exact_avg('monetary'), 2)} AS avg_monetary
             FROM mart_churn_rfm GROUP BY segment
-          UNION ALL SELECT 'Total', count(*), {sround('avg(monetary)', 2)} FROM mart_churn_rfm"""),
-        "dominant_region": M("SELECT * FROM customer_dominant_region"),
-        "dominant_market": M("SELECT * FROM customer_market"),
-        "ltv_base": M("SELECT * FROM formula_ltv"),
+          UNION ALL SELECT 'Total', count(*), {sround(exact_avg('monetary'), 2)} FROM mart_churn_rfm"""),
+        "dominant_region": M("SELECT * FROM dominant_region"),
+        "dominant_market": M("SELECT * FROM dominant_market"),
+        "ltv_base": M("SELECT * FROM ltv"),
         "mart_ltv": M("SELECT * FROM mart_ltv"),
         "ltv_by_segment": M(f"""SELECT customer_segment, count(*) AS customer_count,
-            {sround('avg(historical_ltv)', 2)} AS avg_historical_ltv,
-            {sround('avg(formula_based_ltv)', 2)} AS avg_formula_ltv
+            {sround(exact_avg('historical_ltv'), 2)} AS avg_historical_ltv,
+            {sround(exact_avg('formula_based_ltv'), 2)} AS avg_formula_ltv
           FROM mart_ltv GROUP BY customer_segment"""),
         "ltv_by_region": M(f"""SELECT dominant_region, count(*) AS customer_count,
-            {sround('avg(historical_ltv)', 2)} AS avg_historical_ltv FROM mart_ltv GROUP BY dominant_region"""),
+            {sround(exact_avg('historical_ltv'), 2)} AS avg_historical_ltv FROM mart_ltv GROUP BY dominant_region"""),
         "ltv_formula_check": M(f"""SELECT {sround('corr(historical_ltv, formula_based_ltv)', 4)} AS correlation,
             count(CASE WHEN abs(historical_ltv - formula_based_ltv) > 1 THEN 1 END) AS mismatch_count FROM mart_ltv"""),
         "ltv_by_engagement": M(f"""SELECT r.segment, count(*) AS customer_count,
-            {sround('avg(l.historical_ltv)', 2)} AS avg_historical_ltv
+            {sround(exact_avg('l.historical_ltv'), 2)} AS avg_historical_ltv
           FROM mart_ltv l JOIN mart_churn_rfm r ON l.customer_id = r.customer_id GROUP BY r.segment"""),
+        "retention_rate": M("""SELECT cohort_month, month_index, sum(CAST(retention_pct AS DECIMAL(28, 2)))::DOUBLE / 100 AS retention_rate
+          FROM mart_cohort GROUP BY cohort_month, month_index"""),
+        "ntile_global": """SELECT c_custkey, c_acctbal, c_mktsegment,
+            CAST(ntile(7) OVER (ORDER BY c_mktsegment NULLS FIRST, c_acctbal DESC NULLS LAST, c_custkey) AS INTEGER) AS tile FROM customer""",
+        "slice_by_segment": M("SELECT * FROM mart_ltv WHERE customer_segment = 'Corporate'"),
         "slice_mart": M("""SELECT * FROM mart_funnel
           WHERE order_date_clean BETWEEN DATE '1998-01-01' AND DATE '1998-12-31' AND market IN ('Europe', 'LATAM')"""),
     }
@@ -115,8 +121,8 @@ def oracle_queries(ceiling: dt.date, first_cohort: dt.date, call_list: int) -> d
             count(DISTINCT CASE WHEN is_delivered_on_time THEN order_id END) AS orders_delivered_on_time
           FROM mart_funnel"""
     q["funnel_conversion"] = f"WITH {mart_ctes(ceiling)},\ncounts AS ({counts_sel})\n" + "\nUNION ALL\n".join(rows)
-    # cohort matrix: the driver data spans cohorts 0..78 months before the ceiling
-    idx = range(0, 79)
+    # a cohort's months up to the one before the ceiling: one column each, from the first cohort on
+    idx = range((ceiling.year - first_cohort.year) * 12 + ceiling.month - first_cohort.month)
     cols = ", ".join(f"max(CASE WHEN month_index = {i} THEN retention_pct END) AS m{i}" for i in idx)
     q["cohort_matrix"] = M(f"SELECT cohort_month, {cols} FROM mart_cohort GROUP BY cohort_month")
     from oracle.quality import quality_queries
