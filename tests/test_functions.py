@@ -15,8 +15,7 @@ d = dt.date
 
 def one_col(spark, values, expr_fn, typ="string"):
     df = spark.createDataFrame([(i, v) for i, v in enumerate(values)], f"i int, v {typ}")
-    return [r[0] for r in df.select(expr_fn(F.col("v"))).orderBy(F.col("i")).collect()] if False else \
-        [r["o"] for r in df.select("i", expr_fn(F.col("v")).alias("o")).orderBy("i").collect()]
+    return [r["o"] for r in df.select("i", expr_fn(F.col("v")).alias("o")).orderBy("i").collect()]
 
 
 def test_parse_date_candidates(spark):

@@ -1,6 +1,7 @@
 """DataFrame operators: dedupe, latest value, dominant value, global ntile, cohort censoring."""
 
 import datetime as dt
+import tempfile
 
 from pyspark.sql import Window
 from pyspark.sql import functions as F
@@ -50,32 +51,83 @@ def _tile_sizes(df, col):
 
 def test_ntile_small_inputs(spark):
     s7 = spark.range(7).select(F.col("id").alias("cid"), F.col("id").alias("v"))
-    assert _tile_sizes(ntile_global(s7, 5, [("v", False)], ["cid"], "t", buckets=4), "t") == [2, 2, 1, 1, 1]
+    assert _tile_sizes(ntile_global(s7, 5, [("v", False)], ["cid"], "t"), "t") == [2, 2, 1, 1, 1]
     s3 = spark.range(3).select(F.col("id").alias("cid"), F.col("id").alias("v"))
-    got = [r["t"] for r in ntile_global(s3, 5, [("v", False)], ["cid"], "t", buckets=8).orderBy("cid").collect()]
-    assert got == [1, 2, 3]
+    assert [r["t"] for r in ntile_global(s3, 5, [("v", False)], ["cid"], "t").orderBy("cid").collect()] == [1, 2, 3]
+    assert ntile_global(s3.where("cid < 0"), 5, [("v", False)], ["cid"], "t").count() == 0
 
 
-def test_ntile_matches_builtin(spark):
+def test_ntile_matches_builtin_over_many_partitions(spark):
+    """Heavily tied values and nulls; without coalescing, so that the sorted table has several partitions."""
     df = spark.range(20000).select(
-        F.col("id").alias("cid"),
-        F.when(F.col("id") % 11 == 0, None).otherwise(F.col("id") % 7).alias("v"),
-        (F.col("id") % 13 * 1.5).alias("m"))
-    for col, desc in [("v", False), ("v", True), ("m", True)]:
-        ours = ntile_global(df, 5, [(col, desc)], ["cid"], "t", buckets=8)
-        o = F.col(col).desc() if desc else F.col(col).asc()
-        ref = df.withColumn("t2", F.ntile(5).over(Window.orderBy(o, F.col("cid"))))
-        assert ours.join(ref, "cid").filter("t <> t2").count() == 0
-        sizes = _tile_sizes(ours, "t")
-        assert max(sizes) - min(sizes) <= 1
-
-
-def test_ntile_has_no_single_partition_exchange(spark):
+        F.col("id").alias("cid"), F.when(F.col("id") % 11 == 0, None).otherwise(F.col("id") % 3).alias("v"))
+    name = "spark.sql.adaptive.coalescePartitions.enabled"
+    spark.conf.set(name, "false")
+    try:
+        for desc in (False, True):
+            ours = ntile_global(df, 5, [("v", desc)], ["cid"], "t")
+            o = F.col("v").desc() if desc else F.col("v").asc()
+            ref = df.withColumn("t2", F.ntile(5).over(Window.orderBy(o, F.col("cid"))))
+            assert ours.join(ref, "cid").filter("t <> t2").count() == 0
+            sizes = _tile_sizes(ours, "t")
+            assert len(sizes) == 5 and max(sizes) - min(sizes) <= 1
+            # the rows are in several tasks, and only one row per task meets in a single one
+            assert len(ours.inputFiles()) > 1
+    finally:
+        spark.conf.unset(name)
+
+
+def test_ntile_reads_its_input_once(spark):
+    """The plan that ranks reads the written table only, and no exchange is by a literal or for all rows."""
     df = spark.range(5000).select(F.col("id").alias("cid"), (F.col("id") % 3).alias("v"))
-    plan = ntile_global(df, 5, [("v", False)], ["cid"], "t", buckets=8)._jdf.queryExecution().executedPlan()
-    text = plan.toString()
-    ranked_part = text.split("BroadcastExchange")[0]
-    assert "SinglePartition" not in ranked_part
+    ranked = ntile_global(ntile_global(df, 5, [("v", False)], ["cid"], "t"), 5, [("v", True)], ["cid"], "u")
+    plan = ranked._jdf.queryExecution().executedPlan().toString()
+    assert "Range (" not in plan
+    for line in plan.splitlines():
+        if "SinglePartition" in line or "Window" in line:
+            assert "cid" not in line
+    assert "hashpartitioning(0" not in plan
+
+
+def test_rows_with_unreadable_ids_are_kept_and_flagged(spark):
+    from acct_health.plans.cleaning import clean_keys_dates
+    rows = [("A1", "2024/03/05", None), ("B2", "2024/03/05", None), ("C3", None, None), ("7", "2024/03/06", None), ("7", "2024/03/05", None),
+            ("A1", "2024/03/05", None)]
+    out = clean_keys_dates(spark.createDataFrame(rows, "order_item_id string, order_date string, shipping_date string")).collect()
+    assert sorted(((r["order_item_id"], r["is_order_item_id_invalid"], str(r["order_date_clean"])) for r in out), key=str) == sorted(
+        [(None, True, "2024-03-05"), (None, True, "2024-03-05"), (None, True, "None"), (7, False, "2024-03-05")], key=str)
+
+
+def test_null_customers_are_nobody(spark):
+    from acct_health.plans.cohort import mart_cohort
+    rows = [(1, d(2024, 1, 3)), (2, d(2024, 1, 9)), (None, d(2024, 1, 1)), (None, d(2024, 3, 1)), (1, d(2024, 2, 1))]
+    out = mart_cohort(spark.createDataFrame(rows, "customer_id int, order_date_clean date"), d(2026, 1, 1)).collect()
+    assert {(str(r["cohort_month"]), r["month_index"]): (r["active_customers"], r["cohort_size"]) for r in out} == {
+        ("2024-01-01", 0): (2, 2), ("2024-01-01", 1): (1, 2), ("2024-01-01", 2): (0, 2)}
+
+
+def test_exact_average(spark):
+    from acct_health.operators.average import exact_avg
+    df = spark.createDataFrame([(28.79,), (28.8,)], "v double")
+    r = df.agg(F.round(exact_avg("v"), 2).alias("a"), exact_avg(F.when(F.col("v") < 0, F.col("v"))).alias("n")).first()
+    assert r["a"] == 28.8 and r["n"] is None
+
+
+def test_dim_coverage_reads_the_fact_once(spark):
+    from acct_health.operators.integrity import dim_coverage
+    path = tempfile.mkdtemp(prefix="acct-cov-") + "/fact"
+    spark.createDataFrame([(1, 10), (1, 11), (2, None)], "a int, b int").write.parquet(path)
+    dims = {"da": (spark.range(3).withColumnRenamed("id", "a"), "a"), "db": (spark.range(2).withColumnRenamed("id", "b"), "b")}
+    out = dim_coverage(spark.read.parquet(path), dims)
+    assert out.first().asDict() == {"da_rows": 3, "distinct_as_in_fact": 2, "db_rows": 2, "distinct_bs_in_fact": 2}
+    assert out._jdf.queryExecution().optimizedPlan().toString().count("parquet") == 1
+
+
+def test_reports_are_sorted(spark):
+    from acct_health.operators.profile import value_counts
+    df = spark.createDataFrame([("a",), ("b",), ("b",), (None,)], "v string")
+    assert [tuple(r) for r in value_counts(df, "v").collect()] == [("b", 2), (None, 1), ("a", 1)]
+    assert [r["v"] for r in value_counts(df, "v", by_value=True).collect()] == [None, "a", "b"]
 
 
 def test_drop_censored(spark):

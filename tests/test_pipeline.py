@@ -86,3 +86,45 @@ def test_oracle_subset(names):
     out = subprocess.run([sys.executable, "tools/check_oracle.py", SF_SMALL, *names], cwd=REPO,
                          capture_output=True, text=True, timeout=1500)
     assert "mismatches: 0" in out.stdout, out.stdout[-3000:]
+
+
+def test_a_query_builds_only_what_it_reads(spark):
+    import shutil
+    import tempfile
+
+    from acct_health.plans.warehouse import star_tables
+
+    d = tempfile.mkdtemp(prefix="acct-in-") + "/sf"
+    shutil.copytree(SF_SMALL, d)
+    star = star_tables(spark, d, E.CEILING)
+    star["fact_order_item"].count()
+    assert [t for t in star if star.written(t)] == ["stg_orders_final", "fact_order_item"]
+    before = star["fact_order_item"].inputFiles()
+    assert star_tables(spark, d, E.CEILING)["fact_order_item"].inputFiles() == before
+    os.utime(f"{d}/lineitem.parquet", (1, 1))  # the input has changed
+    again = star_tables(spark, d, E.CEILING)
+    assert not again.written("fact_order_item")
+    assert again["fact_order_item"].inputFiles() != before
+
+
+def test_no_local_folder_off_local_masters():
+    from types import SimpleNamespace
+
+    from acct_health.session import ensure_checkpoint_dir
+
+    for master, good in (("spark://host:7077", False), ("local-cluster[2,1,1024]", False), ("local[2]", True)):
+        kept = []
+        sc = SimpleNamespace(getCheckpointDir=lambda: None, setCheckpointDir=kept.append, master=master)
+        session = SimpleNamespace(sparkContext=sc, conf=SimpleNamespace(get=lambda key, default: default))
+        if good:
+            assert ensure_checkpoint_dir(session) == kept[0]
+        else:
+            with pytest.raises(RuntimeError):
+                ensure_checkpoint_dir(session)
+
+
+def test_without_dated_rows_the_calendar_is_empty(spark):
+    from acct_health.plans.star import build_dim_date, calendar_span
+
+    fact = spark.createDataFrame([(None,)], "order_date_clean date")
+    assert build_dim_date(spark, *calendar_span(fact)).count() == 0
