@@ -268,7 +268,8 @@ def near_duplicates(vectors: DataFrame, cosine: float = 0.98, block: int = BLOCK
     out = rows.join(told.withColumn("__sound", F.lit(True)), ["label", "embedding"], "left")
     out = out.join(groups.withColumnRenamed("node", "vec_id"), "vec_id", "left")
     component = F.when(F.col("__sound"), F.coalesce("component", "vec_id")).otherwise(F.col("vec_id"))
-    return out.select("vec_id", F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"), component.alias("component_id"),
+    links = F.when(F.col("vec_id").isNotNull(), F.coalesce("n_links", F.lit(0))).otherwise(0).cast("long")
+    return out.select("vec_id", links.alias("n_links"), component.alias("component_id"),
                       F.col("vec_id").eqNullSafe(component).alias("kept"))
 
 

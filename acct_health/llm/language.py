@@ -27,6 +27,7 @@ UNDETERMINED = "und"
 PER_LANGUAGE = 256  # learned texts of each language
 LANDMARKS = 64  # of these, landmarks
 LONGEST = 20_000  # characters: texts up to this length are learned first
+SLICES = 64  # of each language, from which learned texts are chosen
 RIDGE = 1e-2
 SLICE = 1 << 20  # characters of a text looked at together
 
@@ -162,6 +163,9 @@ def learn(docs: DataFrame, per_language: int = PER_LANGUAGE, longest: int = LONG
     rows = docs.select(F.col(text).alias("text"), F.col(lang).alias("lang"), F.xxhash64(F.lit(7), F.col(key)).alias("h"),
                        (F.length(text) > longest).alias("late"), held_out(key).alias("out"))
     rows = rows.where("NOT out AND text IS NOT NULL AND lang IS NOT NULL")
+    # first within slices of a language, so that no task meets the candidates of all tasks for a large one
+    sliced = F.row_number().over(Window.partitionBy("lang", "slice").orderBy("late", "h", "text"))
+    rows = rows.withColumn("slice", F.pmod(F.xxhash64("h", "text"), F.lit(SLICES))).withColumn("n", sliced).where(F.col("n") <= per_language)
     rank = F.row_number().over(Window.partitionBy("lang").orderBy("late", "h", "text"))
     chosen = rows.withColumn("n", rank).where(F.col("n") <= per_language).select("lang", "n", "text").collect()
     chosen.sort(key=lambda r: (r["lang"], r["n"]))
