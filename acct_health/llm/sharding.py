@@ -33,12 +33,12 @@ def interleaved_shards(docs: DataFrame, shards: int = 16, seed: int = 9, key: st
         F.col(key).alias("doc_id"), F.col(source).cast("string").alias("source"), group_key(source).alias("stratum"),
         (F.coalesce(F.octet_length(F.col(text)), F.lit(0)) + 1).cast("long").alias("size"),
         F.crc32(F.coalesce(F.col(text), F.lit("")).cast("binary")).alias("text_crc32"),
-        F.xxhash64(F.lit(seed), F.col(key)).alias("h"))
+        F.shiftrightunsigned(F.xxhash64(F.lit(seed), F.col(key)), 1).alias("h"))  # 63 bits
     rows = docs.count()
     slices = max(1, -(-rows // rows_per_slice))
 
     # rank in the source: slices of the hash's range
-    base = base.withColumn("slice", F.shiftright(F.shiftrightunsigned("h", 33) * F.lit(slices), 31))
+    base = base.withColumn("slice", F.shiftright(F.shiftright("h", 32) * F.lit(slices), 31))
     counts = base.groupBy("stratum", "slice").agg(F.count(F.lit(1)).alias("n"))
     counts = running_before(counts, ["stratum"], "slice", "n", "before")
     totals = counts.groupBy("stratum").agg(F.sum("n").alias("stratum_rows"))

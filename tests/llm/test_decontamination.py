@@ -22,7 +22,7 @@ def found(spark, items, texts, **more):
 def test_cases(spark, items):
     swapped = ITEM.replace("Natalia", "Olga").replace("48", "96").replace("24", "7").replace("Peter", "Ivan")
     mixed = swapped.replace("then Olga", "then Boris")  # one name of the item stands for two
-    got = found(spark, items, [f"{FILLER} {ITEM} {FILLER}", f"{FILLER} {ITEM.upper()}", f"{FILLER}. {swapped}", f"{FILLER}. {mixed}", FILLER,
+    got = found(spark, items, [f"{FILLER}. {ITEM} {FILLER}", f"{FILLER} {ITEM.upper()}", f"{FILLER}. {swapped}", f"{FILLER}. {mixed}", FILLER,
                                None, "", f"{FILLER} the farmer sold clips to friends {FILLER}", ITEM.replace(" ", "\n \t"), ITEM])
     assert set(got) >= {0, 2, 8, 9} and set(got) <= {0, 1, 2, 8, 9}
     assert got[0]["same_slots"] and not got[2]["same_slots"] and got[0]["item_id"] == 1
