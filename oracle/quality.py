@@ -35,6 +35,9 @@ def quality_queries(ceiling: dt.date) -> dict[str, str]:
         "duplicate_keys": R("SELECT order_item_id, count(*) AS cnt FROM raw GROUP BY order_item_id HAVING count(*) > 1"),
         "column_mismatch_count": R("SELECT count_if(customer_id != order_customer_id) AS mismatch_count FROM raw"),
         "column_mismatch_count_clean": S("SELECT count_if(customer_id != order_customer_id) AS mismatch_count FROM stg"),
+        "schema_profile": R(" UNION ALL ".join(
+            f"SELECT '{c}' AS column_name, 'string' AS data_type, count({c}) AS present_rows FROM raw"
+            for c in ("real_shipping_days", "scheduled_days_for_shipment"))),
         "duplicate_row_count": R(f"SELECT CAST(coalesce(sum(n - 1), 0) AS BIGINT) AS duplicate_row_count FROM "
                                  f"(SELECT count(*) AS n FROM raw GROUP BY {allc})"),
         "date_quality_summary": S(f"""SELECT count(*) AS total_rows,
