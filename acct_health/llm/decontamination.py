@@ -4,7 +4,8 @@ A text becomes a row of template tokens: white-space-separated words, lower-case
 punctuation around them; a number is ``<number>``, a unit after a number ``<unit:kind>``, a name
 ``<name>``: a capitalised word that doesn't begin a sentence, or one of a few common first names.
 Windows of ``window`` template tokens (a shorter item: all of it) are joined by equality of
-their template. A document window that joins brings what stands in its slots. The windows
+their template; a window in which placeholders prevail, by its plain lower-cased words, which are a template
+without slots. A document window that joins brings what stands in its slots. The windows
 that line a document up with an item at one offset are judged together: an item's slot value must stand
 for one value of the document throughout, and two names for two. So a passage with other
 numbers and names is caught, and one that merely shares a template with other relations isn't.
@@ -113,6 +114,15 @@ class Lexicon:
 _LEXICON = Lexicon()
 
 
+def _mixed(hashes: np.ndarray, starts: np.ndarray, size: int) -> np.ndarray:
+    """The hash, never 0, of each ``size`` neighbours in ``hashes`` from ``starts`` on."""
+    h = np.full(len(starts), size, np.uint64)
+    for j in range(size):
+        h = h * MULTIPLIER + hashes[starts + j]
+        h ^= h >> np.uint64(29)
+    return np.maximum(h, np.uint64(1))
+
+
 class Template:
     """Words, kinds and hashes of the template tokens of a run of words."""
 
@@ -131,7 +141,8 @@ class Template:
         after_number = np.concatenate([[False], k[:-1] == NUMBER_SLOT]) if len(k) else np.zeros(0, bool)
         k[(k == UNIT) & ~after_number] = LITERAL
         self.kinds = k
-        self.hashes = np.where(k == UNIT, unit[solid], plain[solid])
+        self.plain = plain[solid]
+        self.hashes = np.where(k == UNIT, unit[solid], self.plain)
         for kind, h in HASH_OF.items():
             self.hashes[k == kind] = h
 
@@ -140,22 +151,27 @@ class Template:
 
     def windows(self, size: int) -> np.ndarray:
         """The hash of each window of ``size`` tokens; 0 where placeholders prevail."""
+        return self.keys(size)[0]
+
+    def keys(self, size: int) -> tuple[np.ndarray, np.ndarray]:
+        """Of each window of ``size`` tokens the hash of its template, 0 where placeholders prevail, and
+        that of its plain words where they do, else 0."""
         n = len(self) - size + 1
         if n < 1:
-            return np.zeros(0, np.uint64)
-        h = np.full(n, size, np.uint64)
-        for j in range(size):
-            h = h * MULTIPLIER + self.hashes[j:j + n]
-            h ^= h >> np.uint64(29)
+            return np.zeros(0, np.uint64), np.zeros(0, np.uint64)
         literal = np.concatenate([[0], np.cumsum(self.kinds == LITERAL)])
-        return np.where(literal[size:] - literal[:-size] >= LITERALS * size, np.maximum(h, np.uint64(1)), np.uint64(0))
-
-    def shown(self, start: int, size: int) -> tuple[str, list[str]]:
-        """The template of a window, and the contents of its slots as ``kind:place:value``."""
+        few = np.flatnonzero(literal[size:] - literal[:-size] < LITERALS * size)
+        template, exact = _mixed(self.hashes, np.arange(n), size), np.zeros(n, np.uint64)
+        template[few] = 0
+        exact[few] = _mixed(self.plain, few, size)
+        return template, exact
+
+    def shown(self, start: int, size: int, exact: bool = False) -> tuple[str, list[str]]:
+        """The template of a window, and the contents of its slots as ``kind:value``. ``exact``: its plain words, no slots."""
         text, slots = [], []
         for j in range(start, start + size):
             word, kind = _LEXICON.words[int(self.at[j])], int(self.kinds[j])
-            if kind == LITERAL:
+            if kind == LITERAL or exact:
                 text.append(word)
                 continue
             text.append({NAME: "<name>", NUMBER_SLOT: "<number>"}.get(kind) or f"<unit:{KIND_OF_UNIT[word]}>")
@@ -196,12 +212,13 @@ def benchmark_windows(benchmark: DataFrame, window: int = WINDOW, key: str = "it
                     if not size:
                         continue
                     rows = []
-                    for i, h in enumerate(template.windows(size).tolist()):
-                        if h and done + i not in seen:
-                            seen.add(done + i)
-                            shown, slots = template.shown(i, size)
-                            rows.append({"item_id": item, "at": done + i, "size": size, "h": h - (1 << 64) if h >> 63 else h,
-                                         "template": shown, "slots": slots})
+                    for exact, hashes in enumerate(template.keys(size)):
+                        for i, h in enumerate(hashes.tolist()):
+                            if h and (done + i, exact) not in seen:
+                                seen.add((done + i, exact))
+                                shown, slots = template.shown(i, size, bool(exact))
+                                rows.append({"item_id": item, "at": done + i, "size": size, "h": h - (1 << 64) if h >> 63 else h,
+                                             "template": shown, "slots": slots})
                     yield pa.RecordBatch.from_pylist(rows, schema)
 
     schema = pa.schema([("item_id", pa.int64()), ("at", pa.int64()), ("size", pa.int32()), ("h", pa.int64()),
@@ -225,8 +242,8 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, ke
                  item: str = "item_id") -> DataFrame:
     """doc_id, text_hash, item_id, n_windows, first_word, same_slots for each row of ``docs`` and each item it holds a passage of.
 
-    A row whose text is null or empty holds none. Repeated rows give a row each. Items that are null,
-    empty or mostly placeholders give no windows; an empty table on either side gives no rows.
+    A row whose text is null or empty holds none. Repeated rows give a row each. Items that are null
+    or empty give no windows, those of mostly placeholders only windows of plain words; an empty table on either side gives no rows.
     item_id stands for all items of equal text. A null doc_id stays null. Further columns are not looked at.
     """
     known = written(benchmark_windows(benchmark, window, item), "benchmark-windows")
@@ -245,11 +262,12 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, ke
                     row += 1
                     for done, template in runs(t, window) if t and sizes else ():
                         for size in sizes:
-                            h = template.windows(size)
-                            for at in np.flatnonzero(hit[h & low] & (h > 0)).tolist():
-                                shown, slots = template.shown(at, size)
-                                rows.append({"row": row, "doc_id": doc, "text_hash": xxhash.xxh64_intdigest(t.encode(), 42) - (1 << 63),
-                                             "at": done + at, "size": size, "template": shown, "slots": slots})
+                            for exact, h in enumerate(template.keys(size)):
+                                some = np.flatnonzero(h)
+                                for at in some[hit[h[some] & low]].tolist():
+                                    shown, slots = template.shown(at, size, bool(exact))
+                                    rows.append({"row": row, "doc_id": doc, "text_hash": xxhash.xxh64_intdigest(t.encode(), 42) - (1 << 63),
+                                                 "at": done + at, "size": size, "template": shown, "slots": slots})
                 if rows:
                     yield pa.RecordBatch.from_pylist(rows, schema)
 

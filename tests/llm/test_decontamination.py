@@ -69,3 +69,17 @@ def test_odd(spark, odd, empty, items):
     planted = odd.withColumn("text", F.when(F.col("doc_id") == 7, F.lit(ITEM)).otherwise(F.col("text")))
     assert d.contaminated(planted, items).count() == 3  # the row and its two repeats
     assert d.drop_contaminated(planted, items).count() == odd.count() - 3
+
+
+DENSE = ["Compute 12 plus 30 minus 7 times 4 plus 2 minus 9 times 3.",
+         "Alice paid 12 coins, Bob paid 30 coins, Peter paid 7 coins, Mary paid 9.", "12 30 7 4 2 9 3 8 5"]
+
+
+def test_items_dense_in_placeholders(spark):
+    """Copied word for word they are found; with other numbers they are no more than a common pattern."""
+    items = spark.createDataFrame(list(enumerate(DENSE)), "item_id long, text string")
+    docs = spark.createDataFrame([(i, f"{FILLER}. {t} {FILLER}") for i, t in enumerate(DENSE)] + [(9, f"{FILLER}. {DENSE[2][::-1]} {FILLER}")],
+                                 "doc_id long, text string")
+    got = d.contaminated(docs, items).collect()
+    assert {(r["doc_id"], r["item_id"]) for r in got} == {(0, 0), (1, 1), (2, 2)}
+    assert all(r["same_slots"] and r["first_word"] == len(FILLER.split()) for r in got)
