@@ -4,8 +4,9 @@ A text becomes a row of template tokens: white-space-separated words, lower-case
 punctuation around them; a number is ``<number>``, a unit after a number ``<unit:kind>``, a name
 ``<name>``: a capitalised word that doesn't begin a sentence, or one of a few common first names.
 Windows of ``window`` template tokens (a shorter item: all of it) are joined by equality of
-their template; a window in which placeholders prevail, by its plain lower-cased words, which are a template
-without slots. A document window that joins brings what stands in its slots. The windows
+their template and, by the same join, of their plain lower-cased words, which are a template without slots:
+a passage that is copied word for word is found whatever its case, its place in a sentence and its share of
+placeholders. A document window that joins brings what stands in its slots. The windows
 that line a document up with an item at one offset are judged together: an item's slot value must stand
 for one value of the document throughout, and two names for two. So a passage with other
 numbers and names is caught, and one that merely shares a template with other relations isn't.
@@ -76,9 +77,12 @@ class Lexicon:
         self.ends = np.zeros(1024, bool)
 
     def _add(self, raw: str) -> None:
-        core = EDGE.sub("", raw)
+        common = raw.isalpha() and raw.islower()
+        core = raw if common else EDGE.sub("", raw)
         low = core.lower()
-        if not core:
+        if common:
+            kind = UNIT if low in KIND_OF_UNIT else LITERAL
+        elif not core:
             kind = EMPTY
         elif NUMBER.fullmatch(core):
             kind = NUMBER_SLOT
@@ -114,13 +118,24 @@ class Lexicon:
 _LEXICON = Lexicon()
 
 
-def _mixed(hashes: np.ndarray, starts: np.ndarray, size: int) -> np.ndarray:
-    """The hash, never 0, of each ``size`` neighbours in ``hashes`` from ``starts`` on."""
-    h = np.full(len(starts), size, np.uint64)
-    for j in range(size):
-        h = h * MULTIPLIER + hashes[starts + j]
-        h ^= h >> np.uint64(29)
-    return np.maximum(h, np.uint64(1))
+def _join(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    h = a * MULTIPLIER
+    h += b
+    h ^= h >> np.uint64(29)
+    return h
+
+
+def _mixed(hashes: np.ndarray, size: int) -> np.ndarray:
+    """The hash, never 0, of each ``size`` neighbours in ``hashes``, joined of those of 1, 2, 4 ... neighbours."""
+    n = len(hashes) - size + 1
+    h, done, step = np.full(n, size, np.uint64), 0, 1
+    while True:
+        if size & step:
+            h = _join(h, hashes[done:done + n])
+            done += step
+        if done == size:
+            return np.maximum(h, np.uint64(1))
+        hashes, step = _join(hashes[:-step], hashes[step:]), 2 * step
 
 
 class Template:
@@ -155,15 +170,15 @@ class Template:
 
     def keys(self, size: int) -> tuple[np.ndarray, np.ndarray]:
         """Of each window of ``size`` tokens the hash of its template, 0 where placeholders prevail, and
-        that of its plain words where they do, else 0."""
+        that of its plain words, 0 where it has no placeholder: there its template is its plain words."""
         n = len(self) - size + 1
         if n < 1:
             return np.zeros(0, np.uint64), np.zeros(0, np.uint64)
         literal = np.concatenate([[0], np.cumsum(self.kinds == LITERAL)])
-        few = np.flatnonzero(literal[size:] - literal[:-size] < LITERALS * size)
-        template, exact = _mixed(self.hashes, np.arange(n), size), np.zeros(n, np.uint64)
-        template[few] = 0
-        exact[few] = _mixed(self.plain, few, size)
+        literal = literal[size:] - literal[:-size]
+        template, exact = _mixed(self.hashes, size), _mixed(self.plain, size)
+        template[literal < LITERALS * size] = 0
+        exact[literal == size] = 0
         return template, exact
 
     def shown(self, start: int, size: int, exact: bool = False) -> tuple[str, list[str]]:
@@ -243,7 +258,7 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, ke
     """doc_id, text_hash, item_id, n_windows, first_word, same_slots for each row of ``docs`` and each item it holds a passage of.
 
     A row whose text is null or empty holds none. Repeated rows give a row each. Items that are null
-    or empty give no windows, those of mostly placeholders only windows of plain words; an empty table on either side gives no rows.
+    or empty give no windows, windows of mostly placeholders count by their plain words alone; an empty table on either side gives no rows.
     item_id stands for all items of equal text. A null doc_id stays null. Further columns are not looked at.
     """
     known = written(benchmark_windows(benchmark, window, item), "benchmark-windows")

@@ -83,3 +83,17 @@ def test_items_dense_in_placeholders(spark):
     got = d.contaminated(docs, items).collect()
     assert {(r["doc_id"], r["item_id"]) for r in got} == {(0, 0), (1, 1), (2, 2)}
     assert all(r["same_slots"] and r["first_word"] == len(FILLER.split()) for r in got)
+
+
+def test_case_and_place_hide_nothing(spark):
+    """Word for word, in any case, in mid-sentence, and short."""
+    short = ["What is the capital of France?", "Weng earns 12 dollars"]
+    items = spark.createDataFrame(list(enumerate([ITEM, *short])), "item_id long, text string")
+    copies = [(10 * i + k, f"{before} {t} {FILLER}") for i, text in enumerate([ITEM, *short]) for k, (before, t) in enumerate(
+        (before, t) for before in (FILLER, FILLER + ".") for t in (text, text.lower(), text.upper(), text.title()))]
+    got = d.contaminated(spark.createDataFrame(copies, "doc_id long, text string"), items).collect()
+    assert {(r["doc_id"], r["item_id"]) for r in got} == {(k, k // 10) for k, _ in copies}
+    assert {r["doc_id"]: r["n_windows"] for r in got if r["item_id"] == 0} == {k: len(ITEM.split()) - 7 for k, _ in copies[:8]}
+    titled = spark.createDataFrame([(5, ITEM.title())], "item_id long, text string")
+    got = d.contaminated(spark.createDataFrame(copies[:8], "doc_id long, text string"), titled).collect()
+    assert {r["doc_id"] for r in got} == set(range(8))
