@@ -7,9 +7,10 @@ Windows of ``window`` template tokens (a shorter item: all of it) are joined by
 their template and, by the same join, of their plain lower-cased words, which are a template without slots:
 a passage that is copied word for word is found whatever its case, its place in a sentence and its share of
 placeholders. A document window that joins brings what stands in its slots. The windows
-that line a document up with an item at one offset are judged together: an item's slot value must stand
-for one value of the document throughout, and two names for two. So a passage with other
-numbers and names is caught, and one that merely shares a template with other relations isn't.
+whose slots are equal are hits by themselves. Those with changed slots that line a document up with an item
+at one offset are judged together: an item's slot value must stand for one value of the document
+throughout, and two names for two. So a passage with other numbers and names is caught, one that
+merely shares a template with other relations isn't, and an edit further on hides no copy.
 
 Before anything is shuffled, document windows are held against a bitmap of fixed size of the
 benchmark's window hashes; the join on the templates themselves then removes what only
@@ -259,7 +260,7 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, ke
 
     A row whose text is null or empty holds none. Repeated rows give a row each. Items that are null
     or empty give no windows, windows of mostly placeholders count by their plain words alone; an empty table on either side gives no rows.
-    item_id stands for all items of equal text. A null doc_id stays null. Further columns are not looked at.
+    same_slots: at some offset all windows that count have equal slots. item_id stands for all items of equal text. A null doc_id stays null. Further columns are not looked at.
     """
     known = written(benchmark_windows(benchmark, window, item), "benchmark-windows")
     sizes = sorted(r["size"] for r in known.select("size").distinct().collect())  # at most ``window``
@@ -292,14 +293,18 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, ke
                       "row long, doc_id long, text_hash long, at long, size int, template string, slots array<string>")
     theirs = known.select("template", "size", "item_id", F.col("at").alias("item_at"), F.col("slots").alias("item_slots"))
     pairs = found.join(theirs, ["template", "size"])
+    changed = F.col("slots") != F.col("item_slots")
     lined = pairs.groupBy("row", "doc_id", "text_hash", "item_id", (F.col("at") - F.col("item_at")).alias("offset")).agg(
-        F.countDistinct("at").alias("n_windows"), F.min("at").alias("first_word"),
-        F.flatten(F.collect_set(F.arrays_zip(F.col("item_slots").alias("i"), F.col("slots").alias("d")))).alias("slots"))
+        F.collect_set(F.when(~changed, F.col("at"))).alias("equal"), F.collect_set(F.when(changed, F.col("at"))).alias("changed"),
+        F.flatten(F.collect_set(F.when(changed, F.arrays_zip(F.col("item_slots").alias("i"), F.col("slots").alias("d"))))).alias("slots"))
     slots = F.array_distinct("slots")
     one = lambda a, side: F.size(F.array_distinct(F.transform(a, lambda s: s[side])))
     names = F.filter(slots, lambda s: s["i"].startswith("n:"))
     agree = (one(slots, "i") == F.size(slots)) & (one(names, "d") == F.size(names))
-    lined = lined.where(agree).withColumn("same", F.forall(slots, lambda s: s["i"] == s["d"]))
+    # windows with equal slots are hits by themselves
+    lined = lined.withColumn("hits", F.when(agree, F.array_union("equal", "changed")).otherwise(F.col("equal"))).where(F.size("hits") > 0)
+    lined = lined.select("row", "doc_id", "text_hash", "item_id", F.size("hits").alias("n_windows"), F.array_min("hits").alias("first_word"),
+                         (F.size("hits") == F.size("equal")).alias("same"))
     return lined.groupBy("row", "doc_id", "text_hash", "item_id").agg(
         F.sum("n_windows").alias("n_windows"), F.min("first_word").alias("first_word"), F.max("same").alias("same_slots")).drop("row")
 

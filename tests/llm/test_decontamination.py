@@ -97,3 +97,19 @@ def test_case_and_place_hide_nothing(spark):
     titled = spark.createDataFrame([(5, ITEM.title())], "item_id long, text string")
     got = d.contaminated(spark.createDataFrame(copies[:8], "doc_id long, text string"), titled).collect()
     assert {r["doc_id"] for r in got} == set(range(8))
+
+
+def test_one_edit_hides_no_copy(spark):
+    """Windows copied word for word count, though a number or name that came before is changed later on."""
+    long = "The baker sold 48 loaves of bread on the first morning and again sold 48 loaves of bread when the market closed at night"
+    near = "The old baker counted all the bread in the shop and sold 48 loaves and 48 rolls before noon"
+    items = spark.createDataFrame([(1, ITEM), (2, long), (3, near)], "item_id long, text string")
+    texts = ["50 loaves".join(long.rsplit("48 loaves", 1)), "Olga".join(ITEM.rsplit("Natalia", 1)), long.replace("48", "31"), long,
+             near.replace("48 rolls", "50 rolls"), near.replace("48 loaves and 48", "31 loaves and 50").replace("counted all", "has")]
+    docs = spark.createDataFrame(list(enumerate(f"{FILLER}. {t}" for t in texts)), "doc_id long, text string")
+    got = {(r["doc_id"], r["item_id"]): r for r in d.contaminated(docs, items).collect()}
+    assert set(got) == {(0, 2), (1, 1), (2, 2), (3, 2), (4, 3)}
+    assert {got[k, 2]["n_windows"] for k in (0, 2, 3)} == {len(long.split()) - 7}
+    assert [got[k, 2]["same_slots"] for k in (0, 2, 3)] == [False, False, True]
+    # 48 stands for 48 and 50: the windows up to the change are left
+    assert got[4, 3]["n_windows"] == near.split().index("48", 13) - 7 and got[4, 3]["same_slots"]
