@@ -76,15 +76,17 @@ def fingerprint(text: bytes | None, n: int = 3) -> int:
     return sum(1 << i for i in range(64) if 2 * ones[i] > total)
 
 
-def fingerprints(docs: DataFrame, shingle: int = 3, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """(doc_id, fp): the fingerprint of each row as a signed long."""
+def fingerprints(docs: DataFrame, shingle: int = 3, key: str = "doc_id", text: str = "text", digest: bool = False) -> DataFrame:
+    """(doc_id, fp): the fingerprint of each row as a signed long; with ``digest`` also the SHA-256 of its text."""
     def work(batches):
         for batch in batches:
             fps = [fingerprint(t, shingle) for t in batch.column(1).cast(pa.large_binary()).to_pylist()]
-            yield pa.record_batch([batch.column(0), pa.array(np.array(fps, np.uint64).view(np.int64))], names=["doc_id", "fp"])
+            yield pa.record_batch([batch.column(0), pa.array(np.array(fps, np.uint64).view(np.int64)), *batch.columns[2:]],
+                                  names=["doc_id", "fp", *batch.schema.names[2:]])
 
-    ids = docs.select(F.col(key).cast("long").alias("doc_id"), F.col(text).alias("text"))
-    return map_arrow(ids, work, "doc_id long, fp long")
+    more = [F.sha2(text, 256).alias("digest")] if digest else []
+    ids = docs.select(F.col(key).cast("long").alias("doc_id"), F.col(text).alias("text"), *more)
+    return map_arrow(ids, work, "doc_id long, fp long" + (", digest string" if digest else ""))
 
 
 # parts and thresholds
@@ -254,6 +256,18 @@ def links(fps: DataFrame, distance: int = 3, block: int = 2048) -> DataFrame:
     return map_arrow(dealt, work, "a long, b long")
 
 
+def rooted(prints: DataFrame, distance: int = 3) -> DataFrame:
+    """``prints`` with ``component``, a fingerprint that stands for the component, and ``component_id``."""
+    distinct = written(prints.groupBy("fp").agg(F.min("doc_id").alias("low")), "distinct")
+    found = components(written(links(distinct.select("fp"), distance), "simhash-links"))
+    root = (distinct.join(found.select(F.col("node").alias("fp"), "component"), "fp", "left")
+            .withColumn("component", F.coalesce("component", "fp")))
+    root = written(root, "roots")
+    lowest = root.groupBy("component").agg(F.min("low").alias("component_id"))
+    of = written(root.join(lowest, "component").select("fp", "component", "component_id"), "component-of")
+    return prints.join(of, "fp")
+
+
 def simhash_components(docs: DataFrame, shingle: int = 3, distance: int = 3, key: str = "doc_id", text: str = "text") -> DataFrame:
     """(doc_id, fp, component_id) of every row of ``docs``; component_id is the smallest doc_id that links reach.
 
@@ -262,23 +276,21 @@ def simhash_components(docs: DataFrame, shingle: int = 3, distance: int = 3, key
     unless its component has no other. An empty table gives no rows; further columns are not looked at.
     """
     prints = written(fingerprints(docs, shingle, key, text), "fingerprints")
-    distinct = written(prints.groupBy("fp").agg(F.min("doc_id").alias("low")), "distinct")
-    found = components(written(links(distinct.select("fp"), distance), "simhash-links"))
-    root = (distinct.join(found.select(F.col("node").alias("fp"), "component"), "fp", "left")
-            .withColumn("component", F.coalesce("component", "fp")))
-    root = written(root, "roots")
-    lowest = root.groupBy("component").agg(F.min("low").alias("component_id"))
-    of = written(root.join(lowest, "component").select("fp", "component_id"), "component-of")
-    return prints.join(of, "fp").select("doc_id", "fp", "component_id")
+    return rooted(prints, distance).select("doc_id", "fp", "component_id")
 
 
 def drop_near_copies(docs: DataFrame, shingle: int = 3, distance: int = 3) -> DataFrame:
-    """One row of each component of ``docs``, that of its smallest doc_id (of rows that share
-    this id, the one with the smallest text); all columns as they came."""
-    found = simhash_components(docs, shingle, distance)
-    keep = found.where(F.col("doc_id").eqNullSafe(F.col("component_id"))).select(F.col("doc_id").alias("__kept")).distinct()
-    first = Window.partitionBy("__kept").orderBy(F.col("text").asc_nulls_last(), *[F.col(c).cast("string") for c in docs.columns if c != "text"])
-    out = docs.join(keep, docs["doc_id"].eqNullSafe(F.col("__kept"))).withColumn("__first", F.row_number().over(first))
+    """One row of each component of ``docs``, that of its smallest doc_id, of rows that share this id or
+    have none the one with the smallest text; all columns as they came.
+
+    A component's candidates are told by their id and the SHA-256 of their text, as the id alone, null or
+    shared, may stand for texts of several components."""
+    found = rooted(written(fingerprints(docs, shingle, digest=True), "fingerprints"), distance)
+    keep = found.where(F.col("doc_id").eqNullSafe(F.col("component_id"))).select(
+        F.col("doc_id").alias("__kept"), F.col("digest").alias("__digest"), F.col("component").alias("__component")).distinct()
+    first = Window.partitionBy("__component").orderBy(F.col("text").asc_nulls_last(), *[F.col(c).cast("string") for c in docs.columns if c != "text"])
+    same = docs["doc_id"].cast("long").eqNullSafe(F.col("__kept")) & F.sha2(docs["text"], 256).eqNullSafe(F.col("__digest"))
+    out = docs.join(keep, same).withColumn("__first", F.row_number().over(first))
     return out.where("__first = 1").select(*docs.columns)
 
 

@@ -95,3 +95,17 @@ def test_one_row_of_each_group_stays(odd):
     low = simhash.simhash_components(odd)
     assert sorted(i for i in ids if i is not None) == sorted(r[0] for r in low.where("component_id IS NOT NULL").select("component_id").distinct().collect())
     assert kept.where(F.col("text") == "same text again").count() == 1
+
+
+def test_rows_without_an_id_or_with_a_shared_one(spark):
+    """As many rows stay as there are components, one of each; of groups that have an id, its row."""
+    texts = ["the quick brown fox jumps over the lazy dog", "a wholly different line about ships and harbours", "numbers one two three four five six seven",
+             "rain fell on the old town all through the night", "she wrote the letter and sent it to the north", "copper tin and iron were traded for salt"]
+    rows = [(None, texts[0]), (None, texts[1]), (5, texts[2]), (5, texts[3]), (7, texts[4]), (None, texts[4]), (None, texts[5]), (None, texts[5]), (None, None)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    fps = [plain_fingerprint(t) for _, t in rows]
+    roots = reach(len(rows), near(fps, 3))
+    assert len(set(roots)) == 7
+    got = [tuple(r) for r in simhash.drop_near_copies(docs).collect()]
+    assert sorted(got, key=str) == sorted({(7, texts[4]), *(r for r in rows if r[1] != texts[4])}, key=str)
+    assert simhash.drop_near_copies(docs.where("false")).count() == 0
