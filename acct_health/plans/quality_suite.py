@@ -16,6 +16,10 @@ from acct_health.plans.star import build_dim_date, calendar_span
 
 UNCLEANED = ("order_status", "shipping_mode", "delivery_status", "late_delivery_risk", "customer_segment", "order_region", "market")
 DAY_COLUMNS = ("real_shipping_days", "scheduled_days_for_shipment")
+ID_COLUMNS = ("customer_id", "order_customer_id", "order_id", "order_item_id", "product_card_id", "order_item_cardprod_id")
+AMOUNT_COLUMNS = ("sales", "order_item_total", "order_item_quantity", "order_item_product_price", "order_item_discount",
+                  "order_item_discount_rate", "order_profit_per_order", "benefit_per_order", "order_item_profit_ratio",
+                  "sales_per_customer")
 NULL_CHECK_COLUMNS = ("order_item_total", "order_item_product_price", "order_item_discount",
                       "order_profit_per_order", "benefit_per_order", "sales_per_customer")
 
@@ -36,7 +40,10 @@ def queries(raw, star):
         "column_mismatch_count": lambda s, d: P.column_mismatch_count(raw(s, d), "customer_id", "order_customer_id"),
         "column_mismatch_count_clean": lambda s, d: P.column_mismatch_count(stg(s, d), "customer_id", "order_customer_id"),
         "duplicate_row_count": lambda s, d: P.duplicate_row_count(raw(s, d)),
+        # the type checks A.1.5, B.1.5a and C.1.1, a column list each
+        "schema_profile_ids": lambda s, d: P.schema_profile(raw(s, d), ID_COLUMNS),
         "schema_profile": lambda s, d: P.schema_profile(raw(s, d), DAY_COLUMNS),
+        "schema_profile_amounts": lambda s, d: P.schema_profile(stg(s, d), AMOUNT_COLUMNS),
         "date_quality_summary": lambda s, d: P.date_quality_summary(stg(s, d)),
         # the uncleaned text, after deduplication
         **{f"value_counts_{c}_raw": lambda s, d, c=c: P.value_counts(stg(s, d), c) for c in UNCLEANED},

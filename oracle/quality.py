@@ -38,6 +38,12 @@ def quality_queries(ceiling: dt.date) -> dict[str, str]:
         "schema_profile": R(" UNION ALL ".join(
             f"SELECT '{c}' AS column_name, 'string' AS data_type, count({c}) AS present_rows FROM raw"
             for c in ("real_shipping_days", "scheduled_days_for_shipment"))),
+        "schema_profile_ids": R(" UNION ALL ".join(
+            f"SELECT '{c}' AS column_name, 'string' AS data_type, count({c}) AS present_rows FROM raw"
+            for c in ("customer_id", "order_customer_id", "order_id", "order_item_id", "product_card_id", "order_item_cardprod_id"))),
+        "schema_profile_amounts": S(" UNION ALL ".join(
+            f"SELECT '{c}' AS column_name, 'string' AS data_type, count({c}) AS present_rows FROM stg"
+            for c in (*MONEY, "order_item_quantity", "order_item_discount_rate", "order_item_profit_ratio"))),
         "duplicate_row_count": R(f"SELECT CAST(coalesce(sum(n - 1), 0) AS BIGINT) AS duplicate_row_count FROM "
                                  f"(SELECT count(*) AS n FROM raw GROUP BY {allc})"),
         "date_quality_summary": S(f"""SELECT count(*) AS total_rows,

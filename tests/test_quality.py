@@ -39,3 +39,14 @@ def test_orphans_count_rows_and_null_keys(spark):
     assert I.orphan_count(fact, dim, "k", skip_null_keys=True).first()[0] == 1
     r = I.row_count_match(fact, dim, "f", "d").first()
     assert (r["f"], r["d"]) == (5, 2)
+
+
+def test_type_checks_cover_the_reference_lists():
+    """Six id, two day-count and ten money and quantity columns, each in a registered profile with SQL."""
+    import __spark_entry__ as E
+    from acct_health.plans import quality_suite as Q
+    lists = {"schema_profile_ids": (Q.ID_COLUMNS, 6), "schema_profile": (Q.DAY_COLUMNS, 2), "schema_profile_amounts": (Q.AMOUNT_COLUMNS, 10)}
+    assert set(lists) <= set(E.queries())
+    for name, (columns, n) in lists.items():
+        assert len(set(columns)) == n
+        assert all(f"'{c}' AS column_name" in E.oracle_sql()[name] for c in columns)
