@@ -206,6 +206,7 @@ def op7_language(spark, sf_dir: str) -> DataFrame:
 
 
 def drop_undetermined(docs: DataFrame) -> DataFrame:
-    """``docs`` without the rows whose language can't be told (null text, no letter)."""
+    """``docs`` without the rows that op7 calls ``und``: those of null text or without a letter, all if nothing
+    was learned. The letter rule alone rejects; text in a language that wasn't learned stays, whatever its score."""
     found = identified(docs, learn(docs), pred="__lang_pred", score="__score")
     return found.where(F.col("__lang_pred") != UNDETERMINED).select(*docs.columns)
