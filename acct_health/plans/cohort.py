@@ -17,6 +17,13 @@ def drop_censored(df: DataFrame, ceiling: dt.date = REFERENCE_CEILING) -> DataFr
     return df.filter(F.add_months("cohort_month", F.col("month_index")) <= limit)
 
 
+def cohort_index(months: DataFrame, entity: str = "customer_id", active: str = "months") -> DataFrame:
+    """(entity, cohort_month, month_index) for each month of an entity's array of distinct active months: the
+    cohort is the first one, the index the months since then."""
+    cells = months.select(entity, F.array_min(active).alias("cohort_month"), F.explode(active).alias("__month"))
+    return cells.select(entity, "cohort_month", month_diff("__month", "cohort_month").alias("month_index"))
+
+
 def mart_cohort(fact: DataFrame, ceiling: dt.date = REFERENCE_CEILING, entity: str = "customer_id",
                 date: str = "order_date_clean") -> DataFrame:
     """cohort_month, month_index, active_customers, cohort_size, retention_pct.
@@ -30,9 +37,7 @@ def mart_cohort(fact: DataFrame, ceiling: dt.date = REFERENCE_CEILING, entity: s
     """
     months = (fact.filter(F.col(date).isNotNull())
               .groupBy(entity).agg(F.collect_set(F.trunc(date, "MM")).alias("__months")))
-    cells = months.select(entity, F.array_min("__months").alias("cohort_month"),
-                          F.explode("__months").alias("__month"))
-    activity = (cells.withColumn("month_index", month_diff("__month", "cohort_month"))
+    activity = (cohort_index(months, entity, "__months")
                 .groupBy("cohort_month", "month_index")
                 .agg(F.count(entity).alias("active_customers")))  # a null entity is nobody
     size = F.max(F.when(F.col("month_index") == 0, F.col("active_customers"))).over(

@@ -134,3 +134,13 @@ def test_drop_censored(spark):
     df = spark.createDataFrame([(d(2024, 1, 1), 29), (d(2024, 1, 1), 30)], "cohort_month date, month_index int")
     got = [r["month_index"] for r in drop_censored(df, d(2026, 7, 30)).collect()]
     assert got == [29]
+
+
+def test_cohort_index(spark):
+    """The fixture of M6: 31 January to 1 February is one month."""
+    import datetime as dt
+
+    from acct_health.plans.cohort import cohort_index
+    jan, feb, mar = (dt.date(2024, m, 1) for m in (1, 2, 3))
+    df = spark.createDataFrame([(1, [feb, jan]), (2, [mar]), (3, [])], "customer_id long, months array<date>")
+    assert sorted(map(tuple, cohort_index(df).collect())) == [(1, jan, 0), (1, jan, 1), (2, mar, 0)]
