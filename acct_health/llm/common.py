@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 import os
 import tempfile
 import uuid
@@ -9,6 +10,7 @@ import zipfile
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from acct_health.session import ensure_checkpoint_dir
 
@@ -18,14 +20,21 @@ def scratch(spark: SparkSession, tag: str) -> str:
     return f"{ensure_checkpoint_dir(spark).rstrip('/')}/llm/{tag}-{uuid.uuid4().hex}"
 
 
-def written(df: DataFrame, tag: str) -> DataFrame:
+def written(df: DataFrame, tag: str, compression: str = "snappy") -> DataFrame:
     """Write ``df`` as Parquet in the shared folder and read it back: the lineage ends there,
     so the loss of an executor costs a re-read, not the work before."""
     path = scratch(df.sparkSession, tag)
-    df.write.parquet(path)
+    df.write.option("compression", compression).parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def release(spark: SparkSession) -> None:
+    """Let Spark remove the shuffle files of DataFrames that are no longer in use, which it does when the driver
+    collects its garbage."""
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()
+
+
 _SHIPPED: set[str] = set()
 
 
@@ -46,7 +55,7 @@ def ship(spark: SparkSession) -> None:
     _SHIPPED.add(sc.applicationId)
 
 
-def map_arrow(df: DataFrame, work, schema: str) -> DataFrame:
+def map_arrow(df: DataFrame, work, schema: str | StructType) -> DataFrame:
     """``df.mapInArrow`` with this package at hand on the executors."""
     ship(df.sparkSession)
     return df.mapInArrow(work, schema)

@@ -10,6 +10,7 @@ from acct_health.llm.language import op7_language
 from acct_health.llm.pii import op8_pii
 from acct_health.llm.sharding import op9_sharding
 from acct_health.llm.simhash import op6_simhash
+from acct_health.llm.suffix_dedup import op11_suffix_dedup
 from acct_health.llm.token_binary import op3_token_binary
 from acct_health.llm.token_counts import op5_token_counts
 
@@ -24,6 +25,7 @@ QUERIES = {
     "op8_pii": op8_pii,
     "op9_sharding": op9_sharding,
     "op10_decontamination": op10_decontamination,
+    "op11_suffix_dedup": op11_suffix_dedup,
 }
 
 ORACLE_SQL: dict[str, str] = {"op1_embeddings": OP1_SQL, "op2_chat": OP2_SQL}
