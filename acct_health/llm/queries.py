@@ -7,6 +7,7 @@ from acct_health.llm.chat import OP2_SQL, op2_chat
 from acct_health.llm.decontamination import op10_decontamination
 from acct_health.llm.embeddings import OP1_SQL, op1_embeddings
 from acct_health.llm.language import op7_language
+from acct_health.llm.lexical_search import op13_lexical_search
 from acct_health.llm.pii import op8_pii
 from acct_health.llm.sharding import op9_sharding
 from acct_health.llm.simhash import op6_simhash
@@ -26,6 +27,7 @@ QUERIES = {
     "op9_sharding": op9_sharding,
     "op10_decontamination": op10_decontamination,
     "op11_suffix_dedup": op11_suffix_dedup,
+    "op13_lexical_search": op13_lexical_search,
 }
 
 ORACLE_SQL: dict[str, str] = {"op1_embeddings": OP1_SQL, "op2_chat": OP2_SQL}

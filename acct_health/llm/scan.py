@@ -27,13 +27,10 @@ def byte_values(seed: int) -> np.ndarray:
 def flat(column: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """The bytes of a text or binary column, and where each row starts and ends in them; null: empty."""
     column = column.cast(pa.large_binary())
+    column = column.fill_null(b"") if column.null_count else column
     ends = np.frombuffer(column.buffers()[1], np.int64, len(column) + 1, 8 * column.offset)
     data = np.frombuffer(column.buffers()[2], np.uint8) if column.buffers()[2] else np.zeros(0, np.uint8)
-    starts, ends = ends[:-1], ends[1:].copy()
-    if column.null_count:
-        gone = column.is_null().to_numpy(zero_copy_only=False)
-        ends[gone] = starts[gone]
-    return data, starts, ends
+    return data, ends[:-1], ends[1:]
 
 
 def row_ranges(starts: np.ndarray, ends: np.ndarray, limit: int) -> Iterator[tuple[int, int]]:
