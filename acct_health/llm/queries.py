@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from acct_health.llm.bpe import op4_bpe
 from acct_health.llm.chat import OP2_SQL, op2_chat
+from acct_health.llm.collocations import op12_collocations
 from acct_health.llm.decontamination import op10_decontamination
 from acct_health.llm.embeddings import OP1_SQL, op1_embeddings
 from acct_health.llm.language import op7_language
@@ -27,6 +28,7 @@ QUERIES = {
     "op9_sharding": op9_sharding,
     "op10_decontamination": op10_decontamination,
     "op11_suffix_dedup": op11_suffix_dedup,
+    "op12_collocations": op12_collocations,
     "op13_lexical_search": op13_lexical_search,
 }
 
