@@ -4,12 +4,13 @@ from __future__ import annotations
 
 import datetime as dt
 
+from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from acct_health.functions.dates import REFERENCE_CEILING
 from acct_health.operators.average import exact_avg
-from acct_health.operators.ntile import ntile_global
+from acct_health.operators.ntile import ntile_many
 
 # Churn threshold (days) and tier thresholds on the 3..15 score.
 CHURN_DAYS = 90
@@ -34,12 +35,25 @@ def rfm_base(fact: DataFrame, snapshot: dt.date = REFERENCE_CEILING) -> DataFram
     )
 
 
+# each ranking ends with the customer, so it is unique
+RANKINGS = {
+    "r_score": (("recency_days", True), ("customer_id", False)),
+    "f_score": (("frequency", False), ("customer_id", False)),
+    "m_score": (("monetary", False), ("customer_id", False)),
+}
+
+
 def rfm_scores(base: DataFrame, k: int = 5) -> DataFrame:
     """r_score (recency DESC), f_score, m_score (ASC) as global NTILE(k), customer_id tie-break.
-    The base is computed once; each ranking reads the table that the one before wrote."""
-    s = ntile_global(base, k, [("recency_days", True)], ["customer_id"], "r_score")
-    s = ntile_global(s, k, [("frequency", False)], ["customer_id"], "f_score")
-    return ntile_global(s, k, [("monetary", False)], ["customer_id"], "m_score")
+
+    Runs jobs: the keys at which scores begin are selected for the three rankings together, from ``base`` kept in
+    Spark's cache meanwhile (computed once; a lost executor's part is computed again). The scores are then comparisons with literals."""
+    held = base.persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        scored = ntile_many(held, k, RANKINGS)
+    finally:
+        held.unpersist()
+    return scored
 
 
 def churn_flag(recency: Column | str = "recency_days", days: int = CHURN_DAYS) -> Column:

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from acct_health.operators.dedupe import drop_exact_duplicates, keep_earliest_per_key
 from acct_health.operators.dominant import dominant_value
 from acct_health.operators.latest import latest_non_null
-from acct_health.operators.ntile import ntile_global
+from acct_health.operators.ntile import ntile_by_rank, ntile_global
 from acct_health.plans.cohort import drop_censored
 
 d = dt.date
@@ -57,7 +57,7 @@ def test_ntile_small_inputs(spark):
     assert ntile_global(s3.where("cid < 0"), 5, [("v", False)], ["cid"], "t").count() == 0
 
 
-def test_ntile_matches_builtin_over_many_partitions(spark):
+def test_ntile_by_rank_matches_builtin_over_many_partitions(spark):
     """Heavily tied values and nulls; without coalescing, so that the sorted table has several partitions."""
     df = spark.range(20000).select(
         F.col("id").alias("cid"), F.when(F.col("id") % 11 == 0, None).otherwise(F.col("id") % 3).alias("v"))
@@ -65,7 +65,7 @@ def test_ntile_matches_builtin_over_many_partitions(spark):
     spark.conf.set(name, "false")
     try:
         for desc in (False, True):
-            ours = ntile_global(df, 5, [("v", desc)], ["cid"], "t")
+            ours = ntile_by_rank(df, 5, [("v", desc), ("cid", False)], "t")
             o = F.col("v").desc() if desc else F.col("v").asc()
             ref = df.withColumn("t2", F.ntile(5).over(Window.orderBy(o, F.col("cid"))))
             assert ours.join(ref, "cid").filter("t <> t2").count() == 0
@@ -77,10 +77,10 @@ def test_ntile_matches_builtin_over_many_partitions(spark):
         spark.conf.unset(name)
 
 
-def test_ntile_reads_its_input_once(spark):
+def test_ntile_by_rank_reads_its_input_once(spark):
     """The plan that ranks reads the written table only, and no exchange is by a literal or for all rows."""
     df = spark.range(5000).select(F.col("id").alias("cid"), (F.col("id") % 3).alias("v"))
-    ranked = ntile_global(ntile_global(df, 5, [("v", False)], ["cid"], "t"), 5, [("v", True)], ["cid"], "u")
+    ranked = ntile_by_rank(ntile_by_rank(df, 5, [("v", False), ("cid", False)], "t"), 5, [("v", True), ("cid", False)], "u")
     plan = ranked._jdf.queryExecution().executedPlan().toString()
     assert "Range (" not in plan
     for line in plan.splitlines():
