@@ -5,6 +5,7 @@ from __future__ import annotations
 import datetime as dt
 
 from oracle.pipeline import exact_avg, fact_ctes, mart_ctes, reading_ctes, safe_int, sround, staging_ctes
+from oracle.raw import RAW_COLUMNS
 
 
 def oracle_queries(ceiling: dt.date, first_cohort: dt.date, call_list: int) -> dict[str, str]:
@@ -24,6 +25,10 @@ def oracle_queries(ceiling: dt.date, first_cohort: dt.date, call_list: int) -> d
     q = {
         "clean_orders": f"WITH {staging_ctes()}\nSELECT * FROM stg",
         "drop_exact_duplicates": f"WITH {staging_ctes()}\nSELECT DISTINCT * FROM raw",
+        "raw_export": f"WITH {staging_ctes()}\nSELECT {', '.join(f"nullif({c}, '') AS {c}" for c in RAW_COLUMNS)}, product_name || chr(10) || '\"' || department_name || '\"' AS product_description FROM raw",
+        "staging_view": f"""WITH {staging_ctes()}
+          SELECT order_status_clean, market_clean, count(*) AS order_items, count(DISTINCT order_id) AS orders
+          FROM stg GROUP BY order_status_clean, market_clean""",
         "date_resolution": (f"WITH {reading_ctes()}\nSELECT {safe_int('n.order_item_id')} AS order_item_id, n.order_date, n.shipping_date, "
                             "o.m AS order_date_monthfirst, o.d AS order_date_dayfirst, s.m AS shipping_date_monthfirst, "
                             "s.d AS shipping_date_dayfirst, o.sure AS order_date_forced, s.sure AS shipping_date_forced, "
