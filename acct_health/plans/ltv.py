@@ -4,12 +4,12 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from acct_health.functions.dates import month_diff
-from acct_health.operators.average import exact_avg
-from acct_health.operators.dominant import dominant_value
+from acct_health.operators.average import exact_avg, exact_sum
+from acct_health.operators.dominant import dominant_value, entity_profile
 
 
 def dominant_region(fact: DataFrame) -> DataFrame:
@@ -25,12 +25,15 @@ def ltv_base(fact: DataFrame) -> DataFrame:
     first/last order date, lifespan in months (boundaries crossed + 1, at least 1)."""
     f = fact.filter(F.col("order_date_clean").isNotNull() & ~F.col("is_quantity_invalid"))
     return (f.groupBy("customer_id")
-            .agg(F.round(F.sum("sales"), 2).alias("historical_ltv"),
+            .agg(exact_sum("sales").alias("historical_ltv"),
                  F.count_distinct("order_id").alias("total_orders"),
                  F.min("order_date_clean").alias("first_order_date"),
                  F.max("order_date_clean").alias("last_order_date"))
-            .withColumn("lifespan_months",
-                        F.greatest(month_diff("last_order_date", "first_order_date") + 1, F.lit(1))))
+            .withColumn("lifespan_months", lifespan_months()))
+
+
+def lifespan_months(first: str = "first_order_date", last: str = "last_order_date") -> Column:
+    return F.greatest(month_diff(last, first) + 1, F.lit(1))
 
 
 def ltv_formula(base: DataFrame) -> DataFrame:
@@ -44,14 +47,14 @@ def ltv_formula(base: DataFrame) -> DataFrame:
 
 
 def mart_ltv(fact: DataFrame, dim_customer: DataFrame) -> DataFrame:
-    """Per-customer LTV with segment (dim), dominant region and market (left joins on customer_id).
-
-    All four inputs are keyed by customer_id; Catalyst shuffles each side on it once
-    (or broadcasts a side whose measured size is under the threshold)."""
-    l = ltv_formula(ltv_base(fact))
-    c = dim_customer.select("customer_id", "customer_segment")
-    out = (l.join(c, "customer_id", "left").join(dominant_region(fact), "customer_id", "left")
-           .join(dominant_market(fact), "customer_id", "left"))
+    """Per-customer LTV with segment (dim, left join on customer_id), dominant region and market.
+
+    One scan of the fact gives the base, the dominant region and the dominant market (``entity_profile``)."""
+    base = entity_profile(
+        fact, "customer_id", "order_id", "order_date_clean", {"dominant_region": "order_region", "dominant_market": "market"},
+        member=~F.col("is_quantity_invalid"), measures={"historical_ltv": F.col("sales")},
+        counted="total_orders", first="first_order_date", last="last_order_date").withColumn("lifespan_months", lifespan_months())
+    out = ltv_formula(base).join(dim_customer.select("customer_id", "customer_segment"), "customer_id", "left")
     return out.select("customer_id", "customer_segment", "dominant_region", "dominant_market",
                       "historical_ltv", "formula_based_ltv", "avg_order_value", "total_orders",
                       "lifespan_months", "first_order_date", "last_order_date")

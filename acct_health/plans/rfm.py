@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from acct_health.functions.dates import REFERENCE_CEILING
-from acct_health.operators.average import exact_avg
+from acct_health.operators.average import exact_avg, exact_sum
 from acct_health.operators.ntile import ntile_many
 
 # Churn threshold (days) and tier thresholds on the 3..15 score.
@@ -21,7 +21,7 @@ AT_RISK_TIERS: tuple[str, ...] = ("At Risk", "Lapsed")
 
 def rfm_base(fact: DataFrame, snapshot: dt.date = REFERENCE_CEILING) -> DataFrame:
     """Per customer over dated lines with a valid quantity: recency days, distinct orders,
-    revenue (rounded to cents, so the value is exact and order-independent), mean delay.
+    revenue (added as decimals, so the value is exact and order-independent), mean delay.
 
     The one distinct count plans as aggregate by (customer, order) then by customer, both
     with map-side partial aggregation, so a hot customer is reduced before shuffling.
@@ -30,7 +30,7 @@ def rfm_base(fact: DataFrame, snapshot: dt.date = REFERENCE_CEILING) -> DataFram
     return f.groupBy("customer_id").agg(
         F.datediff(F.lit(snapshot), F.max("order_date_clean")).alias("recency_days"),
         F.count_distinct("order_id").alias("frequency"),
-        F.round(F.sum("sales"), 2).alias("monetary"),
+        exact_sum("sales").alias("monetary"),
         F.avg(F.col("real_shipping_days") - F.col("scheduled_days_for_shipment")).alias("avg_delivery_delay"),
     )
 

@@ -130,3 +130,9 @@ def test_without_dated_rows_the_calendar_is_empty(spark):
 
     fact = spark.createDataFrame([(None,)], "order_date_clean date")
     assert build_dim_date(spark, *calendar_span(fact)).count() == 0
+
+
+def test_ltv_scans_the_fact_once(spark, qs):
+    plan = qs["mart_ltv"](spark, SF_SMALL)._jdf.queryExecution().executedPlan().toString()
+    assert len(re.findall(r"FileScan parquet", plan)) == 2  # the fact and the customers
+    assert "Window" not in plan
