@@ -145,6 +145,7 @@ class Template:
     def __init__(self, raws: list[str], begins: bool = True):
         at, kinds, plain, unit, ends = _LEXICON.look(raws)
         solid = np.flatnonzero(kinds != EMPTY)
+        self.solid, self.ends = solid, ends
         # a word begins a sentence if one of the raw words since the last solid one ends one
         closed = np.concatenate([[0], np.cumsum(ends)])
         before = np.concatenate([[-1], solid[:-1]]) if len(solid) else solid
@@ -196,23 +197,21 @@ class Template:
 
 
 def runs(text: str, overlap: int) -> Iterator[tuple[int, Template]]:
-    """Templates of runs of a text's words that overlap by ``overlap`` - 1 tokens at least, with the number of the first token."""
-    raws, done, begins = text.split(), 0, True
-    first = 0
-    while True:
-        t = Template(raws[first:first + RUN], begins)
+    """Templates of runs of a text's words that overlap by ``overlap`` - 1 tokens at least, with the number of the first token.
+
+    A run begins with the last tokens of what was before it, however many words without a token lie between them: so its first windows,
+    and what tells their kinds, are whole."""
+    raws, carried, done = text.split(), [], 0
+    for first in range(0, max(len(raws), 1), RUN):
+        now = carried + raws[first:first + RUN]
+        t = Template(now, begins=not done)
         yield done, t
-        if first + RUN >= len(raws):
-            return
-        # go back so far that the next run's first windows, and what tells their kinds, are whole
-        back = RUN - 1
-        solid = 0
-        while back > RUN // 2 and solid < overlap + 2:
-            solid += bool(EDGE.sub("", raws[first + back]))
-            back -= 1
-        done += len(t) - solid
-        first += back + 1
-        begins = False
+        last, carried = t.solid[-(overlap + 2):].tolist(), []
+        for s, following in zip(last, [*last[1:], len(now)]):
+            carried.append(now[s])
+            if t.ends[s + 1:following].any():  # a sentence ends in the words between
+                carried.append(".")
+        done += len(t) - len(last)
 
 
 def benchmark_windows(benchmark: DataFrame, window: int = WINDOW, key: str = "item_id", text: str = "text") -> DataFrame:

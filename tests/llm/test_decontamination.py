@@ -40,6 +40,20 @@ def test_long_text_in_runs(spark, items, monkeypatch):
         assert set(plain) <= cut
 
 
+@pytest.mark.parametrize("run", [16, 64, None])
+def test_words_without_tokens_within_a_passage(monkeypatch, run):
+    """However long the stretch of punctuation, all windows of the item are found."""
+    want = {(i, h) for _, t in d.runs(ITEM, 8) for hashes in t.keys(8) for i, h in enumerate(hashes.tolist()) if h}
+    if run:
+        monkeypatch.setattr(d, "RUN", run)
+    for stretch in (3, 15, 40, 150) if run else (30_000, 70_000, 140_000):
+        for at in (1, 5, 9):
+            words = ITEM.split()
+            text = " ".join([*words[:at], *["***"] * stretch, *words[at:]])
+            got = {(done + i, h) for done, t in d.runs(text, 8) for hashes in t.keys(8) for i, h in enumerate(hashes.tolist())}
+            assert want <= got
+
+
 def test_against_plain_search(spark):
     """Each document that holds eight running words of an item is found, and no other."""
     sf = "/root/testdata/sf0.001"
