@@ -176,14 +176,20 @@ def traverse(x: np.ndarray, s: CoverTree, y: np.ndarray, t: CoverTree, cosine: f
         stack += [(int(ka[i]), int(kb[j])) for i, j in zip(*np.nonzero(open_ & ~sure))]
 
 
+def unit(a: np.ndarray) -> np.ndarray:
+    """Rows of length 1. Scaled by a power of two first, which is exact, so that no square overflows or vanishes."""
+    a = np.ldexp(a, -np.frexp(np.abs(a).max(axis=1))[1][:, None])
+    return a / np.linalg.norm(a, axis=1)[:, None]
+
+
 def pair_links(ids_a, weights_a, a, ids_b, weights_b, b, cosine: float, same: bool) -> list[tuple[int, int | None, int]]:
     """(id, null, links) and (id, id, 0) rows: the numbers of links that two blocks give, and a forest of them."""
-    x = a / np.linalg.norm(a, axis=1)[:, None]
+    x = unit(a)
     s = CoverTree(x)
     if same:
         y, t, ids, links = x, s, ids_a, Links(weights_a)
     else:
-        y = b / np.linalg.norm(b, axis=1)[:, None]
+        y = unit(b)
         t, ids, links = CoverTree(y), np.concatenate([ids_a, ids_b]), Links(np.concatenate([weights_a, weights_b]))
     traverse(x, s, y, t, cosine, links, same)
     links.flush()
@@ -280,7 +286,9 @@ def op1_embeddings(spark, sf_dir: str) -> DataFrame:
 
 OP1_SQL = """
 WITH RECURSIVE v AS (
-    SELECT vec_id, label, embedding::DOUBLE[] AS e FROM embeddings
+    SELECT vec_id, label, embedding::DOUBLE[] AS given,
+        pow(2, floor(log2(list_max([abs(x::DOUBLE) FOR x IN embedding])))) AS scale, -- exact, so that no square overflows
+        [x / scale FOR x IN given] AS e FROM embeddings
     WHERE label IS NOT NULL AND len(embedding) > 0
       AND len([x FOR x IN embedding IF x IS NULL OR NOT isfinite(x)]) = 0 AND len([x FOR x IN embedding IF x <> 0]) > 0
 ), l AS (

@@ -20,7 +20,7 @@ def brute(rows, cosine=0.98):
         for j in range(i + 1, len(good)):
             b = good[j]
             if a[2] == b[2] and len(a[1]) == len(b[1]):
-                x, y = np.array(a[1], np.float64), np.array(b[1], np.float64)
+                x, y = (np.array(v[1], np.float64) / np.abs(v[1]).max() for v in (a, b))
                 if x @ y / (np.linalg.norm(x) * np.linalg.norm(y)) >= cosine:
                     count[i] += 1
                     count[j] += 1
@@ -71,3 +71,14 @@ def test_tree_covers():
         if kids.tolist() != [i]:
             assert sorted(m for k in kids for m in tree.order[tree.begin[k]:tree.end[k]]) == sorted(members)
             assert tree.centre[kids[0]] == tree.centre[i]
+
+
+def test_large_and_tiny_components(spark):
+    """Norms of finite vectors that would overflow or vanish."""
+    rng = np.random.default_rng(7)
+    base = rng.normal(size=(12, 6))
+    rows = [(4 * i + j, [float(v) for v in b * scale + b * scale * 1e-3 * rng.normal(size=6)], 0)
+            for i, b in enumerate(base) for j, scale in enumerate((1.0, 1e200, 1e-200, 1e-310))]
+    rows += [(100, [1.7e308, -1.7e308], 0), (101, [1.7e308, -1.6e308], 0), (102, [5e-324, 0.0], 0), (103, [5e-324, 5e-324], 0)]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>, label int")
+    assert sorted(map(tuple, e.near_duplicates(df, block=8).collect())) == sorted(brute(rows))
