@@ -19,6 +19,7 @@ from __future__ import annotations
 
 import base64
 import hashlib
+from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -28,31 +29,28 @@ from pyspark.sql import functions as F
 from acct_health.llm.common import map_arrow, read_table
 from acct_health.llm.units import Memory, grouped
 
-PIECE_BYTES = 1 << 19  # bytes of pieces in one query
+PIECE_BYTES = 1 << 20  # bytes of pieces in one query
 DECODE_TOKENS = 1 << 20  # tokens in one query
 GROUP = 1 << 22  # characters whose new units are contracted together
-REMEMBERED = 500_000  # units that a worker keeps
+REMEMBERED = 1_500_000  # units that a worker keeps, some 200 bytes each
 ROWS = 2048  # documents encoded or decoded together
 
-# k orders by rank, then position: rank * 2**32 + position.
+# The state keeps the last tokens of each piece. best: a piece's smallest rank, then position, as rank * 2**32 + position.
 CONTRACT = """
-WITH RECURSIVE state(step, piece, tokens) AS (
-    SELECT 0, piece, tokens FROM pieces
-    UNION ALL
-    SELECT step + 1, piece, list_concat(list_append(tokens[:(pos - 1)], merged), tokens[(pos + 2):])
-    FROM (
-        SELECT any_value(p.step) AS step, p.piece, any_value(p.tokens) AS tokens,
-               (min(m.merged::BIGINT * 4294967296 + p.pos) // 4294967296)::INTEGER AS merged,
-               min(m.merged::BIGINT * 4294967296 + p.pos) % 4294967296 AS pos
+WITH RECURSIVE state(piece, tokens) USING KEY (piece) AS (
+    SELECT piece, tokens FROM pieces
+    UNION
+    SELECT s.piece, list_concat(list_append(s.tokens[:(b.best % 4294967296 - 1)], (b.best // 4294967296)::INTEGER), s.tokens[(b.best % 4294967296 + 2):])
+    FROM state s JOIN (
+        SELECT p.piece, min(m.merged::BIGINT * 4294967296 + p.pos) AS best
         FROM (
-            SELECT step, piece, tokens, unnest(tokens[:-2]) AS l, unnest(tokens[2:]) AS r,
-                   generate_subscripts(tokens[2:], 1) AS pos
+            SELECT piece, unnest(tokens[:-2])::BIGINT * 4294967296 + unnest(tokens[2:]) AS pair, generate_subscripts(tokens[2:], 1) AS pos
             FROM state WHERE len(tokens) > 1
-        ) p JOIN merges m ON p.l = m.l AND p.r = m.r
+        ) p JOIN merges m USING (pair)
         GROUP BY p.piece
-    )
+    ) b USING (piece)
 )
-SELECT arg_max(tokens, step) AS tokens FROM state GROUP BY piece ORDER BY piece
+SELECT tokens FROM state ORDER BY piece
 """
 
 JOIN_BYTES = """
@@ -72,15 +70,17 @@ class Coder:
             self.ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, f)}
         self.find = regex.compile(pattern).findall
         self.bytes = np.array([self.ranks[bytes([i])] for i in range(256)], np.int32)
-        self.db = duckdb.connect(":memory:", config={"threads": 1, "memory_limit": "400MB"})
+        # nothing goes to a folder of the worker's machine: what is asked at once is bounded
+        self.db = duckdb.connect(":memory:", config={"threads": 1, "memory_limit": "500MB", "temp_directory": ""})
         ranks = self.ranks
         splits = np.array([(ranks[k[:i]], ranks[k[i:]], m) for k, m in ranks.items() for i in range(1, len(k))
                            if k[:i] in ranks and k[i:] in ranks], np.int32).reshape(-1, 3)
-        self._table("merges", pa.table({"l": splits[:, 0], "r": splits[:, 1], "merged": splits[:, 2]}))
+        self._table("merges", pa.table({"pair": splits[:, 0].astype(np.int64) << 32 | splits[:, 1], "merged": splits[:, 2]}))
         self._table("vocabulary", pa.table({"id": pa.array(ranks.values(), pa.int32()), "hex": [k.hex() for k in ranks]}))
         self.known = np.zeros(max(ranks.values()) + 1, bool)
         self.known[list(ranks.values())] = True
         self.memory = Memory(self._units, REMEMBERED)
+        self.figures = list(map(str, range(len(self.known))))
 
     def _table(self, name: str, rows: pa.Table) -> None:
         self.db.register("given", rows)
@@ -132,9 +132,13 @@ class Coder:
         parts: list[list[bytes]] = [[] for _ in texts]
         for group in grouped(texts, GROUP):
             for (i, _), values in zip(group, self.memory.values([t for _, t in group])):
-                parts[i] += values
+                parts[i].append(b"".join(values))
         return [np.frombuffer(b"".join(p), "<i4") for p in parts]
 
+    def decimal(self, ids: np.ndarray) -> bytes:
+        """The ids in decimal, joined by commas."""
+        return ",".join(map(self.figures.__getitem__, ids.tolist())).encode()
+
     def decode(self, ids: list[np.ndarray]) -> list[bytes]:
         """The bytes of each list of ids; an id that the vocabulary lacks is an error."""
         out: list[list[bytes]] = [[] for _ in ids]
@@ -196,7 +200,7 @@ def decode_documents(encoded: DataFrame, path: str, pattern: str) -> DataFrame:
                 part = batch.slice(at, ROWS)
                 lists = part.column(1)
                 ids = [np.zeros(0, np.int32) if not x.is_valid else x.values.to_numpy(zero_copy_only=False) for x in lists]
-                told = [hashlib.sha256(",".join(map(str, x.tolist())).encode()).hexdigest() for x in ids]
+                told = [hashlib.sha256(coder(path, pattern).decimal(x)).hexdigest() for x in ids]
                 yield pa.record_batch([part.column(0), pa.array([len(x) for x in ids], pa.int64()), pa.array(told),
                                        pa.array(coder(path, pattern).decode(ids), pa.binary())],
                                       names=["doc_id", "n_tokens", "ids_sha256", "decoded"])
@@ -204,13 +208,44 @@ def decode_documents(encoded: DataFrame, path: str, pattern: str) -> DataFrame:
     return map_arrow(encoded.select("doc_id", "ids"), work, "doc_id long, n_tokens long, ids_sha256 string, decoded binary")
 
 
+def round_trip_documents(docs: DataFrame, path: str, pattern: str, key: str = "doc_id", text: str = "text") -> DataFrame:
+    """(doc_id, n_tokens, ids_sha256, decoded_sha256) of every row of ``docs``: as ``decode_documents`` of ``encode_documents``, but in one pass, so that
+    a worker holds one set of tables and ids go from the encoder to the decoder in its memory. Same results for nulls and the like."""
+    def work(batches):
+        for batch in batches:
+            for at in range(0, batch.num_rows, ROWS):
+                part, coded = batch.slice(at, ROWS), coder(path, pattern)
+                n, ids, data = [], [], []
+                for group in _few(part.column(1).to_pylist()):
+                    some = coded.encode(group)
+                    n += map(len, some)
+                    ids += [hashlib.sha256(coded.decimal(x)).hexdigest() for x in some]
+                    data += [hashlib.sha256(x).hexdigest() for x in coded.decode(some)]
+                yield pa.record_batch([part.column(0), pa.array(n, pa.int64()), pa.array(ids, pa.string()), pa.array(data, pa.string())],
+                                      names=["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"])
+
+    return map_arrow(docs.select(F.col(key).cast("long").alias("doc_id"), F.col(text).cast("string").alias("text")), work,
+                     "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string")
+
+
+def _few(texts: list[str | None]) -> Iterator[list[str]]:
+    """Texts (null: empty) in groups of about GROUP characters."""
+    held, size = [], 0
+    for t in texts:
+        held.append(t or "")
+        size += len(held[-1])
+        if size >= GROUP:
+            yield held
+            held, size = [], 0
+    if held:
+        yield held
+
+
 def round_trip(docs: DataFrame) -> DataFrame:
     """doc_id, n_tokens, ids_sha256, decoded_sha256 of every document, by byte_bpe_multi_50k."""
     import public_tokenizers
 
-    path, pattern = public_tokenizers.path("byte_bpe_multi_50k.tiktoken"), public_tokenizers.PATTERN
-    decoded = decode_documents(encode_documents(docs, path, pattern), path, pattern)
-    return decoded.select("doc_id", "n_tokens", "ids_sha256", F.sha2("decoded", 256).alias("decoded_sha256"))
+    return round_trip_documents(docs, public_tokenizers.path("byte_bpe_multi_50k.tiktoken"), public_tokenizers.PATTERN)
 
 
 def op4_bpe(spark, sf_dir: str) -> DataFrame:

@@ -56,9 +56,15 @@ class Memory:
 
     def _learn(self, known: dict[str, bytes], names: list[str], texts: list[str]) -> None:
         cut = [parts(t) for t in texts]
-        new = list({p for ps in cut for p in ps}.difference(self.parts))
-        self.parts.update(zip(new, self.encode(new)))
-        known.update((n, b"".join([self.parts[p] for p in ps]) if len(ps) > 1 else self.parts[ps[0]]) for n, ps in zip(names, cut))
+        # what is cut shares its parts with others; what is not is kept under its name alone
+        new = {p for ps in cut if len(ps) > 1 for p in ps}.difference(self.parts)
+        whole = [ps[0] for ps in cut if len(ps) == 1 and ps[0] not in self.parts and ps[0] not in new]
+        new = list(new)
+        got = self.encode(new + whole)
+        self.parts.update(zip(new, got))
+        alone = dict(zip(whole, got[len(new):]))
+        known.update((n, b"".join([self.parts[p] for p in ps]) if len(ps) > 1 else alone[ps[0]] if ps[0] in alone else self.parts[ps[0]])
+                     for n, ps in zip(names, cut))
 
     def values(self, texts: Iterable[str]) -> list[list[bytes]]:
         """For each of some segments, what its units gave, in order."""
