@@ -4,9 +4,10 @@ ceiling correction, calendar keys and month arithmetic."""
 from __future__ import annotations
 
 import datetime as dt
+import re
 from collections.abc import Sequence
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from acct_health.functions.text import _col, utrim
@@ -89,10 +90,92 @@ def _parse_one(t: Column, fmt: str) -> Column:
     return ts
 
 
+# English month names, of which the first three letters are the short ones.
+MONTH_NAMES: tuple[str, ...] = ("january", "february", "march", "april", "may", "june", "july", "august", "september", "october",
+                                "november", "december")
+_TOKEN = re.compile(r"([A-Za-z])\1*|[^A-Za-z]")
+# what may stand in a date's text as a number: as the formatter has it, 19 digits at most
+_MOST_DIGITS = 19
+
+
+def compile_format(fmt: str) -> tuple[str, tuple[str, ...]] | None:
+    """(shape, fields) of a Spark pattern: the shape of the texts it reads, and its fields in order; None if it has fields that are not compiled
+    (those of ``_FIELDS``), leaves out a part of the date, or two fields are next to each other."""
+    shape, fields = "", []
+    for token in (m.group(0) for m in _TOKEN.finditer(fmt)):
+        if token[0].isalpha():
+            if token not in _FIELDS or shape.endswith("x"):
+                return None
+            shape += "x"
+            fields.append(token)
+        elif token == "'" or token.isdigit():
+            return None
+        else:
+            shape += token
+    parts = [_FIELDS[f] for f in fields]
+    return (shape, tuple(fields)) if len(set(parts)) == len(parts) and {"y", "M", "d"} <= set(parts) else None
+
+
+# pattern field -> the part of a date it gives
+_FIELDS = {"yyyy": "y", "yy": "y", "M": "M", "MMM": "M", "MMMM": "M", "d": "d", "H": "H", "m": "m", "s": "s"}
+
+
+def with_date_parts(df: DataFrame, col: str, prefix: str, formats: Sequence[str]) -> DataFrame:
+    """Add what ``read_date`` reads of a text column, once for all ``formats``: the trimmed text with each run of ASCII letters and digits as
+    ``x``, those runs as whole numbers (null if they are none), and where formats want it their lengths or the months that they name."""
+    compiled = [compile_format(f)[1] for f in formats]
+    t, runs = utrim(col), F.col(f"{prefix}_runs")
+    df = df.withColumns({f"{prefix}_shape": F.regexp_replace(t, "[0-9A-Za-z]+", "x"), f"{prefix}_runs": F.split(t, "[^0-9A-Za-z]+")})
+    out = {}
+    for i, field in sorted({(i, f) for fields in compiled for i, f in enumerate(fields)}):
+        run = F.get(runs, F.lit(i))
+        if field in ("MMM", "MMMM"):
+            names = [n[:3] for n in MONTH_NAMES] if field == "MMM" else MONTH_NAMES
+            out[f"{prefix}_{field}{i}"] = F.nullif(F.array_position(F.array(*[F.lit(n) for n in names]), F.lower(run)).cast("int"), F.lit(0))
+        else:
+            out[f"{prefix}_n{i}"] = F.when(F.length(run) <= _MOST_DIGITS, run.try_cast("int"))
+            if field in ("yyyy", "yy"):
+                out[f"{prefix}_l{i}"] = F.length(run)
+    return df.withColumns(out).drop(f"{prefix}_runs")
+
+
+def _read(prefix: str, fields: Sequence[str]) -> Column:
+    """The DATE of a text of the format's shape; null if a number is out of its range or there is no such day."""
+    part, there = {}, F.lit(True)
+    for i, field in enumerate(fields):
+        n = F.col(f"{prefix}_{field}{i}" if field in ("MMM", "MMMM") else f"{prefix}_n{i}")
+        if field in ("yyyy", "yy"):
+            there = there & (F.col(f"{prefix}_l{i}") == len(field))
+        part[_FIELDS[field]] = n + F.when(n >= TWO_DIGIT_YEAR_PIVOT % 100, 1900).otherwise(2000) if field == "yy" else n
+    y, m, d = part["y"], part["M"], part["d"]
+    leap = (y % 4 == 0) & ((y % 100 != 0) | (y % 400 == 0))
+    longest = F.when(m.isin(4, 6, 9, 11), 30).when(m == 2, F.when(leap, 29).otherwise(28)).otherwise(31)
+    there = there & m.between(1, 12) & (d >= 1) & (d <= longest)
+    for name, most in (("H", 23), ("m", 59), ("s", 59)):
+        if name in part:
+            there = there & part[name].between(0, most)
+    return F.when(there, F.make_date(y, m, d))
+
+
+def read_date(prefix: str, formats: Sequence[str]) -> Column:
+    """DATE by the first of ``formats`` that reads a text, from the columns that ``with_date_parts`` added. The formats are compiled into one choice by
+    shape: a text is read by the formats of its shape only, and none is tried by a formatter."""
+    by: dict[str, list[Column]] = {}
+    for fmt in formats:
+        shape, fields = compile_format(fmt)
+        by.setdefault(shape, []).append(_read(prefix, fields))
+    out = None
+    for shape, readings in by.items():
+        value = F.coalesce(*readings) if len(readings) > 1 else readings[0]
+        out = (F if out is None else out).when(F.col(f"{prefix}_shape") == shape, value)
+    return out
+
+
 def parse_date(c: Column | str, formats: Sequence[str]) -> Column:
     """First format that parses the trimmed text wins -> DATE; nothing parses -> NULL.
 
-    Invalid calendar dates and trailing text do not parse (``try_to_timestamp``).
+    Invalid calendar dates and trailing text do not parse (``try_to_timestamp``). This is one expression, which tries a formatter for each
+    format whose shape fits; ``with_date_parts`` and ``read_date`` give the same in two projections without any.
     """
     t = utrim(c)
     return F.coalesce(*[_parse_one(t, f) for f in formats]).cast("date")

@@ -33,10 +33,16 @@ def cast_ids(df: DataFrame, ids: Sequence[str] = ID_COLUMNS) -> DataFrame:
 def add_date_candidates(df: DataFrame, order_col: str = "order_date", ship_col: str = "shipping_date",
                         month_first: Sequence[str] = D.MONTH_FIRST_FORMATS,
                         day_first: Sequence[str] = D.DAY_FIRST_FORMATS) -> DataFrame:
-    o_mf, o_df = D.parse_date_candidates(order_col, month_first, day_first)
-    s_mf, s_df = D.parse_date_candidates(ship_col, month_first, day_first)
-    return df.withColumns({"order_date_monthfirst": o_mf, "order_date_dayfirst": o_df,
-                           "shipping_date_monthfirst": s_mf, "shipping_date_dayfirst": s_df})
+    """Both readings of both dates: by compiled formats, or by Spark's formatter if some format is none that is compiled."""
+    formats, names = list(dict.fromkeys((*month_first, *day_first))), ("order_date", "shipping_date")
+    if not all(D.compile_format(f) for f in formats):
+        read = [r for c in (order_col, ship_col) for r in D.parse_date_candidates(c, month_first, day_first)]
+        return df.withColumns(dict(zip([f"{n}_{k}" for n in names for k in ("monthfirst", "dayfirst")], read)))
+    before = df.columns
+    for n, c in zip(names, (order_col, ship_col)):
+        df = D.with_date_parts(df, c, f"__{n}", formats)
+    readings = {f"{n}_{k}": D.read_date(f"__{n}", some) for n in names for k, some in (("monthfirst", month_first), ("dayfirst", day_first))}
+    return df.select(*[F.col(c) for c in before if c not in readings], *[c.alias(n) for n, c in readings.items()])
 
 
 def resolve_dates(df: DataFrame) -> DataFrame:
