@@ -25,7 +25,17 @@ def written(df: DataFrame, tag: str, compression: str = "snappy") -> DataFrame:
     so the loss of an executor costs a re-read, not the work before."""
     path = scratch(df.sparkSession, tag)
     df.write.option("compression", compression).parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    table = df.sparkSession.read.schema(df.schema).parquet(path)
+    table.scratch_path = path
+    return table
+
+
+def discard(*tables: DataFrame) -> None:
+    """Remove tables that ``written`` gave and that nothing reads any more."""
+    for table in tables:
+        sc = table.sparkSession.sparkContext
+        path = sc._jvm.org.apache.hadoop.fs.Path(table.scratch_path)
+        path.getFileSystem(sc._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def release(spark: SparkSession) -> None:

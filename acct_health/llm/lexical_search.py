@@ -24,7 +24,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from acct_health.llm.common import map_arrow, read_table, written
+from acct_health.llm.common import discard, map_arrow, read_table, written
 from acct_health.llm.scan import CHUNK, SpanHash, cut_ranges, flat, groups, row_ranges
 
 BLOCK_DOCS, BLOCK_BYTES = 2048, 4 << 20
@@ -329,6 +329,7 @@ def ranked_documents(docs: DataFrame, items: DataFrame, k: int = TOP, key: str =
     index = written(build_index(docs, size, key, text, block_docs), "search-index", "zstd")
     queries = written(items.select(F.monotonically_increasing_id().alias("row"), F.col(item).alias("item_id"), F.col(item_text).alias("text")), "search-items")
     found = written(search(index, size, queries, k), "search-found")
+    discard(index)
     order = Window.partitionBy("row").orderBy(F.col("score").desc(), F.col("doc_id").asc_nulls_last())
     best = found.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k)
     return best.join(queries.select("row", "item_id"), "row").select("item_id", "rank", "doc_id", "score")

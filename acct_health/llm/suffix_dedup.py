@@ -26,12 +26,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import BinaryType, LongType, StructField, StructType
 
-from acct_health.llm.common import map_arrow, read_table, release, written
+from acct_health.llm.common import discard, map_arrow, read_table, release, written
 from acct_health.llm.scan import CHUNK, byte_values, flat, mixed, row_ranges
 
 LENGTH = 200
 MOST = 50_000  # excerpts of a class that are sorted in one task
-TOGETHER = 20_000  # excerpts that are sorted at once, of whole classes
+TOGETHER = 8000  # excerpts that are sorted at once, of whole classes
 
 
 # anchors
@@ -145,8 +145,8 @@ def repeated(cls: np.ndarray, data: np.ndarray, at: np.ndarray, left: np.ndarray
 
     Excerpt i is data[at - left:at + right], of class cls[i] (whole numbers in order), its place in the table place[i]."""
     n, width = len(at), int(right.max())
-    reach = np.arange(width)
-    tail = data[np.minimum(at[:, None] + reach, len(data) - 1)]
+    reach = np.arange(width, dtype=np.int32)
+    tail = data[np.minimum(at.astype(np.int32)[:, None] + reach, np.int32(len(data) - 1))]
     tail[reach >= right[:, None]] = 0
     order = np.lexsort((right, np.ascontiguousarray(tail).view(f"S{width}").ravel(), cls))
     tail = tail[order]
@@ -268,14 +268,16 @@ def repeat_spans(docs: DataFrame, length: int = LENGTH, keep: str = "none", text
     table = written(docs.select(F.monotonically_increasing_id().alias("row"), F.struct(*[docs[f"`{c}`"] for c in own]).alias("doc")), "texts", "zstd")
     texts = table.select("row", F.col(f"doc.`{text}`").cast("string").cast("binary").alias("text"))
     found = written(anchor_rows(texts, length), "anchors")
-    common = found.groupBy("hash").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("hash")
-    found = written(found.join(common, "hash", "left_semi"), "common-anchors")
+    # what is joined to all occurrences is written first: Spark can then part a hot key's rows over tasks
+    common = written(found.groupBy("hash").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("hash"), "common-hashes")
+    every_anchor, found = found, written(found.join(common, "hash", "left_semi"), "common-anchors")
+    discard(every_anchor, common)
     release(spark)
     same = written(found.groupBy("hash", "digest").agg(
         F.count(F.lit(1)).alias("n"), F.min("id").alias("id"), F.min_by("row", "id").alias("row"), F.min_by("at", "id").alias("at"),
         F.first("left").alias("left"), F.first("right").alias("right")), "excerpt-groups")
     # the different excerpts of an anchor are sorted, one of each
-    sizes = same.groupBy("hash").agg(F.count(F.lit(1)).alias("different")).where("different > 1")
+    sizes = written(same.groupBy("hash").agg(F.count(F.lit(1)).alias("different")).where("different > 1"), "class-sizes")
     wanted = same.join(sizes, "hash").select("row", F.struct("hash", "digest", "id", "at", "left", "right", "different").alias("x"))
     excerpts = written(texts.join(wanted, "row").select(
         "x.*", F.expr("substring(text, cast(x.at - x.left + 1 as int), x.left + x.right)").alias("excerpt")), "excerpts", "zstd")
@@ -285,13 +287,15 @@ def repeat_spans(docs: DataFrame, length: int = LENGTH, keep: str = "none", text
         covers = covers.unionByName(counted_covers(excerpts.where(F.col("different") > most), length, first))
     covers = covers.groupBy("hash", "digest").agg(F.collect_list(F.struct("start", "end")).alias("some"))
     # back to all occurrences; of equal excerpts all windows repeat (the first one's where it is not kept)
-    known = same.select("hash", "digest", "n", F.col("id").alias("first")).join(covers, ["hash", "digest"], "left").where("n > 1 or some is not null")
+    known = written(same.select("hash", "digest", "n", F.col("id").alias("first")).join(covers, ["hash", "digest"], "left")
+                    .where("n > 1 or some is not null"), "covers")
     every = F.col("id") > F.col("first") if first else F.col("n") > 1
     whole = F.array(F.struct((-F.col("left")).cast("long").alias("start"), F.col("right").cast("long").alias("end")))
     spans = found.join(known, ["hash", "digest"]).select("row", "at", F.explode(F.when(every, whole).otherwise(F.col("some"))).alias("s"))
     spans = spans.select("row", F.struct((F.col("at") + F.col("s.start")).alias("start"), (F.col("at") + F.col("s.end")).alias("end")).alias("s"))
     spans = written(map_arrow(spans.groupBy("row").agg(F.sort_array(F.collect_list("s")).alias("spans")), _merged,
                               "row long, spans array<struct<start:long,end:long>>"), "spans")
+    discard(found, same, sizes, excerpts, known)
     release(spark)
     return table.join(spans, "row", "left").select("doc.*", F.coalesce("spans", F.array()).alias("repeat_spans"))
 
