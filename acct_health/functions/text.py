@@ -107,34 +107,54 @@ def strip_junk(c: Column | str, snippets: Sequence[str] = JUNK_SNIPPETS) -> Colu
     return utrim(F.regexp_replace(_col(c), pattern, " "))
 
 
-def canonicalize_by_pattern(c: Column | str, rules: Sequence[tuple[str, str]]) -> Column:
-    """First rule whose regex matches the upper-cased value gives the canonical value, else NULL."""
-    u = F.upper(_col(c))
+def upper_trim(c: Column | str) -> Column:
+    """Trimmed and upper-cased: what the value sets below are looked up by."""
+    return F.upper(utrim(c))
+
+
+# The ``by_*`` and ``known_*`` functions take a text that is upper-cased already. Given as a column of an earlier projection it is computed once,
+# however often they read it; the functions behind them take the text as it is.
+
+def by_pattern(upper: Column, rules: Sequence[tuple[str, str]]) -> Column:
+    """First rule whose regex matches gives the canonical value, else NULL."""
     out: Column | None = None
     for regex, value in rules:
-        cond = u.rlike(regex)
-        out = F.when(cond, F.lit(value)) if out is None else out.when(cond, F.lit(value))
+        out = (F if out is None else out).when(upper.rlike(regex), F.lit(value))
     return out.otherwise(F.lit(None).cast("string"))
 
 
+def by_value(upper: Column, mapping: Mapping[str, object]) -> Column:
+    """The value of a literal map, which Spark folds into a constant: one lookup; NULL where there is none."""
+    return F.try_element_at(F.create_map(*[F.lit(x) for pair in mapping.items() for x in pair]), upper)
+
+
+def by_synonyms(upper: Column, synonyms: Mapping[str, Iterable[str]]) -> Column:
+    return by_value(upper, {spelling: value for value, spellings in synonyms.items() for spelling in spellings})
+
+
+def known_category(upper: Column, nulls: Sequence[str] = CATEGORY_NULLS, synonyms: Mapping[str, str] | None = None) -> Column:
+    """Blank and null flavours -> NULL; merge synonyms; keep unknown values."""
+    changed = {**dict.fromkeys(nulls, ""), **(synonyms or {})}
+    return F.nullif(F.coalesce(by_value(upper, changed), upper) if changed else upper, F.lit(""))
+
+
+def known_bool01(upper: Column, truthy: Sequence[str] = TRUTHY, falsy: Sequence[str] = FALSY) -> Column:
+    return by_value(upper, {**dict.fromkeys(falsy, 0), **dict.fromkeys(truthy, 1)})
+
+
+def canonicalize_by_pattern(c: Column | str, rules: Sequence[tuple[str, str]]) -> Column:
+    """First rule whose regex matches the upper-cased value gives the canonical value, else NULL."""
+    return by_pattern(F.upper(_col(c)), rules)
+
+
 def canonicalize_by_value(c: Column | str, mapping: Mapping[str, str]) -> Column:
     """Exact match of the upper-cased value against ``mapping`` keys, else NULL."""
-    u = F.upper(_col(c))
-    out: Column | None = None
-    for key, value in mapping.items():
-        cond = u == F.lit(key)
-        out = F.when(cond, F.lit(value)) if out is None else out.when(cond, F.lit(value))
-    return out.otherwise(F.lit(None).cast("string"))
+    return by_value(F.upper(_col(c)), mapping)
 
 
 def canonicalize_by_synonyms(c: Column | str, synonyms: Mapping[str, Iterable[str]]) -> Column:
     """Map trimmed, upper-cased spellings to their canonical value; unknown -> NULL."""
-    u = F.upper(utrim(c))
-    out: Column | None = None
-    for value, spellings in synonyms.items():
-        cond = u.isin(*list(spellings))
-        out = F.when(cond, F.lit(value)) if out is None else out.when(cond, F.lit(value))
-    return out.otherwise(F.lit(None).cast("string"))
+    return by_synonyms(upper_trim(c), synonyms)
 
 
 def normalize_category(
@@ -143,26 +163,14 @@ def normalize_category(
     synonyms: Mapping[str, str] | None = None,
 ) -> Column:
     """Trim + upper; blank and null flavours -> NULL; merge synonyms; keep unknown values."""
-    t = utrim(c)
-    u = F.upper(t)
-    out = F.when(t.isNull() | (t == ""), F.lit(None).cast("string")).when(
-        u.isin(*nulls), F.lit(None).cast("string")
-    )
-    for key, value in (synonyms or {}).items():
-        out = out.when(u == F.lit(key), F.lit(value))
-    return out.otherwise(u)
+    return known_category(upper_trim(c), nulls, synonyms)
 
 
 def normalize_bool01(
     c: Column | str, truthy: Sequence[str] = TRUTHY, falsy: Sequence[str] = FALSY
 ) -> Column:
     """Boolean spellings -> INT 1 / 0; anything else -> NULL."""
-    u = F.upper(utrim(_col(c).cast("string")))
-    return (
-        F.when(u.isin(*truthy), F.lit(1))
-        .when(u.isin(*falsy), F.lit(0))
-        .otherwise(F.lit(None).cast("int"))
-    )
+    return known_bool01(upper_trim(_col(c).cast("string")), truthy, falsy)
 
 
 def _col(c: Column | str) -> Column:

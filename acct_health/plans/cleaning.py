@@ -78,14 +78,16 @@ def clean_keys_dates(df: DataFrame, key: str = "order_item_id", fuse_dedupe: boo
 
 def clean_delivery(df: DataFrame) -> DataFrame:
     """Stage B: shipping mode, order / delivery status, late-risk flag, day counts."""
-    df = df.withColumns({
-        "shipping_mode_clean": X.canonicalize_by_pattern(X.strip_junk("shipping_mode"), X.SHIPPING_MODE_PATTERNS),
-        "order_status_clean": X.normalize_category("order_status", X.CATEGORY_NULLS, X.ORDER_STATUS_SYNONYMS),
-        "delivery_status_clean": X.canonicalize_by_value(X.utrim("delivery_status"), X.DELIVERY_STATUS_VALUES),
-        "late_delivery_risk_clean": X.normalize_bool01("late_delivery_risk"),
+    upper = {"__mode": F.upper(X.strip_junk("shipping_mode")), **{f"__{n}": X.upper_trim(c) for n, c in (
+        ("status", "order_status"), ("delivery", "delivery_status"), ("risk", "late_delivery_risk"))}}
+    df = df.withColumns(upper).withColumns({
+        "shipping_mode_clean": X.by_pattern(F.col("__mode"), X.SHIPPING_MODE_PATTERNS),
+        "order_status_clean": X.known_category(F.col("__status"), X.CATEGORY_NULLS, X.ORDER_STATUS_SYNONYMS),
+        "delivery_status_clean": X.by_value(F.col("__delivery"), X.DELIVERY_STATUS_VALUES),
+        "late_delivery_risk_clean": X.known_bool01(F.col("__risk")),
         "real_shipping_days_clean": M.safe_int("real_shipping_days"),
         "scheduled_days_for_shipment_clean": M.safe_int("scheduled_days_for_shipment"),
-    })
+    }).drop(*upper)
     return add_missing_flags(df, {
         "is_shipping_mode_missing": "shipping_mode_clean",
         "is_order_status_missing": "order_status_clean",
@@ -121,13 +123,15 @@ def clean_money_quantity(df: DataFrame) -> DataFrame:
 
 def clean_segments(df: DataFrame) -> DataFrame:
     """Stage D: segment, region, market, country, state."""
-    df = df.withColumns({
-        "customer_segment_clean": X.canonicalize_by_pattern(X.strip_junk("customer_segment"), X.SEGMENT_PATTERNS),
-        "order_region_clean": X.canonicalize_by_value(X.strip_junk("order_region"), X.REGION_VALUES),
-        "market_clean": X.canonicalize_by_value(X.strip_junk("market"), X.MARKET_VALUES),
-        "order_country_clean": X.canonicalize_by_synonyms("order_country", X.COUNTRY_SYNONYMS),
-        "order_state_clean": X.normalize_category("order_state", X.CATEGORY_NULLS),
-    })
+    upper = {**{f"__{n}": F.upper(X.strip_junk(c)) for n, c in (("segment", "customer_segment"), ("region", "order_region"), ("market", "market"))},
+             **{f"__{n}": X.upper_trim(c) for n, c in (("country", "order_country"), ("state", "order_state"))}}
+    df = df.withColumns(upper).withColumns({
+        "customer_segment_clean": X.by_pattern(F.col("__segment"), X.SEGMENT_PATTERNS),
+        "order_region_clean": X.by_value(F.col("__region"), X.REGION_VALUES),
+        "market_clean": X.by_value(F.col("__market"), X.MARKET_VALUES),
+        "order_country_clean": X.by_synonyms(F.col("__country"), X.COUNTRY_SYNONYMS),
+        "order_state_clean": X.known_category(F.col("__state"), X.CATEGORY_NULLS),
+    }).drop(*upper)
     return add_missing_flags(df, {
         "is_segment_missing": "customer_segment_clean",
         "is_region_missing": "order_region_clean",

@@ -129,3 +129,26 @@ def test_month_diff_and_date_key(spark):
     df = spark.createDataFrame([(d(2024, 1, 31), d(2024, 2, 1))], "a date, b date")
     r = df.select(D.month_diff("b", "a").alias("m"), D.date_key("a").alias("k")).first()
     assert r["m"] == 1 and r["k"] == 20240131
+
+
+def test_each_text_is_upper_cased_once(spark):
+    """Stages B and D: one upper and one trim for each of their nine text columns in the optimised plan."""
+    from acct_health.plans.cleaning import clean_delivery, clean_segments
+    names = ("shipping_mode", "order_status", "delivery_status", "late_delivery_risk", "real_shipping_days", "scheduled_days_for_shipment",
+             "customer_segment", "order_region", "market", "order_country", "order_state")
+    df = spark.createDataFrame([("x",) * len(names)], ", ".join(f"{n} string" for n in names)).repartition(1)
+    spark.conf.set("spark.sql.debug.maxToStringFields", 1000)
+    try:
+        plan = clean_segments(clean_delivery(df))._jdf.queryExecution().optimizedPlan().toString()
+    finally:
+        spark.conf.unset("spark.sql.debug.maxToStringFields")
+    assert plan.count("upper(") == 9
+
+
+def test_value_dictionaries_at_the_edges(spark):
+    from acct_health.functions import text as X
+    df = spark.createDataFrame([(None,), ("",), ("  ",), (" n/a ",), ("??",), ("cancelled",), ("Other",), ("\u00a0yes\u2003",), ("0",), ("2",)], "t string")
+    got = df.select(X.normalize_category("t", X.CATEGORY_NULLS, X.ORDER_STATUS_SYNONYMS), X.normalize_category("t", ()), X.normalize_bool01("t")).collect()
+    assert [r[0] for r in got] == [None, None, None, None, None, "CANCELED", "OTHER", "YES", "0", "2"]
+    assert [r[1] for r in got] == [None, None, None, "N/A", "??", "CANCELLED", "OTHER", "YES", "0", "2"]
+    assert [r[2] for r in got] == [None] * 7 + [1, 0, None]
