@@ -24,12 +24,13 @@ import xxhash
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from acct_health.llm.common import map_arrow, read_table, release, written
+from acct_health.llm.common import discard, map_arrow, read_table, release, written
 from acct_health.llm.scan import CHUNK, ODD, SpanHash, flat, groups, mixed, row_ranges
 
 LONGEST, LEAST, TOP = 5, 100, 2000
 BITS = 26  # log2 of the bits of a bitmap
-HELD = 500_000  # rows that a task gathers before it hands them on
+HELD = 250_000  # rows that a task gathers before it hands them on
+PATHS = 600_000  # the same for paths and ends of runs
 
 BREAK = np.zeros(256, bool)
 BREAK[[ord(c) for c in ".,;:!?\n\x0b\x0c\r"]] = True
@@ -153,18 +154,23 @@ def word_counts(texts: DataFrame) -> DataFrame:
                     held = found.get(key)
                     found[key] = (h, c) if held is None else (h, held[1] + c)
                 if len(found) >= HELD:
-                    yield _counted(found, schema)
-        yield _counted(found, schema)
+                    yield from sliced(_counted(found, schema))
+        yield from sliced(_counted(found, schema))
 
     rows = map_arrow(texts, work, "lang string, phrase binary, h long, n long")
     return rows.groupBy("lang", F.col("phrase").cast("string").alias("phrase")).agg(F.first("h").alias("h"), F.sum("n").alias("n"))
 
 
 def pair_hash(h1: np.ndarray) -> np.ndarray:
-    """The hash of word i and the word before, for i from 1."""
+    """The hash of word i and the word behind it."""
     return mixed(h1[:-1] * ODD + h1[1:])
 
 
+def sliced(batch: pa.RecordBatch, rows: int = 1 << 16) -> Iterator[pa.RecordBatch]:
+    for at in range(0, max(1, batch.num_rows), rows):
+        yield batch.slice(at, rows)
+
+
 def frequent_pairs(texts: DataFrame, sent, least: int) -> DataFrame:
     """(h,): hashes of neighbours in a piece, both words marked in the bitmap ``sent``, that occur ``least`` times or more."""
     def work(batches):
@@ -180,15 +186,15 @@ def frequent_pairs(texts: DataFrame, sent, least: int) -> DataFrame:
         for batch in batches:
             for _, w, h1, _ in reader.parts(batch):
                 often = _bit(sent.value, h1)
-                some = np.flatnonzero(w.joined[1:] & often[1:] & often[:-1])
-                h, n = np.unique(pair_hash(h1)[some[some + 1 >= w.fresh]], return_counts=True)
-                held.append((h, n))
-                size += len(h)
-                if size >= 8 * HELD:
-                    yield counted()
+                pair = w.joined[1:] & often[1:] & often[:-1]
+                pair[:max(0, w.fresh - 1)] = False  # those are the part's before
+                held.append(np.unique(pair_hash(h1)[pair], return_counts=True))
+                size += len(held[-1][0])
+                if size >= 3 * HELD:
+                    yield from sliced(counted())
                     held, size = [], 0
         if held:
-            yield counted()
+            yield from sliced(counted())
 
     return map_arrow(texts, work, "h long, n long").groupBy("h").agg(F.sum("n").alias("n")).where(F.col("n") >= least).select("h")
 
@@ -201,17 +207,17 @@ def _phrase(data: bytes, begin: np.ndarray, end: np.ndarray, first: int, last: i
     return text
 
 
-def paths(w: Words, h1: np.ndarray, h2: np.ndarray, linked: np.ndarray, longest: int) -> tuple[list, list]:
+def paths(w: Words, h1: np.ndarray, h2: np.ndarray, pair: np.ndarray, longest: int) -> tuple[list, list]:
     """((first word, last word, weight) of the compacted paths, (first word, last word, count) of the distinct run ends).
 
-    linked[i]: word i goes on the run of word i - 1. An edge is ``longest`` linked words."""
-    n = len(h1)
-    number = np.arange(n)
-    start = np.maximum.accumulate(np.where(linked, 0, number))  # of each word's run
-    here = np.flatnonzero(number[:max(0, n - longest + 1)] >= 0)
-    edge = here[start[here + longest - 1] <= here] if len(here) else here
+    pair[i]: words i and i + 1 are in a run. An edge is ``longest`` words of a run."""
+    n, out, tails, both = len(h1), [], [], [h1, h2]
+    if n < 2:
+        return out, tails
+    number, triple = np.arange(n - 1), pair[1:] & pair[:-1]
+    start = np.maximum.accumulate(np.where(np.concatenate([[False], triple]), 0, number))  # of the run that pair i is in
+    edge = np.flatnonzero(pair[longest - 2:] & (start[longest - 2:] <= number[:max(0, n - longest + 1)]))
     edge = edge[edge + longest - 1 >= w.fresh]  # the others are the part's before
-    out, both = [], [h1, h2]
     if len(edge):
         keys = []
         for h in both:
@@ -237,20 +243,19 @@ def paths(w: Words, h1: np.ndarray, h2: np.ndarray, linked: np.ndarray, longest:
         heads = order[first[loose]]
         last = stops[np.searchsorted(stops, heads)]
         out = list(zip(edge[heads].tolist(), (edge[last] + longest - 1).tolist(), count[loose].tolist()))
-    stop = np.flatnonzero(linked & ~np.append(linked[1:], False))
+    stop = np.flatnonzero(pair & ~np.append(triple, False))
     if w.cut:
-        stop = stop[stop < n - 1]
+        stop = stop[stop < n - 2]
     if w.fresh:
-        stop = stop[stop >= w.fresh - 1]
-    size = np.minimum(stop - start[stop] + 1, longest - 1)
-    tails = []
+        stop = stop[stop + 1 >= w.fresh - 1]
     if len(stop):
+        size = np.minimum(stop + 2 - start[stop], longest - 1)
         keys = [size.astype(np.uint64), size.astype(np.uint64)]
         for j in range(longest - 1):
-            keys = [np.where(j < size, mixed(k * ODD + h[np.maximum(stop - j, 0)]), k) for k, h in zip(keys, both)]
+            keys = [np.where(j < size, mixed(k * ODD + h[np.maximum(stop + 1 - j, 0)]), k) for k, h in zip(keys, both)]
         order, first = groups(*keys)
         some = order[first]
-        tails = list(zip((stop[some] - size[some] + 1).tolist(), stop[some].tolist(), np.diff(np.append(first, len(order))).tolist()))
+        tails = list(zip((stop[some] + 2 - size[some]).tolist(), (stop[some] + 1).tolist(), np.diff(np.append(first, len(order))).tolist()))
     return out, tails
 
 
@@ -263,17 +268,16 @@ def path_counts(texts: DataFrame, words, pairs, longest: int = LONGEST) -> DataF
         for batch in batches:
             for langs, w, h1, h2 in reader.parts(batch):
                 often = _bit(words.value, h1)
-                linked = w.joined.copy()
-                linked[1:] &= often[1:] & often[:-1] & _bit(pairs.value, pair_hash(h1))
+                pair = w.joined[1:] & often[1:] & often[:-1] & _bit(pairs.value, pair_hash(h1))
                 whole, begin, end, row = w.data.tobytes(), w.begin, w.end, w.row
-                for some in paths(w, h1, h2, linked, longest):
+                for some in paths(w, h1, h2, pair, longest):
                     for first, last, n in some:
                         key = (langs[row[first]], _phrase(whole, begin, end, first, last))
                         held = found.get(key)
                         found[key] = (last - first + 1, n + (held[1] if held else 0))
-                if len(found) >= HELD:
-                    yield _counted(found, schema)
-        yield _counted(found, schema)
+                if len(found) >= PATHS:
+                    yield from sliced(_counted(found, schema))
+        yield from sliced(_counted(found, schema))
 
     rows = map_arrow(texts, work, "lang string, phrase binary, size int, n long")
     return rows.groupBy("lang", F.col("phrase").cast("string").alias("phrase")).agg(F.first("size").alias("size"), F.sum("n").alias("n"))
@@ -283,28 +287,35 @@ def phrase_counts(texts: DataFrame, longest: int = LONGEST, least: int = LEAST,
     """((lang, n): all words of each language; (lang, phrase, size, n): phrases of 1 to ``longest`` words that occur ``least`` times or more)."""
     spark = texts.sparkSession
     words = written(word_counts(texts), "words", "zstd")
-    total = words.groupBy("lang").agg(F.sum("n").alias("total"))
+    total = written(words.groupBy("lang").agg(F.sum("n").alias("total")), "word-totals")
     often = spark.sparkContext.broadcast(bitmap(words.where(F.col("n") >= least), bits))  # of fixed size
     pairs = spark.sparkContext.broadcast(bitmap(frequent_pairs(texts, often, least), bits))  # of fixed size
     release(spark)
     found = written(path_counts(texts, often, pairs, longest), "paths", "zstd")
     release(spark)
     split = F.split("phrase", " ")
-    edges = F.transform(F.sequence(F.lit(1), F.col("size") - longest + 1), lambda i: F.array_join(F.slice(split, i, longest), " "))
-    level = found.where(F.col("size") >= longest).select("lang", "n", F.explode(edges).alias("phrase"))
+    inner = F.transform(F.sequence(F.lit(2), F.col("size") - longest), lambda i: F.array_join(F.slice(split, i, longest), " "))
+    end = lambda n: F.substring_index("phrase", " ", n).alias("phrase")
+    # the first edge of each path, the last of those that have another, and those between
+    level = (found.where(F.col("size") >= longest).select("lang", "n", end(longest))
+             .unionByName(found.where(F.col("size") > longest).select("lang", "n", end(-longest)))
+             .unionByName(found.where(F.col("size") > longest + 1).select("lang", "n", F.explode(inner).alias("phrase"))))
     level = written(level.groupBy("lang", "phrase").agg(F.sum("n").alias("n")), f"phrases-{longest}", "zstd")
-    tails, kept = found.where(F.col("size") < longest), [level.where(F.col("n") >= least).withColumn("size", F.lit(longest))]
+    used, tails, kept = [words, found, level], found.where(F.col("size") < longest), [level.where(F.col("n") >= least).withColumn("size", F.lit(longest))]
     for size in range(longest - 1, 1, -1):
         flow = level.select("lang", F.substring_index("phrase", " ", size).alias("phrase"), "n")
         ends = tails.where(F.col("size") >= size).select("lang", F.substring_index("phrase", " ", -size).alias("phrase"), "n")
         level = written(flow.unionByName(ends).groupBy("lang", "phrase").agg(F.sum("n").alias("n")), f"phrases-{size}", "zstd")
-        release(spark)
+        used.append(level)
         kept.append(level.where(F.col("n") >= least).withColumn("size", F.lit(size)))
     kept.append(words.where(F.col("n") >= least).select("lang", "phrase", "n", F.lit(1).alias("size")))
     out = kept[0]
     for more in kept[1:]:
         out = out.unionByName(more)
-    return total, written(out.select("lang", "phrase", "size", "n"), "phrases")
+    out = written(out.select("lang", "phrase", "size", "n"), "phrases")
+    discard(*used)
+    release(spark)
+    return total, out
 
 
 def _whole(column: Column | str) -> Column:

@@ -86,7 +86,7 @@ def test_long_texts_in_parts(spark, monkeypatch):
         hashes = scan.SpanHash()
         for p in C.words_of(data, starts, ends, limit):
             h1, h2 = hashes(p.data, p.begin, p.end)
-            some, tails = C.paths(p, h1, h2, p.joined, 5)
+            some, tails = C.paths(p, h1, h2, p.joined[1:], 5)
             text = p.data.tobytes()
             for first, last, n in some:
                 w = C._phrase(text, p.begin, p.end, first, last).split()
@@ -102,6 +102,6 @@ def test_long_texts_in_parts(spark, monkeypatch):
 def test_paths_are_compacted():
     data, starts, ends = scan.flat(pa.array(["one two three four five six seven eight nine ten. " * 3]))
     (p,) = C.words_of(data, starts, ends)
-    some, tails = C.paths(p, *scan.SpanHash()(p.data, p.begin, p.end), p.joined, 5)
+    some, tails = C.paths(p, *scan.SpanHash()(p.data, p.begin, p.end), p.joined[1:], 5)
     assert [(last - first + 1, n) for first, last, n in some] == [(10, 3)] and [n for *_, n in tails] == [3]
     assert np.array_equal(p.joined[:10], [False] + [True] * 9)
