@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from acct_health.llm.common import map_arrow, read_table
+from acct_health.llm.common import map_arrow, only_memory_of, read_table
 from acct_health.llm.units import Memory, grouped
 
 PIECE_BYTES = 1 << 20  # bytes of pieces in one query
@@ -62,7 +62,7 @@ FROM tokens t JOIN vocabulary v USING (id) GROUP BY t.doc ORDER BY t.doc
 class Coder:
     """A rank file, its pattern and a DuckDB connection of one Python worker."""
 
-    def __init__(self, path: str, pattern: str):
+    def __init__(self, path: str, pattern: str, remembered: int = REMEMBERED):
         import duckdb
         import regex
 
@@ -79,7 +79,7 @@ class Coder:
         self._table("vocabulary", pa.table({"id": pa.array(ranks.values(), pa.int32()), "hex": [k.hex() for k in ranks]}))
         self.known = np.zeros(max(ranks.values()) + 1, bool)
         self.known[list(ranks.values())] = True
-        self.memory = Memory(self._units, REMEMBERED)
+        self.memory = Memory(self._units, remembered)
         self.figures = list(map(str, range(len(self.known))))
 
     def _table(self, name: str, rows: pa.Table) -> None:
@@ -166,13 +166,17 @@ class Coder:
             out[i].append(bytes.fromhex(h))
 
 
-_CODERS: dict[tuple[str, str], Coder] = {}
+_CODERS: dict[tuple[str, str, int], Coder] = {}
 
 
-def coder(path: str, pattern: str) -> Coder:
-    if (path, pattern) not in _CODERS:
-        _CODERS[path, pattern] = Coder(path, pattern)
-    return _CODERS[path, pattern]
+def coder(path: str, pattern: str, remembered: int = REMEMBERED) -> Coder:
+    """The worker's coder, made once."""
+    only_memory_of("bpe", _CODERS.clear)
+    key = (path, pattern, remembered)
+    if key not in _CODERS:
+        _CODERS.clear()
+        _CODERS[key] = Coder(*key)
+    return _CODERS[key]
 
 
 def encode_documents(docs: DataFrame, path: str, pattern: str, key: str = "doc_id", text: str = "text") -> DataFrame:
@@ -208,13 +212,15 @@ def decode_documents(encoded: DataFrame, path: str, pattern: str) -> DataFrame:
     return map_arrow(encoded.select("doc_id", "ids"), work, "doc_id long, n_tokens long, ids_sha256 string, decoded binary")
 
 
-def round_trip_documents(docs: DataFrame, path: str, pattern: str, key: str = "doc_id", text: str = "text") -> DataFrame:
+def round_trip_documents(docs: DataFrame, path: str, pattern: str, key: str = "doc_id", text: str = "text",
+                         remembered: int = REMEMBERED) -> DataFrame:
     """(doc_id, n_tokens, ids_sha256, decoded_sha256) of every row of ``docs``: as ``decode_documents`` of ``encode_documents``, but in one pass, so that
-    a worker holds one set of tables and ids go from the encoder to the decoder in its memory. Same results for nulls and the like."""
+    a worker holds one set of tables and ids go from the encoder to the decoder in its memory. Same results for nulls and the like. ``remembered``: how many units a worker keeps, a matter of
+    speed and memory."""
     def work(batches):
         for batch in batches:
             for at in range(0, batch.num_rows, ROWS):
-                part, coded = batch.slice(at, ROWS), coder(path, pattern)
+                part, coded = batch.slice(at, ROWS), coder(path, pattern, remembered)
                 n, ids, data = [], [], []
                 for group in _few(part.column(1).to_pylist()):
                     some = coded.encode(group)
@@ -241,11 +247,11 @@ def _few(texts: list[str | None]) -> Iterator[list[str]]:
         yield held
 
 
-def round_trip(docs: DataFrame) -> DataFrame:
+def round_trip(docs: DataFrame, remembered: int = REMEMBERED) -> DataFrame:
     """doc_id, n_tokens, ids_sha256, decoded_sha256 of every document, by byte_bpe_multi_50k."""
     import public_tokenizers
 
-    return round_trip_documents(docs, public_tokenizers.path("byte_bpe_multi_50k.tiktoken"), public_tokenizers.PATTERN)
+    return round_trip_documents(docs, public_tokenizers.path("byte_bpe_multi_50k.tiktoken"), public_tokenizers.PATTERN, remembered=remembered)
 
 
 def op4_bpe(spark, sf_dir: str) -> DataFrame:

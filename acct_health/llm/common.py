@@ -7,6 +7,7 @@ import os
 import tempfile
 import uuid
 import zipfile
+from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -65,6 +66,17 @@ def ship(spark: SparkSession) -> None:
     _SHIPPED.add(sc.applicationId)
 
 
+_KEPT: dict[str, Callable[[], None]] = {}  # of this Python worker: how to forget what an operator remembers
+
+
+def only_memory_of(operator: str, forget: Callable[[], None]) -> None:
+    """Spark uses a Python worker again for later stages. What other operators remember there for speed goes, so that one operator's
+    bound is the worker's."""
+    for name in [n for n in _KEPT if n != operator]:
+        _KEPT.pop(name)()
+    _KEPT[operator] = forget
+
+
 def map_arrow(df: DataFrame, work, schema: str | StructType) -> DataFrame:
     """``df.mapInArrow`` with this package at hand on the executors."""
     ship(df.sparkSession)

@@ -29,7 +29,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from acct_health.llm.common import map_arrow, read_table, written
+from acct_health.llm.common import map_arrow, only_memory_of, read_table, written
 
 WINDOW = 8
 LITERALS = 0.6  # share of a window's tokens that must be no placeholder
@@ -267,6 +267,7 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, ke
     marked = spark.sparkContext.broadcast(np.packbits(bitmap(known)))  # of fixed size
 
     def work(batches):
+        only_memory_of("decontamination", _LEXICON.clear)
         hit = np.unpackbits(marked.value).astype(bool)
         low = np.uint64((1 << BITMAP_BITS) - 1)
         row = TaskContext.get().partitionId() << 40
