@@ -8,13 +8,43 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
-def drop_exact_duplicates(df: DataFrame) -> DataFrame:
+DIGEST_BITS = 24  # log2 of the bits of the map of repeated digests: as a table 2**18 rows of two numbers at most
+
+
+def row_digest(columns: Sequence[str]) -> tuple[Column, Column]:
+    """128 bits of a row as two whole numbers. Nulls count: the hashes leave them out, so which columns are null is hashed too."""
+    cols = [F.col(f"`{c}`") for c in columns]
+    nulls = F.concat(*[c.isNull().cast("int").cast("string") for c in cols]) if cols else F.lit("")
+    return F.xxhash64(nulls, *cols), F.xxhash64(F.lit(1), *reversed(cols), nulls)
+
+
+def with_repeated(df: DataFrame, flag: str = "__repeated", digest=row_digest, bits: int = DIGEST_BITS) -> DataFrame:
+    """Add ``flag``: whether a row may be equal to another one, and is not surely alone.
+
+    Only digests are shuffled; those that occur twice set a bit in a map of 2**``bits`` bits, which is broadcast (its size is fixed). Where
+    far more digests repeat than the map has bits, most rows are flagged, which costs work later but loses nothing.
+    """
+    low = lambda c: c.bitwiseAND((1 << bits) - 1)
+    one, two = digest(df.columns)
+    twice = (df.select(one.alias("__a"), two.alias("__b")).groupBy("__a", "__b").agg(F.count(F.lit(1)).alias("__n")).where("__n > 1"))
+    bit = F.call_function("shiftleft", F.lit(1).cast("long"), F.col("__a").bitwiseAND(63).cast("int"))
+    words = twice.groupBy(F.shiftright(low(F.col("__a")), 6).alias("__word")).agg(F.bit_or(bit).alias("__set"))
+    told = df.withColumn("__d", one).withColumn("__at", F.shiftright(low(F.col("__d")), 6))
+    told = told.join(F.broadcast(words), told["__at"] == words["__word"], "left")
+    hit = F.coalesce(F.getbit(F.col("__set"), F.col("__d").bitwiseAND(63).cast("int")) == 1, F.lit(False))
+    return told.withColumn(flag, hit).drop("__d", "__at", "__word", "__set")
+
+
+def drop_exact_duplicates(df: DataFrame, digest=row_digest) -> DataFrame:
     """One row per identical full row (NULLs compare equal).
 
-    Plans as a hash aggregate over all columns with a map-side partial step, so a row
-    repeated millions of times is collapsed before the shuffle.
+    Rows whose digest occurs once pass as they are; the others are compared whole, by a hash aggregate over all columns with a map-side
+    partial step. So whole rows are shuffled only where digests repeat, and a row repeated millions of times is collapsed before.
+    ``df`` is read three times; of columns that can't be hashed or compared (maps) this is no more able than ``distinct``.
     """
-    return df.dropDuplicates()
+    told = with_repeated(df, digest=digest)
+    again = told.where("__repeated").drop("__repeated").dropDuplicates()
+    return told.where("not __repeated").drop("__repeated").unionByName(again)
 
 
 def keep_earliest_per_key(

@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from acct_health.operators.average import exact_avg
+from acct_health.operators.dedupe import with_repeated
 from acct_health.functions.money import MONEY_NULLS, safe_double, safe_int
 from acct_health.functions.text import utrim
 
@@ -32,8 +33,9 @@ def column_mismatch_count(df: DataFrame, a: str, b: str) -> DataFrame:
 
 
 def duplicate_row_count(df: DataFrame) -> DataFrame:
-    """Rows beyond the first of each identical full row (one grouped pass over all columns)."""
-    per = df.groupBy(*df.columns).agg(F.count(F.lit(1)).alias("__n"))
+    """Rows beyond the first of each identical full row. Whole rows are compared only where their digests repeat."""
+    some = with_repeated(df).where("__repeated").drop("__repeated")
+    per = some.groupBy(*df.columns).agg(F.count(F.lit(1)).alias("__n"))
     return per.agg(F.coalesce(F.sum(F.col("__n") - 1), F.lit(0)).cast("long").alias("duplicate_row_count"))
 
 

@@ -5,7 +5,8 @@ list of digits that compare like the row. The key at a rank is found like in a r
 an interval of one digit, a histogram of that digit in the interval tells which bucket holds the rank, the
 bucket's least and greatest digit are the next interval, and where these are equal the next digit follows. All ranks of all orders are refined
 by the same scan, so the number of scans depends on the width of the keys, not on how many
-ranks or orders there are. The driver gets at most ``buckets`` rows for each open interval of a scan.
+ranks or orders there are. Once no more than ``few`` rows are left in all open intervals, their keys are read and ordered by the driver. It
+gets at most ``buckets`` rows for each open interval of a scan, and ``few`` keys.
 
 Digits: whole numbers, dates, timestamps and booleans are one whole number; decimals one or two; floating point
 numbers a class (infinite, not a number) and the value; strings seven bytes of their UTF-8 a digit and their length; before each a digit that
@@ -22,6 +23,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 BUCKETS = 1024
+FEW = 5000
 AHEAD = 3  # digits whose bounds a scan tells: that of the histogram and those behind it
 
 Order = Sequence[tuple[str, bool]]  # (column, descending)
@@ -125,54 +127,48 @@ def _settled(at: Interval, n_digits: int) -> tuple[str, Interval]:
         at = Interval((*at.fixed, at.low), low, high, at.ahead[1:], at.rows, at.ranks)
 
 
-def select_ranks(df: DataFrame, keys: Sequence[Sequence[Digit]], ranks_of, buckets: int = BUCKETS) -> tuple[int, list[dict[int, tuple[tuple, int]]]]:
+def select_ranks(df: DataFrame, keys: Sequence[Sequence[Digit]], ranks_of, buckets: int | None = None,
+                 few: int | None = None) -> tuple[int, list[dict[int, tuple[tuple, int]]]]:
     """(rows of ``df``, for each of ``keys`` the key at each wanted rank).
 
     ``ranks_of(n)`` gives the 0-based ranks that are wanted where there are n rows. A key is (its first digits, as many as tell its rows from all
     others, rows with these digits)."""
-    ahead = lambda digits, at: digits[at:at + AHEAD]
-
-    def bounds(digits):  # the least and greatest of some digits, whole numbers and doubles in columns of their own
-        out = []
-        for i in range(AHEAD):
-            d = digits[i] if i < len(digits) else None
-            for whole, kind in ((True, "long"), (False, "double")):
-                value = d.expr if d is not None and d.whole == whole else F.lit(None)
-                out.append(value.cast(kind).alias(f"{kind}{i}"))
-        return out
-
-    def least_and_greatest():
-        return [f(c).alias(f"{name}_{c}") for i in range(AHEAD) for c in (f"long{i}", f"double{i}") for name, f in (("min", F.min), ("max", F.max))]
+    buckets, few = BUCKETS if buckets is None else buckets, FEW if few is None else few
+    none = {True: F.lit(None).cast("long"), False: F.lit(None).cast("double")}
+
+    def entry(k: int, digits: Sequence[Digit], open_: list[Interval]) -> Column:
+        """The open interval that a row lies in, its bucket there, and the row's digits (whole numbers and doubles apart)."""
+        out = None
+        for i, at in enumerate(open_):
+            here = F.lit(True)
+            for d, v in zip(digits, at.fixed):
+                here = here & (d.expr == _literal(v))
+            digit = digits[len(at.fixed)]
+            if at.low is not None:
+                here = here & (digit.expr >= _literal(at.low)) & (digit.expr <= _literal(at.high))
+            value = F.struct(F.lit(i).alias("i"), F.lit(len(at.fixed)).alias("at"), _bucket(digit, at, buckets).alias("bucket"))
+            out = (F if out is None else out).when(here, value)
+        whole, real = (F.array(*[d.expr if d.whole == w else none[w] for d in digits]) for w in (True, False))
+        return F.struct(F.lit(k).alias("k"), out.alias("in"), whole.alias("long"), real.alias("double"))
+
+    def rows_of(open_: list[list[Interval]]) -> DataFrame:
+        some = F.array(*[entry(k, digits, open_[k]) for k, digits in enumerate(keys) if open_[k]])
+        return df.select(F.explode(some).alias("e")).where("e.in is not null").select("e.k", "e.in.*", "e.long", "e.double")
 
     def told(row) -> list[tuple]:
-        pairs = []
-        for i in range(AHEAD):
-            for kind in ("long", "double"):
-                if row[f"min_{kind}{i}"] is not None:
-                    pairs.append((row[f"min_{kind}{i}"], row[f"max_{kind}{i}"]))
-        return pairs
-
-    open_: list[list[Interval]] = []
+        pairs = [(row[f"min_{kind}{j}"], row[f"max_{kind}{j}"]) for j in range(AHEAD) for kind in ("long", "double")]
+        return [p for p in pairs if p[0] is not None]
+
     found: list[dict[int, tuple[tuple, int]]] = [{} for _ in keys]
+    open_ = [[Interval((), None, None, (), 0)] for _ in keys]
+    bounds = [f(F.get(F.col(kind), F.col("at") + j)).alias(f"{name}_{kind}{j}") for j in range(AHEAD) for kind in ("long", "double")
+              for name, f in (("min", F.min), ("max", F.max))]
     total = None
-    while total is None or any(open_):
-        # which open interval of each order a row lies in, and its bucket there
-        entries = []
-        for k, digits in enumerate(keys):
-            entry = None
-            for i, at in enumerate(open_[k]) if total is not None else [(0, Interval((), None, None, (), 0))]:
-                here = F.lit(True)
-                for d, v in zip(digits, at.fixed):
-                    here = here & (d.expr == _literal(v))
-                digit = digits[len(at.fixed)]
-                if at.low is not None:
-                    here = here & (digit.expr >= _literal(at.low)) & (digit.expr <= _literal(at.high))
-                value = F.struct(F.lit(k).alias("k"), F.lit(i).alias("i"), _bucket(digit, at, buckets).alias("bucket"), *bounds(ahead(digits, len(at.fixed))))
-                entry = F.when(here, value) if entry is None else entry.when(here, value)
-            if entry is not None:
-                entries.append(entry)
-        rows = df.select(F.explode(F.array(*entries)).alias("e")).where("e is not null").select("e.*")
-        got = rows.groupBy("k", "i", "bucket").agg(F.count(F.lit(1)).alias("n"), *least_and_greatest()).collect()
+    while any(open_):
+        if total is not None and sum(at.rows for some in open_ for at in some) <= few:
+            _finish(rows_of(open_).collect(), open_, found)
+            break
+        got = rows_of(open_).groupBy("k", "i", "bucket").agg(F.count(F.lit(1)).alias("n"), *bounds).collect()
         by: dict[tuple, list] = {}
         for row in sorted(got, key=lambda r: (r["k"], r["i"], r["bucket"])):
             by.setdefault((row["k"], row["i"]), []).append(row)
@@ -180,9 +176,9 @@ def select_ranks(df: DataFrame, keys: Sequence[Sequence[Digit]], ranks_of, bucke
             total = by[0, 0][0]["n"] if by else 0
             wanted = sorted(set(ranks_of(total)))
             if not total or not wanted:
-                return total, found
-            first = [Interval((), None, None, (), total, [(r, r) for r in wanted]) for _ in keys]
-            open_ = [[at] for at in first]
+                break
+            for some in open_:
+                some[0].rows, some[0].ranks = total, [(r, r) for r in wanted]
         following: list[list[Interval]] = [[] for _ in keys]
         for (k, i), some in by.items():
             at, before = open_[k][i], 0
@@ -200,7 +196,18 @@ def select_ranks(df: DataFrame, keys: Sequence[Sequence[Digit]], ranks_of, bucke
                 else:
                     following[k].append(new)
         open_ = following
-    return total, found
+    return total or 0, found
+
+
+def _finish(rows: list, open_: list[list[Interval]], found: list[dict[int, tuple[tuple, int]]]) -> None:
+    """The keys at the ranks that are left, from all the rows of the open intervals."""
+    by: dict[tuple[int, int], list[tuple]] = {}
+    for r in rows:
+        by.setdefault((r["k"], r["i"]), []).append(tuple(d if w is None else w for w, d in zip(r["long"], r["double"])))
+    for (k, i), keys in by.items():
+        keys.sort()
+        for rank, name in open_[k][i].ranks:
+            found[k][name] = (keys[rank], keys.count(keys[rank]))
 
 
 def _one(at: Interval, digits: Sequence[Digit]) -> tuple:

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from acct_health.functions.dates import REFERENCE_CEILING, month_diff
 from acct_health.operators.average import exact_avg
+from acct_health.operators.month_bits import month_array, month_words
 
 
 def drop_censored(df: DataFrame, ceiling: dt.date = REFERENCE_CEILING) -> DataFrame:
@@ -25,21 +26,25 @@ def cohort_index(months: DataFrame, entity: str = "customer_id", active: str = "
 
 
 def mart_cohort(fact: DataFrame, ceiling: dt.date = REFERENCE_CEILING, entity: str = "customer_id",
-                date: str = "order_date_clean") -> DataFrame:
+                date: str = "order_date_clean", first: dt.date | None = None) -> DataFrame:
     """cohort_month, month_index, active_customers, cohort_size, retention_pct.
 
-    Plan (three exchanges, none carrying raw lines): ``collect_set`` of active months per
-    customer combines map-side, so each task ships at most one entry per (customer,
-    month) and a customer's set is bounded by the number of calendar months however
-    many lines the customer has; the cohort is the set's minimum, and exploding the set
-    gives the distinct (cohort, month index) cells. Cohort size comes from a window over
-    the small (cohort, index) table instead of a self join.
+    Plan (three exchanges, none carrying raw lines): a customer's active months are a bit set of a few bytes, OR-ed map-side, so each task ships
+    one small row a customer; customers with equal sets are then counted as one, and only the distinct sets are taken apart into
+    (cohort, month index) cells. Cohort size comes from a window over the small (cohort, index) table instead of a self join.
+    Months after the ceiling's are censored anyway and not looked at. ``first``: the first month of the data; a job finds
+    the earliest date (one row) if it is not given.
     """
-    months = (fact.filter(F.col(date).isNotNull())
-              .groupBy(entity).agg(F.collect_set(F.trunc(date, "MM")).alias("__months")))
-    activity = (cohort_index(months, entity, "__months")
+    if first is None:
+        first = fact.agg(F.min(date)).first()[0] or ceiling
+    first = min(first, ceiling).replace(day=1)
+    aggs = month_words(date, first, ceiling)
+    words = [f"__w{i}" for i in range(len(aggs))]
+    sets = fact.filter(F.col(date).isNotNull()).groupBy(entity).agg(*aggs)
+    sets = sets.groupBy(*words).agg(F.count(entity).alias("__n"))  # a null entity is nobody
+    activity = (cohort_index(sets.select("__n", month_array(words, first).alias("__months")).where("size(__months) > 0"), "__n", "__months")
                 .groupBy("cohort_month", "month_index")
-                .agg(F.count(entity).alias("active_customers")))  # a null entity is nobody
+                .agg(F.sum("__n").alias("active_customers")))
     size = F.max(F.when(F.col("month_index") == 0, F.col("active_customers"))).over(
         Window.partitionBy("cohort_month"))
     out = activity.withColumn("cohort_size", size).filter(F.col("cohort_size").isNotNull())

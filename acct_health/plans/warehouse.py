@@ -14,6 +14,7 @@ import datetime as dt
 from collections.abc import Iterator, Mapping
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from acct_health.plans.cleaning import clean_orders
 from acct_health.plans.scratch import scratch_path
@@ -24,6 +25,7 @@ from acct_health.sources.order_lines import SOURCE_TABLES, order_lines
 TABLES = ("raw_order_lines", "stg_orders_final", "fact_order_item", "dim_customer", "dim_product")
 
 _WRITTEN: dict[tuple, tuple[tuple, str]] = {}  # (application, input, ceiling, table) -> (stamp of the input, path)
+_FACTS: dict[tuple, object] = {}  # what is known of written tables, by their paths
 
 
 def _file_system(spark: SparkSession, path: str):
@@ -73,6 +75,14 @@ class StarTables(Mapping):
         key = (self.spark.sparkContext.applicationId, self.sf_dir, self.ceiling, name)
         return key in _WRITTEN and _WRITTEN[key][0] == self.stamp
 
+    def first_date(self) -> dt.date | None:
+        """The earliest order date of the fact, found once for each written table."""
+        fact = self["fact_order_item"]
+        key = ("first_date", _WRITTEN[self.spark.sparkContext.applicationId, self.sf_dir, self.ceiling, "fact_order_item"][1])
+        if key not in _FACTS:
+            _FACTS[key] = fact.agg(F.min("order_date_clean")).first()[0]
+        return _FACTS[key]
+
     def __getitem__(self, name: str) -> DataFrame:
         if name not in TABLES:
             raise KeyError(name)

@@ -162,3 +162,60 @@ def test_entity_profile_matches_its_parts(spark):
     want = (base.join(dominant_value(df, "c", "r", "o", "dt", "dr"), "c", "left").join(dominant_value(df, "c", "m", "o", "dt", "dm"), "c", "left"))
     assert sorted(map(str, got.select(*want.columns).collect())) == sorted(map(str, want.collect()))
     assert "Window" not in got._jdf.queryExecution().executedPlan().toString()
+
+
+def _rows_with_duplicates():
+    import random
+    r = random.Random(8)
+    some = [(r.choice([None, 1, 2]), r.choice([None, "", "a", "b"]), r.choice([None, "", "a", "b"]), r.choice([None, 0.5, -0.0, 0.0])) for _ in range(300)]
+    return [*some, (7, "x", None, None), (7, None, "x", None), (8, "hot", "hot", 1.0)] + [(9, "hot", "hot", 1.0)] * 50
+
+
+def test_exact_duplicates_by_digest(spark):
+    """Equal to Spark's distinct; values that only move between null columns differ; digests that collide for all rows, or all but a few, change nothing."""
+    from acct_health.operators.dedupe import drop_exact_duplicates, row_digest, with_repeated
+    from acct_health.operators.profile import duplicate_row_count
+    df = spark.createDataFrame(_rows_with_duplicates(), "a int, b string, c string, d double").repartition(4)
+    df = df.withColumn("d", F.when(F.col("d") == 0, 0.0).otherwise(F.col("d")))  # which of -0.0 and 0.0 stays is open
+    want = sorted(map(str, df.distinct().collect()))
+    same = lambda cols: (F.lit(3).cast("long"), F.lit(4).cast("long"))
+    few = lambda cols: tuple(F.pmod(x, F.lit(5)).cast("long") for x in row_digest(cols))
+    for digest in (row_digest, same, few):
+        assert sorted(map(str, drop_exact_duplicates(df, digest).collect())) == want
+    assert duplicate_row_count(df).first()[0] == df.count() - len(want)
+    alone = with_repeated(df).where("not __repeated").drop("__repeated")
+    assert 0 < alone.count() == alone.distinct().count()
+    assert drop_exact_duplicates(df.where("false")).count() == 0
+
+
+def test_whole_rows_are_not_shuffled_for_a_digest(spark):
+    from acct_health.operators.dedupe import with_repeated
+    df = spark.createDataFrame(_rows_with_duplicates(), "a int, b string, c string, d double")
+    plan = with_repeated(df)._jdf.queryExecution().executedPlan().toString()
+    exchanges = [line for line in plan.splitlines() if "Exchange hashpartitioning" in line]
+    assert exchanges and not any(f"{c}#" in line for line in exchanges for c in ("(a", " a", "(b", " b", "(c", " c", "(d", " d"))
+
+
+def test_month_sets(spark):
+    """Cohorts of bit sets equal those of sets of months, over more months than a word holds and with a null entity."""
+    import random
+
+    from acct_health.plans.cohort import mart_cohort
+    r = random.Random(6)
+    rows = [(r.choice([None, *range(60)]), r.choice([None, d(r.randint(1990, 2003), r.randint(1, 12), r.randint(1, 28))])) for _ in range(900)]
+    rows += [(100 + i, d(1990 + i, 1, 31)) for i in range(14)] + [(100, d(2003, 12, 31))]
+    df = spark.createDataFrame(rows, "customer_id int, order_date_clean date")
+    months = {}
+    for c, day in rows:
+        if day:
+            months.setdefault(c, set()).add(day.year * 12 + day.month - 1)
+    cells, ceiling = {}, d(2003, 6, 15)
+    for c, some in months.items():
+        for m in some:
+            key = (min(some), m - min(some))
+            cells[key] = cells.get(key, 0) + (c is not None)
+    last = 2003 * 12 + 4  # May 2003 ends before the ceiling less a month
+    want = sorted((d(k // 12, k % 12 + 1, 1), i, n, cells[k, 0]) for (k, i), n in cells.items() if k + i <= last)
+    got = sorted(tuple(r)[:4] for r in mart_cohort(df, ceiling).collect())
+    assert got == want
+    assert mart_cohort(df.where("order_date_clean is null"), ceiling).count() == 0

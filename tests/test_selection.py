@@ -38,9 +38,10 @@ def builtin(df, k, order):
     return {r[0]: r[1] for r in df.select("id", F.ntile(k).over(Window.orderBy(*keys))).collect()}
 
 
-@pytest.mark.parametrize("k", [1, 4, 7])
-def test_every_type_in_one_selection(mixed, k, monkeypatch):
+@pytest.mark.parametrize("k,few", [(1, 0), (4, 0), (7, 0), (7, 100), (7, 5000)])
+def test_every_type_in_one_selection(mixed, k, few, monkeypatch):
     monkeypatch.setattr(selection, "BUCKETS", 16)
+    monkeypatch.setattr(selection, "FEW", few)
     columns = ["whole", "small", "flag", "day", "at", "real", "money", "wide", "word", "tied"]
     rankings = {f"{c}_{desc}": ((c, desc), ("id", not desc)) for c in columns for desc in (False, True)}
     for some in (dict(list(rankings.items())[:8]), dict(list(rankings.items())[8:14]), dict(list(rankings.items())[14:])):
@@ -90,5 +91,6 @@ def test_plan_and_scans_do_not_grow_with_rankings(spark, monkeypatch):
 def test_ranks_are_exact(spark):
     df = spark.range(5000).select((F.col("id") * 7919 % 5000).alias("v"))
     digits = key_digits(df, [("v", False)])
-    total, (found,) = select_ranks(df, [digits], lambda n: [0, 17, n // 2, n - 1], buckets=4)
-    assert total == 5000 and {r: key[-1] for r, (key, _) in found.items()} == {0: 0, 17: 17, 2500: 2500, 4999: 4999}
+    for few in (0, 100, 10_000):
+        total, (found,) = select_ranks(df, [digits], lambda n: [0, 17, n // 2, n - 1], buckets=4, few=few)
+        assert total == 5000 and {r: key[-1] for r, (key, _) in found.items()} == {0: 0, 17: 17, 2500: 2500, 4999: 4999}
