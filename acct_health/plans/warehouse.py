@@ -11,6 +11,7 @@ writes staging and fact, no dimension and no copy of the raw text.
 from __future__ import annotations
 
 import datetime as dt
+import hashlib
 from collections.abc import Iterator, Mapping
 
 from pyspark.sql import DataFrame, SparkSession
@@ -19,13 +20,21 @@ from pyspark.sql import functions as F
 from acct_health.plans.cleaning import clean_orders
 from acct_health.plans.scratch import scratch_path
 from acct_health.plans.star import build_dim_customer, build_dim_product, build_fact
-from acct_health.sources.io import write_table
 from acct_health.sources.order_lines import SOURCE_TABLES, order_lines
+from acct_health.sources.tables import TableStore
 
 TABLES = ("raw_order_lines", "stg_orders_final", "fact_order_item", "dim_customer", "dim_product")
 
-_WRITTEN: dict[tuple, tuple[tuple, str]] = {}  # (application, input, ceiling, table) -> (stamp of the input, path)
-_FACTS: dict[tuple, object] = {}  # what is known of written tables, by their paths
+_WRITTEN: dict[tuple, tuple[tuple, str]] = {}  # (application, input, ceiling, table) -> (stamp of the input, version)
+_FACTS: dict[tuple, object] = {}  # what is known of written tables, by their versions
+_STORES: dict[str, TableStore] = {}  # by application
+
+
+def _store(spark: SparkSession) -> TableStore:
+    app = spark.sparkContext.applicationId
+    if app not in _STORES:
+        _STORES[app] = TableStore(spark, scratch_path(spark, "star"))
+    return _STORES[app]
 
 
 def _file_system(spark: SparkSession, path: str):
@@ -42,14 +51,9 @@ def input_stamp(spark: SparkSession, sf_dir: str) -> tuple:
     return tuple(out)
 
 
-def remove_table(spark: SparkSession, path: str) -> None:
-    where, fs = _file_system(spark, path)
-    fs.delete(where, True)
-
-
 class StarTables(Mapping):
-    """The tables of one input by name; a table is written when it is first taken, and again, in place of the old
-    files, when the input's files have changed."""
+    """The tables of one input by name; a table is written when it is first taken, and again, as a new version, when the
+    input's files have changed. What was made from the old version before reads that to its end."""
 
     def __init__(self, spark: SparkSession, sf_dir: str, ceiling: dt.date):
         self.spark, self.sf_dir, self.ceiling = spark, sf_dir, ceiling
@@ -87,14 +91,11 @@ class StarTables(Mapping):
         if name not in TABLES:
             raise KeyError(name)
         key = (self.spark.sparkContext.applicationId, self.sf_dir, self.ceiling, name)
+        store, table = _store(self.spark), f"{name}-{hashlib.md5(f'{self.sf_dir} {self.ceiling}'.encode()).hexdigest()}"
         if not self.written(name):
-            path = scratch_path(self.spark, name)
-            write_table(self._plan(name), path)
-            old = _WRITTEN.get(key)
-            _WRITTEN[key] = (self.stamp, path)
-            if old:
-                remove_table(self.spark, old[1])
-        return self.spark.read.parquet(_WRITTEN[key][1])
+            store.replace(table, self._plan(name))
+            _WRITTEN[key] = (self.stamp, store.current(table))
+        return store.read(table)
 
 
 def star_tables(spark: SparkSession, sf_dir: str, ceiling: dt.date) -> StarTables:
