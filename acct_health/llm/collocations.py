@@ -358,3 +358,33 @@ def collocations(docs: DataFrame, longest: int = LONGEST, least: int = LEAST, to
 def op12_collocations(spark, sf_dir: str) -> DataFrame:
     """All documents: each language's 2000 best phrases of 2 to 5 words that occur 100 times or more."""
     return collocations(read_table(spark, sf_dir, "documents"))
+
+
+_UPPER = "".join(map(chr, range(65, 91)))
+OP12_SQL = rf"""
+WITH pieces AS (
+    SELECT coalesce(lang, 'und') AS lang, regexp_extract_all(piece, '[^\x20\x09]+') AS w
+    FROM (SELECT lang, unnest(regexp_split_to_array(translate(text, '{_UPPER}', '{_UPPER.lower()}'), '[.,;:!?\x0A-\x0D]')) AS piece FROM documents)
+), grams AS (
+    SELECT lang, k, w[i:i + k - 1] AS words
+    FROM (SELECT lang, w, k, unnest(range(1, len(w) - k + 2)) AS i FROM pieces, (SELECT unnest(range(1, {LONGEST + 1})) AS k))
+), counts AS (
+    SELECT lang, k, words, count(*) AS f FROM grams GROUP BY ALL
+), total AS (
+    SELECT lang, sum(f)::BIGINT AS n FROM counts WHERE k = 1 GROUP BY lang
+), often AS (
+    SELECT lang, k, words, f, ' ' || array_to_string(words, ' ') || ' ' AS padded FROM counts WHERE k > 1 AND f >= {LEAST}
+), kept AS (
+    SELECT * FROM often c WHERE NOT EXISTS (
+        SELECT 1 FROM often o WHERE o.lang = c.lang AND o.k > c.k AND 100 * o.f >= 100 * c.f AND contains(o.padded, c.padded))
+), cuts AS (
+    SELECT kept.lang, kept.words, kept.f AS a, cut, l.f AS l, r.f AS r, n, ((1000::HUGEINT * kept.f * n) // (l.f::HUGEINT * r.f))::BIGINT AS score
+    FROM (SELECT *, unnest(range(1, k)) AS cut FROM kept) kept JOIN total USING (lang)
+    JOIN counts l ON l.lang = kept.lang AND l.words = kept.words[:cut] JOIN counts r ON r.lang = kept.lang AND r.words = kept.words[cut + 1:]
+), best AS (
+    SELECT * FROM cuts QUALIFY row_number() OVER (PARTITION BY lang, words ORDER BY score, cut) = 1
+)
+SELECT lang, rank, phrase, a, l, r, n, score
+FROM (SELECT *, array_to_string(words, ' ') AS phrase, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, array_to_string(words, ' ')) AS rank FROM best)
+WHERE rank <= {TOP}
+"""

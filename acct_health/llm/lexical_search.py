@@ -338,3 +338,30 @@ def ranked_documents(docs: DataFrame, items: DataFrame, k: int = TOP, key: str =
 def op13_lexical_search(spark, sf_dir: str) -> DataFrame:
     """The 20 best of all documents for each benchmark item."""
     return ranked_documents(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark"))
+
+
+_UPPER = "".join(map(chr, range(65, 91)))
+OP13_SQL = rf"""
+WITH d AS (
+    SELECT row, doc_id, unnest(regexp_extract_all(translate(text, '{_UPPER}', '{_UPPER.lower()}'), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS t
+    FROM (SELECT row_number() OVER () AS row, doc_id, text FROM documents)
+), q AS (
+    SELECT item, item_id, t, count(*) AS times
+    FROM (SELECT item, item_id, unnest(regexp_extract_all(translate(text, '{_UPPER}', '{_UPPER.lower()}'), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS t
+          FROM (SELECT row_number() OVER () AS item, item_id, text FROM benchmark))
+    GROUP BY ALL
+), tf AS (
+    SELECT row, doc_id, t, count(*) AS tf FROM d GROUP BY ALL
+), size AS (
+    SELECT row, sum(tf)::BIGINT AS n FROM tf GROUP BY row
+), corpus AS (
+    SELECT count(*) AS docs, sum(n)::BIGINT AS terms FROM size
+), weight AS (
+    SELECT t, floor(1000 * ln((2 * docs + 2) / (2 * count(*) + 1)))::BIGINT AS w FROM tf, corpus GROUP BY t, docs
+), scored AS (
+    SELECT item, item_id, doc_id, row, sum(times * w * ((1000000000 * tf) // (1000 * tf + 12 * (100 - 25 + (25 * n * docs) // terms))))::BIGINT AS score
+    FROM q JOIN weight USING (t) JOIN tf USING (t) JOIN size USING (row), corpus GROUP BY ALL
+)
+SELECT item_id, rank::INTEGER AS rank, doc_id, score
+FROM (SELECT *, row_number() OVER (PARTITION BY item ORDER BY score DESC, doc_id) AS rank FROM scored WHERE score > 0) WHERE rank <= {TOP}
+"""

@@ -353,3 +353,30 @@ def op11_suffix_dedup(spark, sf_dir: str) -> DataFrame:
     found = without_repeats(docs, LENGTH, "none")
     return found.select("doc_id", "n_bytes", "n_removed", "n_spans",
                         F.sha2(F.coalesce("kept", F.lit(b"")), 256).alias("kept_sha256"))
+
+
+# texts as hexadecimal digits, two for each byte
+OP11_SQL = f"""
+WITH d AS (
+    SELECT row_number() OVER () AS row, doc_id, hex(coalesce(text, '')) AS h FROM documents
+), windows AS (
+    SELECT row, pos, md5_number(substr(h, 2 * pos + 1, {2 * LENGTH})) AS digest
+    FROM (SELECT row, h, unnest(range(0, len(h) // 2 - {LENGTH - 1})) AS pos FROM d)
+), hits AS (
+    SELECT row, pos FROM windows WHERE digest IN (SELECT digest FROM windows GROUP BY digest HAVING count(*) > 1)
+), runs AS (
+    SELECT row, pos, sum(new) OVER (PARTITION BY row ORDER BY pos) AS run
+    FROM (SELECT row, pos, (pos - lag(pos, 1, -{LENGTH + 1}) OVER (PARTITION BY row ORDER BY pos) > {LENGTH})::INT AS new FROM hits)
+), spans AS (
+    SELECT row, run, min(pos) AS low, max(pos) + {LENGTH} AS high FROM runs GROUP BY row, run
+), cut AS (
+    SELECT row, low, high, lag(high, 1, 0) OVER (PARTITION BY row ORDER BY low) AS since FROM spans
+), kept AS (
+    SELECT row, sum(high - low)::BIGINT AS n_removed, count(*) AS n_spans, max(high) AS last,
+        string_agg(substr(h, 2 * since + 1, 2 * (low - since)), '' ORDER BY low) AS head
+    FROM cut JOIN d USING (row) GROUP BY row
+)
+SELECT doc_id, (len(h) // 2)::BIGINT AS n_bytes, coalesce(n_removed, 0)::BIGINT AS n_removed, coalesce(n_spans, 0)::BIGINT AS n_spans,
+    sha256(unhex(CASE WHEN n_spans IS NULL THEN h ELSE head || substr(h, 2 * last + 1) END)) AS kept_sha256
+FROM d LEFT JOIN kept USING (row)
+"""
