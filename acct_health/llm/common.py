@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import contextlib
+import ctypes
 import gc
 import os
 import tempfile
@@ -9,6 +11,7 @@ import uuid
 import zipfile
 from collections.abc import Callable
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
@@ -69,12 +72,18 @@ def ship(spark: SparkSession) -> None:
 _KEPT: dict[str, Callable[[], None]] = {}  # of this Python worker: how to forget what an operator remembers
 
 
-def only_memory_of(operator: str, forget: Callable[[], None]) -> None:
-    """Spark uses a Python worker again for later stages. What other operators remember there for speed goes, so that one operator's
-    bound is the worker's."""
-    for name in [n for n in _KEPT if n != operator]:
+def only_memory_of(operator: str, forget: Callable[[], None] = lambda: None) -> None:
+    """Spark uses a Python worker again for later stages. What other operators remember there for speed goes, back to the machine, so that one
+    operator's bound is the worker's."""
+    others = [n for n in _KEPT if n != operator]
+    for name in others:
         _KEPT.pop(name)()
     _KEPT[operator] = forget
+    if others:
+        gc.collect()
+        pa.default_memory_pool().release_unused()
+        with contextlib.suppress(OSError, AttributeError):  # the C library's own, where there is one
+            ctypes.CDLL("libc.so.6").malloc_trim(0)
 
 
 def map_arrow(df: DataFrame, work, schema: str | StructType) -> DataFrame:

@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from acct_health.llm.common import map_arrow, read_table
+from acct_health.llm.common import map_arrow, only_memory_of, read_table
 
 UNDETERMINED = "und"
 PER_LANGUAGE = 256  # learned texts of each language
@@ -184,6 +184,7 @@ def identified(docs: DataFrame, model: Model, text: str = "text", pred: str = "l
     at = kept.columns.index(text)
 
     def work(batches):
+        only_memory_of("language")
         for batch in batches:
             langs, scores = [], []
             for i in range(0, batch.num_rows, 1024):

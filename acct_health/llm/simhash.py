@@ -30,7 +30,7 @@ import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from acct_health.llm.common import map_arrow, read_table, written
+from acct_health.llm.common import map_arrow, only_memory_of, read_table, written
 from acct_health.llm.components import components
 
 SEED = 42
@@ -79,6 +79,7 @@ def fingerprint(text: bytes | None, n: int = 3) -> int:
 def fingerprints(docs: DataFrame, shingle: int = 3, key: str = "doc_id", text: str = "text", digest: bool = False) -> DataFrame:
     """(doc_id, fp): the fingerprint of each row as a signed long; with ``digest`` also the SHA-256 of its text."""
     def work(batches):
+        only_memory_of("simhash")
         for batch in batches:
             fps = [fingerprint(t, shingle) for t in batch.column(1).cast(pa.large_binary()).to_pylist()]
             yield pa.record_batch([batch.column(0), pa.array(np.array(fps, np.uint64).view(np.int64)), *batch.columns[2:]],
@@ -94,6 +95,7 @@ def fingerprints(docs: DataFrame, shingle: int = 3, key: str = "doc_id", text: s
 def bit_counts(fps: DataFrame) -> tuple[int, np.ndarray]:
     """The number of fingerprints, and how often bits i and j are both set, over all rows."""
     def work(batches):
+        only_memory_of("simhash")
         total, n = np.zeros((64, 64)), 0
         for batch in batches:
             values = batch.column(0).to_numpy(zero_copy_only=False)
@@ -225,6 +227,7 @@ def links(fps: DataFrame, distance: int = 3, block: int = 2048) -> DataFrame:
     bucket = ["part", "value", "first", "second"]
 
     def work(batches):
+        only_memory_of("simhash")
         held: list[np.ndarray] = []  # columns of the bucket that the batches so far end in
 
         def columns(batch):
