@@ -208,7 +208,8 @@ def _phrase(data: bytes, begin: np.ndarray, end: np.ndarray, first: int, last: i
 
 
 def paths(w: Words, h1: np.ndarray, h2: np.ndarray, pair: np.ndarray, longest: int) -> tuple[list, list]:
-    """((first word, last word, weight) of the compacted paths, (first word, last word, count) of the distinct run ends).
+    """((first word, last word, weight, ends) of the compacted paths, ends: how often a run ends with the path, and (first word, last word, count)
+    of the distinct ends of runs that are no edge long.
 
     pair[i]: words i and i + 1 are in a run. An edge is ``longest`` words of a run."""
     n, out, tails, both = len(h1), [], [], [h1, h2]
@@ -232,9 +233,9 @@ def paths(w: Words, h1: np.ndarray, h2: np.ndarray, pair: np.ndarray, longest: i
         follows = np.concatenate([edge[1:] == edge[:-1] + 1, [False]])
         after = np.where(follows, np.append(which[1:], -1), -1)
         before = np.where(np.concatenate([[False], follows[:-1]]), np.concatenate([[-1], which[:-1]]), -1)
-        ends = [(np.minimum.reduceat(x[order], first), np.maximum.reduceat(x[order], first)) for x in (after, before)]
-        one_after = np.where(ends[0][0] == ends[0][1], ends[0][0], -1)
-        one_before = np.where(ends[1][0] == ends[1][1], ends[1][0], -1)
+        around = [(np.minimum.reduceat(x[order], first), np.maximum.reduceat(x[order], first)) for x in (after, before)]
+        one_after = np.where(around[0][0] == around[0][1], around[0][0], -1)
+        one_before = np.where(around[1][0] == around[1][1], around[1][0], -1)
         unary = (one_after >= 0) & (one_before[one_after] == np.arange(len(first)))  # the node behind the edge
         loose = np.ones(len(first), bool)
         loose[one_after[unary]] = False  # edges that begin a path
@@ -242,12 +243,16 @@ def paths(w: Words, h1: np.ndarray, h2: np.ndarray, pair: np.ndarray, longest: i
         stops = np.flatnonzero(~unary[which])
         heads = order[first[loose]]
         last = stops[np.searchsorted(stops, heads)]
-        out = list(zip(edge[heads].tolist(), (edge[last] + longest - 1).tolist(), count[loose].tolist()))
     stop = np.flatnonzero(pair & ~np.append(triple, False))
     if w.cut:
         stop = stop[stop < n - 2]
     if w.fresh:
         stop = stop[stop + 1 >= w.fresh - 1]
+    whole = (stop + 2 - start[stop] >= longest) & (stop + 1 >= w.fresh)  # those that end with an edge
+    if len(edge):
+        ends = np.bincount(which[np.searchsorted(edge, stop[whole] + 2 - longest)], minlength=len(first))
+        out = list(zip(edge[heads].tolist(), (edge[last] + longest - 1).tolist(), count[loose].tolist(), ends[which[last]].tolist()))
+    stop = stop[~whole]
     if len(stop):
         size = np.minimum(stop + 2 - start[stop], longest - 1)
         keys = [size.astype(np.uint64), size.astype(np.uint64)]
@@ -260,8 +265,9 @@ def paths(w: Words, h1: np.ndarray, h2: np.ndarray, pair: np.ndarray, longest: i
 
 
 def path_counts(texts: DataFrame, words, pairs, longest: int = LONGEST) -> DataFrame:
-    """(lang, phrase, size, n): compacted paths of ``longest`` words or more by their weight, and ends of runs, of fewer words."""
-    schema = pa.schema([("lang", pa.string()), ("phrase", pa.binary()), ("size", pa.int32()), ("n", pa.int64())])
+    """(lang, phrase, size, n, ends): compacted paths of ``longest`` words or more by their weight and how often a run ends with them, and ends of
+    other runs, of fewer words."""
+    schema = pa.schema([("lang", pa.string()), ("phrase", pa.binary()), ("size", pa.int32()), ("n", pa.int64()), ("ends", pa.int64())])
 
     def work(batches):
         reader, found = Reader(), {}
@@ -271,16 +277,17 @@ def path_counts(texts: DataFrame, words, pairs, longest: int = LONGEST) -> DataF
                 pair = w.joined[1:] & often[1:] & often[:-1] & _bit(pairs.value, pair_hash(h1))
                 whole, begin, end, row = w.data.tobytes(), w.begin, w.end, w.row
                 for some in paths(w, h1, h2, pair, longest):
-                    for first, last, n in some:
+                    for first, last, n, *ends in some:
                         key = (langs[row[first]], _phrase(whole, begin, end, first, last))
-                        held = found.get(key)
-                        found[key] = (last - first + 1, n + (held[1] if held else 0))
+                        _, n_held, ends_held = found.get(key, (0, 0, 0))
+                        found[key] = (last - first + 1, n + n_held, sum(ends) + ends_held)
                 if len(found) >= PATHS:
                     yield from sliced(_counted(found, schema))
         yield from sliced(_counted(found, schema))
 
-    rows = map_arrow(texts, work, "lang string, phrase binary, size int, n long")
-    return rows.groupBy("lang", F.col("phrase").cast("string").alias("phrase")).agg(F.first("size").alias("size"), F.sum("n").alias("n"))
+    rows = map_arrow(texts, work, "lang string, phrase binary, size int, n long, ends long")
+    return rows.groupBy("lang", F.col("phrase").cast("string").alias("phrase")).agg(
+        F.first("size").alias("size"), F.sum("n").alias("n"), F.sum("ends").alias("ends"))
 
 
 def phrase_counts(texts: DataFrame, longest: int = LONGEST, least: int = LEAST, bits: int = BITS) -> tuple[DataFrame, DataFrame]:
@@ -301,7 +308,9 @@ def phrase_counts(texts: DataFrame, longest: int = LONGEST, least: int = LEAST,
              .unionByName(found.where(F.col("size") > longest).select("lang", "n", end(-longest)))
              .unionByName(found.where(F.col("size") > longest + 1).select("lang", "n", F.explode(inner).alias("phrase"))))
     level = written(level.groupBy("lang", "phrase").agg(F.sum("n").alias("n")), f"phrases-{longest}", "zstd")
-    used, tails, kept = [words, found, level], found.where(F.col("size") < longest), [level.where(F.col("n") >= least).withColumn("size", F.lit(longest))]
+    tails = found.where(F.col("size") < longest).select("lang", "phrase", "size", "n").unionByName(
+        found.where((F.col("size") >= longest) & (F.col("ends") > 0)).select("lang", end(1 - longest), F.lit(longest - 1).alias("size"), F.col("ends").alias("n")))
+    used, kept = [words, found, level], [level.where(F.col("n") >= least).withColumn("size", F.lit(longest))]
     for size in range(longest - 1, 1, -1):
         flow = level.select("lang", F.substring_index("phrase", " ", size).alias("phrase"), "n")
         ends = tails.where(F.col("size") >= size).select("lang", F.substring_index("phrase", " ", -size).alias("phrase"), "n")

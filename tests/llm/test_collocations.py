@@ -88,8 +88,10 @@ def test_long_texts_in_parts(spark, monkeypatch):
             h1, h2 = hashes(p.data, p.begin, p.end)
             some, tails = C.paths(p, h1, h2, p.joined[1:], 5)
             text = p.data.tobytes()
-            for first, last, n in some:
+            for first, last, n, stops in some:
                 w = C._phrase(text, p.begin, p.end, first, last).split()
+                if stops:
+                    got["end", *w[-4:]] += stops
                 for i in range(len(w) - 4):
                     got[tuple(w[i:i + 5])] += n
             for first, last, n in tails:
@@ -103,5 +105,5 @@ def test_paths_are_compacted():
     data, starts, ends = scan.flat(pa.array(["one two three four five six seven eight nine ten. " * 3]))
     (p,) = C.words_of(data, starts, ends)
     some, tails = C.paths(p, *scan.SpanHash()(p.data, p.begin, p.end), p.joined[1:], 5)
-    assert [(last - first + 1, n) for first, last, n in some] == [(10, 3)] and [n for *_, n in tails] == [3]
+    assert [(last - first + 1, n, stops) for first, last, n, stops in some] == [(10, 3, 3)] and not tails
     assert np.array_equal(p.joined[:10], [False] + [True] * 9)
