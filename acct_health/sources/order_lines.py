@@ -8,9 +8,8 @@ cleaning work: all parsing, deduplication and canonicalisation happen in the
 cleaning plan. The same rules are written independently as DuckDB SQL for the oracle.
 
 Scale: one pass over lineitem; lineitem ⋈ orders is a shuffle join on the order key;
-customer / part / supplier joins are left to Catalyst's size-based strategy (AQE may
-broadcast them when their measured size is small); nation (25 rows) and region
-(5 rows) are broadcast — both are fixed-size by the TPC-H schema. Exact duplicate
+the joins of customer, part, supplier, nation and region are left to Catalyst's size-based
+strategy (it broadcasts those whose size is small). Exact duplicate
 rows are produced by ``explode`` in the same pass, not by a second scan + union.
 """
 
