@@ -6,7 +6,7 @@ import tempfile
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from acct_health.operators.dedupe import drop_exact_duplicates, keep_earliest_per_key
+from acct_health.operators.dedupe import drop_exact_duplicates, keep_earliest_per_key, pack_texts, unpack_texts
 from acct_health.operators.dominant import dominant_value
 from acct_health.operators.latest import latest_non_null
 from acct_health.operators.ntile import ntile_by_rank, ntile_global
@@ -219,3 +219,36 @@ def test_month_sets(spark):
     got = sorted(tuple(r)[:4] for r in mart_cohort(df, ceiling).collect())
     assert got == want
     assert mart_cohort(df.where("order_date_clean is null"), ceiling).count() == 0
+
+
+def test_packed_texts_sort_as_their_columns_and_come_back(spark):
+    values = [None, "", "a", "ab", "\x00", "\x01", "\x02", "\x00\x01", "\x01\x00", "\x01\x02", "a\x00", "a\x01b", "é", "\U0001F600"]
+    rows = [(i, i % 3 or None, x, y, i % 2, z) for i, (x, y, z) in enumerate(
+        (x, y, z) for x in values for y in values for z in (None, "", "z"))]
+    df = spark.createDataFrame(rows, "i int, k int, a string, `b c` string, n int, z string")
+    packed = df.select("*", pack_texts(["a", "b c", "z"]).alias("p"))
+    plain = [r.i for r in df.orderBy(F.asc_nulls_first("a"), F.asc_nulls_first("`b c`"), F.asc_nulls_first("z")).collect()]
+    assert [r.i for r in packed.orderBy("p").collect()] == plain
+    back = unpack_texts(packed.select("i", "k", "n", "p"), "p", ["a", "b c", "z"]).select(*[f"`{c}`" for c in df.columns])
+    assert sorted(map(tuple, back.collect())) == sorted(rows, key=lambda r: r[0])
+    for tie in (["a", "b c", "n", "z", "i"], ["n", "z", "b c", "a"]):
+        keep = lambda pack: sorted(map(tuple, keep_earliest_per_key(df, "k", [F.col("n").desc()], tie, pack=pack).collect()), key=str)
+        assert keep(True) == keep(False)
+
+
+def test_cleaning_shuffles_one_text_for_all_raw_columns(spark):
+    from acct_health.plans.cleaning import clean_orders
+    from acct_health.sources.order_lines import order_lines
+    raw = order_lines(spark, "/root/testdata/sf0.001")
+    plan = clean_orders(spark.createDataFrame([], raw.schema))._jdf.queryExecution().executedPlan().toString()
+    sorts = [line for line in plan.splitlines() if " Sort [" in line]
+    assert sorts and all("__pack" in line and "order_country" not in line for line in sorts)
+
+
+def test_the_methods_limit_holds_while_writing_only(spark):
+    from acct_health.plans.warehouse import METHOD_BYTES, short_methods
+    name = "spark.sql.codegen.hugeMethodLimit"
+    before = spark.conf.get(name)
+    with short_methods(spark):
+        assert int(spark.conf.get(name)) <= METHOD_BYTES
+    assert spark.conf.get(name) == before
