@@ -16,6 +16,7 @@ any run of ids is read without the blocks before it.
 from __future__ import annotations
 
 import os
+import re
 import struct
 import sys
 import zlib
@@ -35,6 +36,7 @@ PERCENTILE = 0.9
 HEAD = struct.Struct("<IHBH")
 SEGMENT_IDS = 1 << 16
 REMEMBERED = 1_200_000  # units and their parts that a worker keeps
+JOINS = re.compile(r" \S(?:.*\S)?\Z", re.DOTALL)  # texts in a row of which each is a unit
 
 FILE_SCHEMA = ("part int, segment long, ids long, payload binary, block_starts array<long>, "
                "doc_ids array<long>, doc_tokens array<long>")
@@ -54,13 +56,15 @@ def pack(ids: np.ndarray) -> tuple[bytes, np.ndarray]:
     padded = padded.reshape(blocks, BLOCK)
     low = padded.min(axis=1, keepdims=True) if blocks else padded[:, :1]
     offset = padded - low
-    lengths = np.frexp(offset.astype(np.float64))[1]
-    ordered = np.sort(np.where(np.arange(BLOCK) < sizes[:, None], lengths, 99), axis=1)
+    lengths = np.frexp(offset.astype(np.float64))[1].astype(np.int8)
+    ordered = np.sort(np.where(np.arange(BLOCK) < sizes[:, None], lengths, np.int8(99)), axis=1)
     width = ordered[np.arange(blocks), np.ceil(sizes * PERCENTILE).astype(int) - 1] if blocks else np.zeros(0, int)
     bodies: list[bytes] = [b""] * blocks
     for w in np.unique(width).tolist():
         at = np.flatnonzero(width == w)
-        bits = ((offset[at][:, :, None] >> np.arange(w)) & 1).astype(np.uint8).reshape(len(at), BLOCK * w)
+        kind = np.dtype("<u2" if w <= 16 else "<u4")
+        bits = np.unpackbits(offset[at].astype(kind).view(np.uint8).reshape(-1), bitorder="little")
+        bits = bits.reshape(len(at), BLOCK, 8 * kind.itemsize)[:, :, :w].reshape(len(at), BLOCK * w)
         for i, row in zip(at.tolist(), np.packbits(bits, axis=1, bitorder="little")):
             bodies[i] = row[:-(-int(sizes[i]) * w // 8)].tobytes()
     out, starts, at = [], np.zeros(blocks, np.int64), 0
@@ -93,9 +97,10 @@ def unpack(payload: bytes, starts: np.ndarray, first: int = 0, end: int | None =
             size = -(-heads[k][1] * w // 8)
             packed[j, :size] = np.frombuffer(payload, np.uint8, size, int(starts[chosen[k]]) + HEAD.size)
         bits = np.unpackbits(packed, axis=1, bitorder="little").reshape(len(ks), BLOCK, w)
-        whole = np.zeros((len(ks), BLOCK, 32), np.uint8)
+        kind = np.dtype("<u2" if w <= 16 else "<u4")
+        whole = np.zeros((len(ks), BLOCK, 8 * kind.itemsize), np.uint8)
         whole[:, :, :w] = bits
-        values[ks] = np.packbits(whole, axis=2, bitorder="little").view("<u4")[:, :, 0]
+        values[ks] = np.packbits(whole.reshape(-1), bitorder="little").view(kind).reshape(len(ks), BLOCK)
     for k, (low, n, w, odd) in enumerate(heads):
         if odd:
             at = int(starts[chosen[k]]) + HEAD.size + -(-n * w // 8)
@@ -109,23 +114,58 @@ def unpack(payload: bytes, starts: np.ndarray, first: int = 0, end: int | None =
 _MEMORY: dict[str, Memory] = {}  # of this Python worker
 
 
-def tokenizers_memory(path: str) -> Memory:
-    """Unit -> its ids as little-endian unsigned 32-bit integers, by the tokenizers library."""
-    if path not in _MEMORY:
-        os.environ["TOKENIZERS_PARALLELISM"] = "false"  # Spark has a worker for each core already
-        from tokenizers import Tokenizer
+class Library:
+    """The tokenizers library's ids of parts of texts, as little-endian unsigned 32-bit integers."""
 
-        library = Tokenizer.from_file(path)
+    def __init__(self, path: str):
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"  # Spark has a worker for each core already
+        from tokenizers import Tokenizer, pre_tokenizers
+
+        self.library = Tokenizer.from_file(path)
+        self.lengths = None  # UTF-8 bytes that each id stands for, where the vocabulary tells them
+        if self.library.normalizer is None and self.library.model.__class__.__name__ == "BPE":
+            vocabulary, added = self.library.get_vocab(with_added_tokens=False), self.library.get_added_tokens_decoder()
+            if set("".join(vocabulary)) <= set(pre_tokenizers.ByteLevel.alphabet()).union(*[t.content for t in added.values()]):
+                self.lengths = np.zeros(1 + max([*vocabulary.values(), *added]), np.int64)
+                self.lengths[list(vocabulary.values())] = list(map(len, vocabulary))
+                for i, token in added.items():
+                    self.lengths[i] = len(token.content.encode())
+
+    def alone(self, texts: list[str]) -> list[bytes]:
+        """Each text by itself."""
+        ids = [array("I", e.ids) for e in self.library.encode_batch_fast(texts, add_special_tokens=False)]
+        if sys.byteorder == "big":
+            for x in ids:
+                x.byteswap()
+        return [x.tobytes() for x in ids]
+
+    def together(self, texts: list[str]) -> list[bytes]:
+        """Texts that each begin at a unit boundary, as one; the ids are dealt by the bytes that they stand for. Should a token
+        go over a boundary after all, each text by itself."""
+        ids = np.array(self.library.encode_batch_fast(["".join(texts)], add_special_tokens=False)[0].ids, "<u4")
+        ends, wanted = np.cumsum(self.lengths[ids]), np.cumsum([len(t.encode()) for t in texts])
+        at = np.searchsorted(ends, wanted)
+        if not len(ends) or ends[-1] != wanted[-1] or (ends[at] != wanted).any():
+            return self.alone(texts)
+        raw, bounds = ids.tobytes(), (4 * (at + 1)).tolist()
+        return [raw[a:b] for a, b in zip([0, *bounds], bounds)]
+
+    def encode(self, texts: list[str]) -> list[bytes]:
+        out: list[bytes] = [b""] * len(texts)
+        joins = [i for i, t in enumerate(texts) if JOINS.match(t)] if self.lengths is not None else []
+        rest = sorted(set(range(len(texts))).difference(joins))
+        for which, by in ((joins, self.together), (rest, self.alone)):
+            for at in range(0, len(which), 8192):
+                some = which[at:at + 8192]
+                for i, x in zip(some, by([texts[i] for i in some])):
+                    out[i] = x
+        return out
 
-        def encode(texts: list[str]) -> list[bytes]:
-            ids = [array("I", e.ids) for at in range(0, len(texts), 8192)
-                   for e in library.encode_batch_fast(texts[at:at + 8192], add_special_tokens=False)]
-            if sys.byteorder == "big":
-                for x in ids:
-                    x.byteswap()
-            return [x.tobytes() for x in ids]
 
-        _MEMORY[path] = Memory(encode, REMEMBERED)
+def tokenizers_memory(path: str) -> Memory:
+    """Unit -> its ids as little-endian unsigned 32-bit integers, by the tokenizers library."""
+    if path not in _MEMORY:
+        _MEMORY[path] = Memory(Library(path).encode, REMEMBERED)
     return _MEMORY[path]
 
 

@@ -73,14 +73,17 @@ class Memory:
                 known.clear()
         cut = [units(t) for t in texts]
         heads = list({u[0] for u in cut}.difference(self.first))
-        tails: set[str] = set()
-        for u in cut:
-            tails.update(u[1:])
-        rest = list(tails.difference(self.later))
+        # most units are known: those are looked up once, and only where one is missing again
+        out = [list(map(self.later.get, u)) for u in cut]
+        rest = list({unit for u, values in zip(cut, out) if None in values
+                     for unit, value in zip(u[1:], values[1:]) if value is None})
         self._learn(self.first, heads, heads)
         self._learn(self.later, rest, [" " + u for u in rest])
-        later = self.later.__getitem__
-        return [[self.first[u[0]], *map(later, u[1:])] for u in cut]
+        for u, values in zip(cut, out):
+            values[0] = self.first[u[0]]
+            if None in values:
+                values[:] = [values[0], *map(self.later.__getitem__, u[1:])]
+        return out
 
 
 def grouped(texts: list[str], most: int = 1 << 18) -> Iterator[list[tuple[int, str]]]:

@@ -100,3 +100,37 @@ def test_counts_widen_without_white_space(spark):
     docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
     got = {r["doc_id"]: r["n_tokens"] for r in token_counts.token_counts(docs, WORD, 64, 8).collect()}
     assert got == {i: len(library.encode(t, add_special_tokens=False).ids) for i, t in enumerate(texts)}
+
+
+def test_words_are_encoded_together():
+    library = token_binary.Library(BYTE)
+    words = [f" {a}{b}" for a in ["alpha", "Häuser", "x-1", "你好", "<|endoftext|>", "it's"] for b in range(300)] + random_texts(300)
+    asked, whole = [], library.library
+
+    class Counted:
+        def encode_batch_fast(self, texts, **options):
+            asked.extend(texts)
+            return whole.encode_batch_fast(texts, **options)
+
+    library.library = Counted()
+    assert [np.frombuffer(x, "<u4").tolist() for x in library.encode(words)] == [whole.encode(w, add_special_tokens=False).ids for w in words]
+    assert len(asked) < 400  # one for all that begin with a space, before one for each
+
+
+def test_words_are_encoded_alone_where_a_token_goes_over_their_ends(tmp_path):
+    whole = Tokenizer.from_file(BYTE)
+    whole.add_special_tokens(["one two"])
+    whole.save(str(tmp_path / "t.json"))
+    library = token_binary.Library(str(tmp_path / "t.json"))
+    words = [" one", " two", " three"]
+    assert [np.frombuffer(x, "<u4").tolist() for x in library.encode(words)] == [whole.encode(w, add_special_tokens=False).ids for w in words]
+
+
+def test_queries_of_the_coder_are_small(library, monkeypatch):
+    coder, sizes = bpe.Coder(MULTI, P.PATTERN), []
+    ask = coder._ask
+    monkeypatch.setattr(coder, "_ask", lambda name, rows, query: sizes.append(rows.nbytes) or ask(name, rows, query))
+    text = "one two " * 200_000
+    ids = coder.encode([text])
+    assert ids[0].tolist() == library.encode_ordinary(text) and coder.decode(ids) == [text.encode()]
+    assert max(sizes) <= 2 << 20  # 12 bytes a token
