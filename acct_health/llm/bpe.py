@@ -29,9 +29,9 @@ from pyspark.sql import functions as F
 from acct_health.llm.common import map_arrow, only_memory_of, read_table
 from acct_health.llm.units import Memory, grouped
 
-PIECE_BYTES = 1 << 20  # bytes of pieces in one query
-DECODE_TOKENS = 1 << 18  # tokens in one query
-GROUP = 1 << 22  # characters whose new units are contracted together
+PIECE_BYTES = 1 << 18  # bytes of pieces in one query
+DECODE_TOKENS = 1 << 16  # tokens in one query
+GROUP = 1 << 20  # characters whose new units are contracted together
 REMEMBERED = 1_500_000  # units that a worker keeps, some 200 bytes each
 ROWS = 2048  # documents encoded or decoded together
 

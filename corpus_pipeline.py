@@ -38,7 +38,7 @@ def personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """doc_id, n_tokens, ids_sha256, decoded_sha256 of each document."""
-    return round_trip(docs, remembered=200_000)  # workers share the executor with a heap that earlier stages have grown
+    return round_trip(docs, remembered=100_000)  # workers share the executor with a heap that earlier stages have grown
 
 
 STAGES = [
