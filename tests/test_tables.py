@@ -1,10 +1,12 @@
 """Tables that are replaced while they are read."""
+import datetime as dt
 import os
 import tempfile
 
 import pytest
 from pyspark.sql import functions as F
 
+from acct_health.plans import warehouse
 from acct_health.sources.tables import TableStore
 
 
@@ -66,3 +68,25 @@ def test_two_commits_at_once_and_open_versions(spark, root):
     assert versions(root, "t") == ["open", "zzzz"]
     store.vacuum("t", open_hours=-1)
     assert versions(root, "t") == ["zzzz"]
+
+
+def test_tasks_that_write_star_tables_stay_small(spark, monkeypatch):
+    names = ("spark.sql.shuffle.partitions", "spark.sql.adaptive.advisoryPartitionSizeInBytes")
+    before = [spark.conf.get(n) for n in names]
+    within = []
+    monkeypatch.setattr(TableStore, "replace", lambda store, name, df, **k: within.append([int(spark.conf.get(n)) for n in names]))
+    monkeypatch.setattr(TableStore, "current", lambda store, name: "version")
+    monkeypatch.setattr(TableStore, "read", lambda store, name: None)
+    for size in (1, 100 << 20, 1000 << 20):
+        tables = warehouse.StarTables(spark, "/root/testdata/sf0.001", dt.date(2001, 8, 1))
+        tables.sf_dir, tables.stamp = f"/root/testdata/sf0.001?{size}", (("file", size, 0),)
+        monkeypatch.setattr(tables, "_plan", lambda name: None)
+        tables["raw_order_lines"]
+    assert [n for n, _ in within] == [int(before[0]), 50, 500] and {b for _, b in within} == {4 << 20}
+    assert [spark.conf.get(n) for n in names] == before
+    for size in ("16k", "1m"):  # a smaller value of the session holds
+        spark.conf.set(names[1], size)
+        with warehouse.small_partitions(spark, 1):
+            assert int(spark.conf.get(names[1])) == {"16k": 16 << 10, "1m": 1 << 20}[size]
+        assert spark.conf.get(names[1]) == size
+    spark.conf.set(names[1], before[1])
