@@ -120,10 +120,12 @@ class Coder:
         for p in set().union(*split):
             # a piece that is an entry itself is that entry, as the library has it
             rank = self.ranks.get(p.encode())
-            if rank is None:
+            value = self.memory.known(p) if rank is None else rank.to_bytes(4, "little")
+            # what was kept is that of the text alone, which must be this piece alone
+            if value is None or rank is None and self.find(p) != [p]:
                 new.append(p)
             else:
-                ids[p] = rank.to_bytes(4, "little")
+                ids[p] = value
         ids.update(zip(new, self.contract([p.encode() for p in new])))
         return [b"".join(map(ids.__getitem__, ps)) for ps in split]
 

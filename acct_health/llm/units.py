@@ -54,10 +54,21 @@ class Memory:
         self.later: dict[str, bytes] = {}
         self.parts: dict[str, bytes] = {}
 
+    def known(self, text: str) -> bytes | None:
+        """What was kept for ``text`` under any name, so that nothing is encoded again where it comes as another kind of unit; else nothing."""
+        value = self.later.get(text[1:]) if text[:1] == " " else self.first.get(text)
+        return self.parts.get(text) if value is None else value
+
     def _learn(self, known: dict[str, bytes], names: list[str], texts: list[str]) -> None:
         cut = [parts(t) for t in texts]
         # what is cut shares its parts with others; what is not is kept under its name alone
-        new = {p for ps in cut if len(ps) > 1 for p in ps}.difference(self.parts)
+        new = set()
+        for p in {p for ps in cut if len(ps) > 1 for p in ps}.difference(self.parts):
+            value = self.known(p)
+            if value is None:
+                new.add(p)
+            else:
+                self.parts[p] = value
         whole = [ps[0] for ps in cut if len(ps) == 1 and ps[0] not in self.parts and ps[0] not in new]
         new = list(new)
         got = self.encode(new + whole)

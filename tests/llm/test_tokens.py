@@ -134,3 +134,18 @@ def test_queries_of_the_coder_are_small(library, monkeypatch):
     ids = coder.encode([text])
     assert ids[0].tolist() == library.encode_ordinary(text) and coder.decode(ids) == [text.encode()]
     assert max(sizes) <= 2 << 20  # 12 bytes a token
+
+
+def test_a_unit_known_under_another_kind_is_not_encoded_again():
+    from acct_health.llm.units import Memory
+
+    asked = []
+
+    def encode(texts):
+        asked.extend(texts)
+        return [f"<{t}>".encode() for t in texts]
+
+    memory = Memory(encode)
+    assert memory.values(["alpha beta gamma"]) == [[b"<alpha>", b"< beta>", b"< gamma>"]]
+    assert memory.values(["alpha, beta. gamma\nalpha"]) == [[b"<alpha><,>", b"< beta><.>", b"< gamma><\n><alpha>"]]
+    assert len(asked) == len(set(asked))
