@@ -252,3 +252,28 @@ def test_the_methods_limit_holds_while_writing_only(spark):
     with short_methods(spark):
         assert int(spark.conf.get(name)) <= METHOD_BYTES
     assert spark.conf.get(name) == before
+
+
+def test_keep_earliest_by_lead_is_keep_earliest(spark):
+    import random
+
+    from acct_health.operators.dedupe import keep_earliest_by_lead
+    r = random.Random(5)
+    some = lambda *values: r.choice([None, *values])
+    rows = [(some("a", "b", "c", "d", *map(str, range(150))), some(1, 2), some(1, 2, 3), some("x", "y", ""), some("p", "q\x00", "\x01")) for _ in range(500)]
+    df = spark.createDataFrame(rows + rows[:40], "k string, day int, id long, t string, u string").repartition(3)
+    order, ties = [F.col("day").asc_nulls_last()], ["id", "t", "u"]
+    want = sorted(map(repr, keep_earliest_per_key(df, "k", order, tie_break=ties).collect()))
+    for lead, bits in ((0, 8), (1, 7), (1, 20), (3, 12)):
+        assert sorted(map(repr, keep_earliest_by_lead(df, "k", order, ties, lead, bits).collect())) == want
+
+
+def test_a_part_renders_few_columns_of_most_lines(spark):
+    import datetime as dt
+
+    from acct_health.plans.warehouse import star_tables
+    plan = star_tables(spark, "/root/testdata/sf0.001", dt.date(2001, 8, 1))._lines().select("order_region_clean")
+    sorts = [line for line in plan._jdf.queryExecution().executedPlan().toString().splitlines() if " Sort [__key" in line]
+    assert sorts and any("__pack" not in line for line in sorts)  # lines that differ in their ids are not packed
+    windows = [line for line in plan._jdf.queryExecution().optimizedPlan().toString().splitlines() if " Window [" in line]
+    assert len(windows) == 2

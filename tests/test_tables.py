@@ -90,3 +90,24 @@ def test_tasks_that_write_star_tables_stay_small(spark, monkeypatch):
             assert int(spark.conf.get(names[1])) == {"16k": 16 << 10, "1m": 1 << 20}[size]
         assert spark.conf.get(names[1]) == size
     spark.conf.set(names[1], before[1])
+
+
+def test_few_parts_are_written_before_whole_tables(spark, tmp_path):
+    import shutil
+
+    sf = shutil.copytree("/root/testdata/sf0.001", tmp_path / "sf")
+    star = warehouse.StarTables(spark, str(sf), dt.date(2001, 8, 1))
+    stg, fact, customers = star.parts(("order_item_id",), ("customer_id", "is_order_date_missing"), ("dim_customer",))
+    day = star.part("fact_order_item", ("order_date_key", "sales"))
+    assert not any(star.written(t) for t in star) and day.columns == ["order_date_key", "sales"]
+    assert star.part("fact_order_item", ("order_date_key", "sales")).inputFiles() == day.inputFiles()
+    market = star.part("stg_orders_final", ("market_clean",))
+    assert market.columns == ["market_clean"] or star.written("stg_orders_final")
+    whole = star["fact_order_item"]
+    rows = lambda df: sorted(map(repr, df.collect()))
+    assert rows(day) == rows(whole.select("order_date_key", "sales"))
+    assert rows(fact) == rows(whole.select("customer_id", "is_order_date_missing"))
+    assert rows(stg.select("order_item_id")) == rows(star["stg_orders_final"].select("order_item_id"))
+    assert rows(customers) == rows(star["dim_customer"])
+    assert rows(market.select("market_clean")) == rows(star["stg_orders_final"].select("market_clean"))
+    assert "sales_clean" in star.part("stg_orders_final", ("sales_clean",)).columns and star.written("stg_orders_final")
