@@ -1,6 +1,6 @@
 import pytest
 
-SF = "/root/testdata/sf0.001"
+SF = SF_SMALL = "/root/testdata/sf0.001"  # the second name for tests beside this folder that take this file for theirs
 
 
 @pytest.fixture(scope="session")
