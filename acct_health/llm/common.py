@@ -9,7 +9,7 @@ import os
 import tempfile
 import uuid
 import zipfile
-from collections.abc import Callable
+from collections.abc import Callable, Iterator, Mapping
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window
@@ -24,11 +24,12 @@ def scratch(spark: SparkSession, tag: str) -> str:
     return f"{ensure_checkpoint_dir(spark).rstrip('/')}/llm/{tag}-{uuid.uuid4().hex}"
 
 
-def written(df: DataFrame, tag: str, compression: str = "snappy") -> DataFrame:
+def written(df: DataFrame, tag: str, compression: str = "snappy", rows_per_file: int = 0) -> DataFrame:
     """Write ``df`` as Parquet in the shared folder and read it back: the lineage ends there,
-    so the loss of an executor costs a re-read, not the work before."""
+    so the loss of an executor costs a re-read, not the work before. ``rows_per_file``: for rows of several MB, as the writer
+    looks at the size of what it holds only after 100 rows."""
     path = scratch(df.sparkSession, tag)
-    df.write.option("compression", compression).parquet(path)
+    df.write.option("compression", compression).option("maxRecordsPerFile", rows_per_file).parquet(path)
     table = df.sparkSession.read.schema(df.schema).parquet(path)
     table.scratch_path = path
     return table
@@ -42,6 +43,23 @@ def discard(*tables: DataFrame) -> None:
         path.getFileSystem(sc._jsc.hadoopConfiguration()).delete(path, True)
 
 
+@contextlib.contextmanager
+def at_most(spark: SparkSession, limits: Mapping[str, int]) -> Iterator[None]:
+    """While it holds, these settings of the session, counts or bytes, are no greater than ``limits`` (0 and less: without limit). The
+    session's own values hold again afterwards."""
+    number = spark.sparkContext._jvm.org.apache.spark.network.util.JavaUtils.byteStringAsBytes
+    before = {name: spark.conf.get(name) for name in limits}
+    for name, limit in limits.items():
+        value = before[name].strip()
+        now = 0 if value.startswith("-") else number(value)
+        spark.conf.set(name, str(min(now, limit) if now > 0 else limit))
+    try:
+        yield
+    finally:
+        for name, value in before.items():
+            spark.conf.set(name, value)
+
+
 def release(spark: SparkSession) -> None:
     """Let Spark remove the shuffle files of DataFrames that are no longer in use, which it does when the driver
     collects its garbage."""

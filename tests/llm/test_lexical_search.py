@@ -87,3 +87,32 @@ def test_items_in_blocks(spark, documents, monkeypatch):
     whole = L.ranked_documents(documents, items, 5).collect()
     monkeypatch.setattr(L, "QUERY_ITEMS", 3)
     assert sorted(map(tuple, L.ranked_documents(documents, items, 5).collect())) == sorted(map(tuple, whole))
+
+
+def test_few_rows_of_the_index_are_held_at_once(spark, tmp_path, monkeypatch):
+    """An index in files of a partition each: its rows, some MB each at size, don't go to a task as one batch, whatever the session's settings."""
+    plain_map = L.map_arrow
+
+    def noted(df, work, schema):
+        if df.columns[0] != "doc_ids":
+            return plain_map(df, work, schema)
+
+        def seen(batches):
+            def each():
+                for n, batch in enumerate(batches):
+                    (tmp_path / f"{id(batches)}-{n}").write_text(str(batch.num_rows))
+                    yield batch
+            yield from work(each())
+        return plain_map(df, seen, schema)
+
+    monkeypatch.setattr(L, "map_arrow", noted)
+    names = [*L.OF_TEXTS, *L.OF_INDEX]
+    before = [spark.conf.get(n) for n in names]
+    docs = [(i, f"w{i % 3} w{i}") for i in range(60)]
+    items = [(1, "w1 w7"), (2, "w0")]
+    df = spark.createDataFrame(docs, "doc_id long, text string").coalesce(1)
+    got = L.ranked_documents(df, spark.createDataFrame(items, "item_id long, text string"), 5, block_docs=1)
+    assert sorted(map(tuple, got.collect())) == plain(docs, items, 5)
+    sizes = [int(f.read_text()) for f in tmp_path.iterdir()]
+    assert sum(sizes) == 60 and max(sizes) <= L.INDEX_ROWS  # one row for each document here
+    assert [spark.conf.get(n) for n in names] == before
