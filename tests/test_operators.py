@@ -277,3 +277,87 @@ def test_a_part_renders_few_columns_of_most_lines(spark):
     assert sorts and any("__pack" not in line for line in sorts)  # lines that differ in their ids are not packed
     windows = [line for line in plan._jdf.queryExecution().optimizedPlan().toString().splitlines() if " Window [" in line]
     assert len(windows) == 2
+
+
+def test_tied_keys_are_settled_whole(spark):
+    """Rows told apart by date and lead stay; keys whose best rows tie in these, the null key among them, are settled by all columns."""
+    import random
+
+    from acct_health.operators.dedupe import TIED, earliest_of_keys, earliest_or_tied
+    r = random.Random(6)
+    some = lambda *values: r.choice([None, *values])
+    rows = [(some("a", "n", "s", *map(str, range(200))), some(1, 2), some(1, 2, 3), some("x", "y", ""), some("p", "q\x00", "\x01")) for _ in range(500)]
+    df = spark.createDataFrame(rows + rows[:40] + [("hot", 1, 1, "x", "p")] * 500, "k string, day int, id long, t string, u string").repartition(3)
+    order, ties = [F.col("day").asc_nulls_last()], ["id", "t", "u"]
+    want = sorted(map(repr, keep_earliest_per_key(df, "k", order, tie_break=ties).collect()))
+    for lead, bits, pack in ((0, 8, ()), (1, 7, ("t", "u")), (1, 26, ("t",)), (3, 12, ())):
+        first = earliest_or_tied(df, "k", order, ties[:lead], pack)
+        tied = first.where(f"{TIED} is not null").select(TIED)
+        settled = first.where(f"{TIED} is null").drop(TIED)
+        assert 0 < tied.count() == tied.distinct().count() and settled.count() > 0
+        assert sorted(map(repr, settled.unionByName(earliest_of_keys(df, "k", order, ties, tied, bits)).collect())) == want
+    plan = first._jdf.queryExecution().executedPlan().toString()
+    assert "WindowGroupLimit" in plan.split("Exchange hashpartitioning(k")[1]  # a hot key costs two rows a task
+
+
+def test_few_columns_are_read_in_one_pass(spark, tmp_path, monkeypatch):
+    """A part's lines are joined once, not once for digests and once more; lines equal in all ids that differ elsewhere are settled as in whole tables,
+    also where a mart drops some of them; parts whose key is there twice multiply lines as in a plain join."""
+    import datetime as dt
+    import shutil
+
+    import pyarrow as pa
+    import pyarrow.parquet as pq
+
+    from acct_health.plans import funnel, warehouse
+    from acct_health.sources.tables import TableStore
+    plans, replace = [], TableStore.replace
+
+    def noted(store, name, df, **options):
+        plans.append(df._jdf.queryExecution().optimizedPlan().toString())
+        replace(store, name, df, **options)
+
+    monkeypatch.setattr(TableStore, "replace", noted)
+    sf = shutil.copytree("/root/testdata/sf0.001", tmp_path / "sf")
+    lines = pq.read_table(sf / "lineitem.parquet")
+    more = lines.slice(0, 300)
+    more = more.set_column(more.schema.get_field_index("l_extendedprice"), "l_extendedprice", pa.array([float(i % 7) for i in range(300)]))
+    for again in (False, True):  # then with some parts twice
+        pq.write_table(pa.concat_tables([lines, more]), sf / "lineitem.parquet")
+        if again:
+            parts = pq.read_table(sf / "part.parquet")
+            dear = parts.slice(0, 40).set_column(parts.schema.get_field_index("p_size"), "p_size", pa.array([77] * 40, parts.schema.field("p_size").type))
+            pq.write_table(pa.concat_tables([parts, dear]), sf / "part.parquet")
+        star = warehouse.StarTables(spark, str(sf), dt.date(2001, 8, 1))
+        columns, plans[:] = ("order_item_id", "sales_clean", "order_status_clean"), []
+        part = star.part("stg_orders_final", columns)
+        mart = star.part("fact_order_item", ("order_item_id", "is_delivered", "late_delivery_risk"), of=funnel.mart_funnel)
+        assert len(plans) == 4 and [sum("Relation [l_orderkey" in line for line in plan.splitlines()) for plan in (plans[0], plans[2])] == [1, 1]
+        assert plans[0].count("Window [") == 2 and ("p_partkey" in plans[0]) == again
+        staging, rows = star["stg_orders_final"], lambda df: sorted(map(repr, df.collect()))  # noqa: B023,E731
+        assert rows(part) == rows(staging.select(*columns))
+        assert rows(mart) == rows(funnel.mart_funnel(star["fact_order_item"]).select(*mart.columns))
+
+
+def test_fact_columns_are_all(spark):
+    from acct_health.plans.cleaning import clean_orders, raw_sources
+    from acct_health.plans.star import FACT_COLUMNS, build_fact, fact_sources
+    from acct_health.sources.order_lines import order_lines
+    raw = order_lines(spark, "/root/testdata/sf0.001")
+    stg = clean_orders(raw)
+    assert build_fact(stg).columns == list(FACT_COLUMNS) and set(fact_sources(FACT_COLUMNS)) <= set(stg.columns)
+    assert raw_sources(("is_sales_missing", "sales_clean", "order_date_clean"), raw.columns) == ["sales"] and raw_sources(("is_placed",), raw.columns) is None
+
+
+def test_suppliers_join_before_lines_are_shuffled(spark):
+    """The join of lines and orders, which shuffles lines, is the last; suppliers are broadcast whatever the session's threshold."""
+    from acct_health.sources.order_lines import order_lines
+    name = "spark.sql.autoBroadcastJoinThreshold"
+    before = spark.conf.get(name)
+    spark.conf.set(name, "-1")
+    try:
+        plan = order_lines(spark, "/root/testdata/sf0.001")._jdf.queryExecution().sparkPlan().toString()
+    finally:
+        spark.conf.set(name, before)
+    joins = [line for line in plan.splitlines() if "Join [" in line]
+    assert "l_orderkey" in joins[0] and any("BroadcastHashJoin [l_suppkey" in j for j in joins) and "SortMergeJoin [l_suppkey" not in plan
